@@ -80,7 +80,7 @@ GAP_COLS = ["request_id", "user_id", "access_item", "decision", "request_ts", "r
 
 
 @query("null_counts", W(*O.BASE, O.GAPS) + " union all ".join(
-    f"select '{c}' as column_name, count_if({c} is null) as n_missing from dh_gaps" for c in GAP_COLS))
+    f"select '{c}' as column_name, cast(count_if({c} is null) as bigint) as n_missing from dh_gaps" for c in GAP_COLS))
 def q_null_counts(ctx):
     return C.null_counts(_gaps(ctx))
 
