@@ -121,7 +121,8 @@ def clean_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> Data
     """+-Inf and NaN -> missing, then each column's median; an all-missing
     column stays missing.  Columns are cast to double."""
     df = nan_to_null(df, also_inf=True)
-    meds = stats.median_map(df, columns, exact)
+    gaps = [c for c, n in stats.null_count_map(df, columns).items() if n]
+    meds = stats.median_map(df, gaps, exact)
     return df.select(*[
         F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(meds[c]).cast("double")).alias(c) if c in meds
         else F.col(f"`{c}`") for c in df.columns])

@@ -10,9 +10,11 @@ from govlens.functions.nulls import as_string_or_nan
 from govlens.functions.ranking import dense_index
 from govlens.session import cut_lineage
 
-# A per-column mapping at or under this many classes is broadcast to the
-# join; a larger one is joined by shuffle (the planner/AQE may still pick a
-# broadcast if it measures it small).
+# Per-column class counts decide how a fitted mapping meets the data:
+#   <= INLINE_MAX_CLASSES     a literal map inside the projection (no join);
+#   <= BROADCAST_MAX_CLASSES  a broadcast hash join;
+#   larger                    a shuffle join (AQE may still broadcast it).
+INLINE_MAX_CLASSES = 10_000
 BROADCAST_MAX_CLASSES = 2_000_000
 
 
@@ -47,8 +49,18 @@ def label_encode_fit(df: DataFrame, columns: list[str], materialize: str = "chec
 def label_encode_apply(df: DataFrame, enc: LabelEncoding) -> DataFrame:
     """Replace each encoded column by its code; unseen values get -1; columns
     without a fitted encoder are left untouched."""
-    out = df
-    for c in [c for c in enc.columns if c in df.columns]:
+    cols = [c for c in enc.columns if c in df.columns]
+    small = [c for c in cols if enc.sizes.get(c, 0) <= INLINE_MAX_CLASSES]
+    maps = {}
+    if small:
+        # class lists of the small columns only: bounded by the check above
+        for r in enc.mapping.where(F.col("column_name").isin(small)).collect():
+            maps.setdefault(r["column_name"], []).extend([F.lit(r["value"]), F.lit(r["code"])])
+    out = df.select(*[
+        F.coalesce(F.try_element_at(F.create_map(*maps[c]), as_string_or_nan(F.col(f"`{c}`"))) if maps.get(c) else F.lit(None),
+                   F.lit(-1)).cast("bigint").alias(c) if c in small else F.col(f"`{c}`")
+        for c in df.columns])
+    for c in [c for c in cols if c not in small]:
         m = (enc.mapping.where(F.col("column_name") == c)
                 .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
         if enc.sizes.get(c, 0) <= BROADCAST_MAX_CLASSES:

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from govlens.functions.nulls import is_numeric
 from govlens.operators import clean as C
-from govlens.functions.nulls import as_string_or_nan
-from govlens.operators.encode import BROADCAST_MAX_CLASSES, LabelEncoding, ScalerFit, label_encode_apply, label_encode_fit, \
+from govlens.operators.encode import LabelEncoding, ScalerFit, label_encode_apply, label_encode_fit, \
     standard_scale_apply, standard_scale_fit
 from govlens.operators.merge import merge_tables
 from govlens.session import cut_lineage
@@ -91,19 +90,13 @@ def with_label(merged: DataFrame, enc: LabelEncoding, target: str | None) -> Dat
     """The merged (unencoded) frame plus ``label``, the encoded target (the
     raw target when it is not a categorical column).
 
-    Only the target's class list meets the frame; it is broadcast when its
-    class count is under the checked bound, so the merged frame is not
-    shuffled.
+    Only the target's class list meets the frame (inlined or broadcast by
+    its checked size), so the merged frame is not shuffled.
     """
     if not target or target not in merged.columns:
         return merged
     if target not in enc.sizes:
         return merged.withColumn("label", F.col(f"`{target}`"))
-    m = (enc.mapping.where(F.col("column_name") == target)
-            .select(F.col("value").alias("__lv"), F.col("code").alias("label")))
-    if enc.sizes[target] <= BROADCAST_MAX_CLASSES:
-        m = F.broadcast(m)
-    return (merged.withColumn("__lv", as_string_or_nan(F.col(f"`{target}`")))
-                  .join(m, "__lv", "left")
-                  .withColumn("label", F.coalesce(F.col("label"), F.lit(-1)).cast("bigint"))
-                  .drop("__lv"))
+    m = enc.mapping.where(F.col("column_name") == target).withColumn("column_name", F.lit("label"))
+    return label_encode_apply(merged.withColumn("label", F.col(f"`{target}`")),
+                              LabelEncoding(m, {"label": enc.sizes[target]}))

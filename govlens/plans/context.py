@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from govlens.operators.features import FeatureFrame, clean_all, process_pipeline, with_label
+from govlens.session import cut_lineage
 from govlens.sources.bindings import load_bound_tables
 from govlens.spec import PipelineSpec, binding_spec
 
@@ -40,7 +41,9 @@ class Context:
     def ff(self) -> FeatureFrame:
         if self._ff is None:
             s = self.spec
-            self._ff = process_pipeline(self.tables, s.merge, s.features, materialize="persist")
+            # checkpoint (not persist): later plans start from the written
+            # frame instead of re-analysing the whole cleaning/merge lineage
+            self._ff = process_pipeline(self.tables, s.merge, s.features, materialize="checkpoint")
         return self._ff
 
     @property
@@ -55,7 +58,8 @@ class Context:
     def labeled(self) -> DataFrame:
         """merged + encoded decision as ``label``."""
         if self._labeled is None:
-            self._labeled = with_label(self.ff.merged, self.ff.encoding, self.spec.features.target_column).persist()
+            self._labeled = cut_lineage(
+                with_label(self.ff.merged, self.ff.encoding, self.spec.features.target_column), "checkpoint")
         return self._labeled
 
     def cleaned(self) -> dict[str, DataFrame]:
