@@ -73,22 +73,31 @@ def top_variance_columns(features: DataFrame, cols: list[str], top: int) -> list
 
 
 def correlation_matrix(features: DataFrame, cols: list[str]) -> DataFrame:
-    """Long form (feature_a, feature_b, corr), Pearson; NULL for a constant
-    column (instead of a division error).  All pairs in one aggregate."""
-    exprs, names = [], []
-    for a in cols:
-        for b in cols:
-            ca, cb = F.col(f"`{a}`"), F.col(f"`{b}`")
-            exprs.append(F.try_divide(F.covar_pop(ca, cb), F.stddev_pop(ca) * F.stddev_pop(cb)))
-            names.append((a, b))
-    parts = []
-    for i in range(0, len(exprs), 200):
-        chunk = list(range(i, min(i + 200, len(exprs))))
-        one = features.agg(*[exprs[j].alias(f"c{j}") for j in chunk])
-        parts.append(one.select(F.inline(F.array(*[
-            F.struct(F.lit(names[j][0]).alias("feature_a"), F.lit(names[j][1]).alias("feature_b"),
-                     F.col(f"c{j}").alias("corr")) for j in chunk]))))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    """Long form (feature_a, feature_b, corr), Pearson, from MLlib's
+    ``Correlation`` (one distributed tree-aggregate of the Gram matrix).
+
+    A constant column has no correlation: NULL, where MLlib gives NaN (and
+    1.0 on the diagonal) and a SQL ``corr`` would raise under ANSI mode.
+    Only the d x d matrix (d = number of columns) reaches the driver.
+    """
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    schema = "feature_a string, feature_b string, corr double"
+    if not cols:
+        return features.sparkSession.createDataFrame([], schema)
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="keep").transform(features).select("_v")
+    mat = Correlation.corr(vec, "_v").first()[0].toArray()
+    const = [math.isnan(mat[i][i]) or all(math.isnan(mat[i][j]) for j in range(len(cols)) if j != i)
+             for i in range(len(cols))] if len(cols) > 1 else [False]
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            v = float(mat[i][j])
+            rows.append((a, b, None if (const[i] or const[j] or math.isnan(v)) else v))
+    return features.sparkSession.createDataFrame(rows, schema)
 
 
 def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5) -> DataFrame:
