@@ -24,15 +24,18 @@ SEED = 42
 LOGREG_MAX_ITER = 1000
 GBT_DEPTH = 3
 GBT_STEP = 0.1
-RF_MAX_DEPTH = 15          # MLlib caps depth at 30; scikit-learn grows unbounded trees
+RF_MAX_DEPTH = 10          # MLlib grows trees level by level (memory ~ 2^depth nodes per
+                           # group); scikit-learn's unbounded depth is not reproducible anyway
+RF_MAX_MEMORY_MB = 64      # per-task node-statistics budget: keeps 8 concurrent tasks of a
+                           # small executor heap out of OutOfMemory (more passes instead)
 
 Factory = Callable[[dict], Estimator]
 
 
 def _rf(ctx: dict) -> Estimator:
     return RandomForestClassifier(numTrees=ctx.get("n_trees", N_TREES), seed=SEED,
-                                  maxDepth=ctx.get("max_depth", RF_MAX_DEPTH), featuresCol="features",
-                                  labelCol="label")
+                                  maxDepth=ctx.get("max_depth", RF_MAX_DEPTH), maxMemoryInMB=RF_MAX_MEMORY_MB,
+                                  featuresCol="features", labelCol="label")
 
 
 def _gbt(ctx: dict) -> Estimator:
@@ -73,6 +76,7 @@ REGRESSORS: dict[str, Factory | None] = {
     "linear_regression": lambda ctx: LinearRegression(regParam=0.0, featuresCol="features", labelCol="label"),
     "random_forest": lambda ctx: RandomForestRegressor(numTrees=ctx.get("n_trees", N_TREES), seed=SEED,
                                                        maxDepth=ctx.get("max_depth", RF_MAX_DEPTH),
+                                                       maxMemoryInMB=RF_MAX_MEMORY_MB,
                                                        featuresCol="features", labelCol="label"),
 }
 

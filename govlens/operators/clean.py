@@ -63,6 +63,38 @@ def apply_impute(df: DataFrame, fit: ImputeFit) -> DataFrame:
     return df.select(*out)
 
 
+def fit_impute_all(tables: dict[str, DataFrame], exact: bool = True) -> dict[str, ImputeFit]:
+    """``fit_impute`` for many tables with ONE job for all null counts (the
+    per-table one-row aggregates are unioned), then median/mode jobs only
+    for tables that have gaps."""
+    if not tables:
+        return {}
+    from functools import reduce
+    longs = []
+    for name, df in tables.items():
+        df = nan_to_null(df)
+        one = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{i}") for i, c in enumerate(df.columns)])
+        longs.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("t"), F.lit(c).alias("c"), F.col(f"c{i}").cast("bigint").alias("n"))
+            for i, c in enumerate(df.columns)]))))
+    counts = reduce(lambda a, b: a.unionByName(b), longs).where("n > 0").collect()   # <= total column count
+    gaps: dict[str, list[str]] = {}
+    for r in counts:
+        gaps.setdefault(r["t"], []).append(r["c"])
+    fits = {}
+    for name, df in tables.items():
+        if name not in gaps:
+            fits[name] = ImputeFit()
+            continue
+        df = nan_to_null(df)
+        types = {f.name: f.dataType for f in df.schema.fields}
+        num = [c for c in gaps[name] if is_numeric(types[c])]
+        other = [c for c in gaps[name] if c not in num]
+        fits[name] = ImputeFit(stats.median_map(df, num, exact) if num else {},
+                               stats.mode_map(df, other) if other else {})
+    return fits
+
+
 def impute(df: DataFrame, exact: bool = True) -> DataFrame:
     return apply_impute(df, fit_impute(df, exact))
 

@@ -15,6 +15,7 @@ from govlens.session import cut_lineage
 #   <= BROADCAST_MAX_CLASSES  a broadcast hash join;
 #   larger                    a shuffle join (AQE may still broadcast it).
 INLINE_MAX_CLASSES = 10_000
+SMALL_TOTAL_CLASSES = 50_000    # all columns together, numbered on the driver
 BROADCAST_MAX_CLASSES = 2_000_000
 
 
@@ -41,7 +42,19 @@ def label_encode_fit(df: DataFrame, columns: list[str], materialize: str = "chec
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), as_string_or_nan(F.col(f"`{c}`")).alias("value")) for c in cols
     ])).alias("p")).select("p.column_name", "p.value")
-    mapping = cut_lineage(dense_index(long, "column_name", "value", materialize=materialize), "persist")
+    distinct = long.distinct()
+    # Small class sets (the usual case) are numbered on the driver after a
+    # bounded fetch: at most SMALL_TOTAL_CLASSES + 1 rows are ever pulled.
+    # Larger ones take the distributed dense rank.
+    head = distinct.limit(SMALL_TOTAL_CLASSES + 1).collect()
+    if len(head) <= SMALL_TOTAL_CLASSES:
+        by_col: dict[str, list[str]] = {}
+        for r in head:
+            by_col.setdefault(r["column_name"], []).append(r["value"])
+        rows = [(c, v, i) for c in cols for i, v in enumerate(sorted(by_col.get(c, [])))]
+        mapping = df.sparkSession.createDataFrame(rows, "column_name string, value string, code bigint")
+        return LabelEncoding(mapping, {c: len(by_col.get(c, [])) for c in cols})
+    mapping = cut_lineage(dense_index(distinct, "column_name", "value", materialize=materialize), "persist")
     sizes = {r["column_name"]: r["n"] for r in mapping.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     return LabelEncoding(mapping, {c: sizes.get(c, 0) for c in cols})
 

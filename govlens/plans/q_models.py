@@ -247,16 +247,24 @@ def q_cv_folds(ctx):
 N_TREES = 100
 
 
+def classifier(ctx, name: str):
+    """Train one configured classifier on the shared stratified split (lazily,
+    once per session); None when it is unavailable or fails."""
+    cache = ctx.extra.setdefault("classifiers", {})
+    if name not in cache:
+        res, _ = TR.train_classifiers(ctx.features, ctx.ff.feature_columns, KEYS, [name], n_trees=N_TREES)
+        cache[name] = res[0] if res else None
+    return cache[name]
+
+
 def classifiers(ctx):
-    if "classifiers" not in ctx.extra:
-        res, split = TR.train_classifiers(ctx.features, ctx.ff.feature_columns, KEYS,
-                                          ctx.spec.models.classification_algorithms, n_trees=N_TREES)
-        ctx.extra["classifiers"] = {r.name: r for r in res}
-    return ctx.extra["classifiers"]
+    """The importance-bearing model used by the importance outputs."""
+    r = classifier(ctx, "random_forest")
+    return {"random_forest": r} if r else {}
 
 
 def _metrics_row(ctx, name):
-    r = classifiers(ctx).get(name)
+    r = classifier(ctx, name)
     schema = "model string, accuracy double, precision double, recall double, f1_score double"
     if r is None:
         return ctx.spark.createDataFrame([], schema)
@@ -293,7 +301,7 @@ def q_cross_validate(ctx):
 
 @query("score_all", None)
 def q_score_all(ctx):
-    m = classifiers(ctx)["random_forest"].model
+    m = classifier(ctx, "random_forest").model
     return TR.score_all(m, ctx.features, KEYS).withColumn("confidence", F.array_max("probability"))
 
 
@@ -363,3 +371,18 @@ def q_sink_clusters(ctx):
     path = shared_path(ctx.spark, "clusters")
     clustering(ctx).extra["assignments"].write.mode("overwrite").parquet(path)
     return ctx.spark.read.parquet(path)
+
+
+@query("sink_model", None)
+def q_sink_model(ctx):
+    """The random forest saved to the shared folder, loaded back and used to
+    score every row: (model, n_scored, n_same) - the reloaded model must
+    predict exactly what the trained one does."""
+    r = classifier(ctx, "random_forest")
+    path = shared_path(ctx.spark, "model-random_forest")
+    TR.save_model(r.model, path)
+    loaded = TR.load_model(path)
+    a = TR.score_all(r.model, ctx.features, KEYS).select("request_id", F.col("prediction").alias("p1"))
+    b = TR.score_all(loaded, ctx.features, KEYS).select("request_id", F.col("prediction").alias("p2"))
+    return a.join(b, "request_id").agg(F.lit("random_forest").alias("model"), F.count(F.lit(1)).alias("n_scored"),
+                                       F.count_if(F.col("p1") == F.col("p2")).alias("n_same"))
