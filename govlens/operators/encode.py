@@ -24,6 +24,7 @@ class LabelEncoding:
     """Fitted encoders: one DataFrame (column_name, value, code) for all columns."""
     mapping: DataFrame
     sizes: dict[str, int]          # classes per column (one small job)
+    classes: dict[str, list[str]] | None = None   # sorted classes, when numbered on the driver
 
     @property
     def columns(self) -> list[str]:
@@ -53,7 +54,8 @@ def label_encode_fit(df: DataFrame, columns: list[str], materialize: str = "chec
             by_col.setdefault(r["column_name"], []).append(r["value"])
         rows = [(c, v, i) for c in cols for i, v in enumerate(sorted(by_col.get(c, [])))]
         mapping = df.sparkSession.createDataFrame(rows, "column_name string, value string, code bigint")
-        return LabelEncoding(mapping, {c: len(by_col.get(c, [])) for c in cols})
+        return LabelEncoding(mapping, {c: len(by_col.get(c, [])) for c in cols},
+                             {c: sorted(by_col.get(c, [])) for c in cols})
     mapping = cut_lineage(dense_index(distinct, "column_name", "value", materialize=materialize), "persist")
     sizes = {r["column_name"]: r["n"] for r in mapping.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     return LabelEncoding(mapping, {c: sizes.get(c, 0) for c in cols})
@@ -65,7 +67,10 @@ def label_encode_apply(df: DataFrame, enc: LabelEncoding) -> DataFrame:
     cols = [c for c in enc.columns if c in df.columns]
     small = [c for c in cols if enc.sizes.get(c, 0) <= INLINE_MAX_CLASSES]
     maps = {}
-    if small:
+    if small and enc.classes is not None:
+        for c in small:
+            maps[c] = [x for i, v in enumerate(enc.classes.get(c, [])) for x in (F.lit(v), F.lit(i))]
+    elif small:
         # class lists of the small columns only: bounded by the check above
         for r in enc.mapping.where(F.col("column_name").isin(small)).collect():
             maps.setdefault(r["column_name"], []).extend([F.lit(r["value"]), F.lit(r["code"])])

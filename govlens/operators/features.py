@@ -103,5 +103,6 @@ def with_label(merged: DataFrame, enc: LabelEncoding, target: str | None) -> Dat
     if target not in enc.sizes:
         return merged.withColumn("label", F.col(f"`{target}`"))
     m = enc.mapping.where(F.col("column_name") == target).withColumn("column_name", F.lit("label"))
+    classes = {"label": enc.classes[target]} if enc.classes and target in enc.classes else None
     return label_encode_apply(merged.withColumn("label", F.col(f"`{target}`")),
-                              LabelEncoding(m, {"label": enc.sizes[target]}))
+                              LabelEncoding(m, {"label": enc.sizes[target]}, classes))
