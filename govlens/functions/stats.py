@@ -42,7 +42,23 @@ def quantile_expr(c: str, qs: list[float] | float, exact: bool = True, accuracy:
     return F.percentile_approx(col, qs if isinstance(qs, float) else list(qs), accuracy)
 
 
-def median_map(df: DataFrame, columns: list[str], exact: bool = True) -> dict[str, float | None]:
+def null_and_distinct(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
+    """(missing count, approximate distinct count) per column, one pass."""
+    out: dict[str, tuple[int, int]] = {}
+    for chunk in _chunks(columns, AGG_CHUNK // 2):
+        row = df.agg(*[e for i, c in enumerate(chunk) for e in (
+            F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"),
+            F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}"))]).first()
+        out.update({c: (row[f"n{i}"], row[f"d{i}"]) for i, c in enumerate(chunk)})
+    return out
+
+
+def median_map(df: DataFrame, columns: list[str], exact: bool = True,
+               distinct: dict[str, int] | None = None) -> dict[str, float | None]:
+    """Medians; exact ones route by distinct count (see ``quantiles``)."""
+    if exact and columns:
+        from govlens.functions.quantiles import exact_quantiles
+        return {c: v[0] for c, v in exact_quantiles(df, columns, [0.5], distinct=distinct).items()}
     out: dict[str, float | None] = {}
     for chunk in _chunks(columns):
         if not chunk:

@@ -6,19 +6,26 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from govlens.functions.quantiles import exact_quantiles
 from govlens.functions.stats import quantile_expr, _chunks
 
 
 def iqr_bounds(features: DataFrame, columns: list[str], k: float = 1.5, exact: bool = True) -> DataFrame:
     """(feature, q1, q3, lower, upper) per column; quartiles by linear
     interpolation; all columns in one aggregate (chunked when very wide)."""
-    rows = []
-    for chunk in _chunks(columns):
-        one = features.agg(*[quantile_expr(c, [0.25, 0.75], exact).alias(f"q{i}") for i, c in enumerate(chunk)])
-        rows.append(one.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(f"q{i}")[0].alias("q1"), F.col(f"q{i}")[1].alias("q3"))
-            for i, c in enumerate(chunk)]))))
-    b = reduce(lambda a, c: a.unionByName(c), rows)
+    if exact:
+        # exact quartiles, routed by distinct count (no unbounded single-task buffer)
+        qv = exact_quantiles(features, columns, [0.25, 0.75])
+        b = features.sparkSession.createDataFrame(
+            [(c, qv[c][0], qv[c][1]) for c in columns], "feature string, q1 double, q3 double")
+    else:
+        rows = []
+        for chunk in _chunks(columns):
+            one = features.agg(*[quantile_expr(c, [0.25, 0.75], exact).alias(f"q{i}") for i, c in enumerate(chunk)])
+            rows.append(one.select(F.inline(F.array(*[
+                F.struct(F.lit(c).alias("feature"), F.col(f"q{i}")[0].alias("q1"), F.col(f"q{i}")[1].alias("q3"))
+                for i, c in enumerate(chunk)]))))
+        b = reduce(lambda a, c: a.unionByName(c), rows)
     iqr = F.col("q3") - F.col("q1")
     return b.select("feature", "q1", "q3", (F.col("q1") - k * iqr).alias("lower"), (F.col("q3") + k * iqr).alias("upper"))
 

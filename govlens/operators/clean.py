@@ -151,15 +151,13 @@ def numeric_only(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def clean_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """+-Inf and NaN -> missing, then each column's median; an all-missing
-    column stays missing.  Columns are cast to double."""
+    column stays missing.  The listed columns are cast to double (the model
+    stages need doubles)."""
     df = nan_to_null(df, also_inf=True)
-    gaps = [c for c, n in stats.null_count_map(df, columns).items() if n]
-    meds = stats.median_map(df, gaps, exact)
+    prof = stats.null_and_distinct(df, columns)
+    gaps = [c for c, (n, _) in prof.items() if n]
+    meds = stats.median_map(df, gaps, exact, {c: prof[c][1] for c in gaps})
+    cols = set(columns)
     return df.select(*[
-        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(meds[c]).cast("double")).alias(c) if c in meds
+        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(meds.get(c)).cast("double")).alias(c) if c in cols
         else F.col(f"`{c}`") for c in df.columns])
-
-
-__all__ = ["null_counts", "fit_impute", "apply_impute", "impute", "drop_duplicates", "dedupe_by_key",
-           "clean_table", "target_extract", "value_counts", "exclude_columns", "numeric_only",
-           "clean_numeric"]

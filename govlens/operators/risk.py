@@ -13,7 +13,11 @@ def risk_overall(merged: DataFrame, threshold: float = 0.7, exact: bool = True)
     if "risk_score" not in merged.columns:
         return merged.sparkSession.createDataFrame([], OVERALL_SCHEMA)
     r = F.col("risk_score")
-    med = F.percentile(r, 0.5) if exact else F.percentile_approx(r, 0.5, 100_000)
+    if exact:
+        from govlens.functions.quantiles import exact_quantiles
+        med = F.lit(exact_quantiles(merged, ["risk_score"], [0.5])["risk_score"][0])
+    else:
+        med = F.percentile_approx(r, 0.5, 100_000)
     high = F.count_if(r > threshold)
     return merged.agg(
         F.avg(r).alias("mean_risk"), med.cast("double").alias("median_risk"),

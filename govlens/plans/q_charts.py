@@ -237,7 +237,7 @@ def q_insight_summary(ctx):
 
 @query("report_metrics", O.r6(["value"], W(*O.FEAT, BOUNDS) + f"""
 select 'access_reduction' as section, 'total_opportunities' as metric,
-  cast((select count(*) from ({LOW_USAGE_SQL.replace('WITH', 'WITH', 1)})) + (select count(*) from ({UNUSED_SQL})) as double) as value
+  cast((select count(*) from ({LOW_USAGE_SQL})) + (select count(*) from ({UNUSED_SQL})) as double) as value
 union all select 'risk', 'mean_risk', (select avg(risk_score) from merged)
 union all select 'risk', 'high_risk_count', (select count_if(risk_score > 0.7)::double from merged)
 union all select 'risk', 'high_risk_percentage', (select 100.0 * count_if(risk_score > 0.7) / count(*) from merged)

@@ -41,8 +41,7 @@ def q_unused_items(ctx):
 
 @query("access_reduction_total", f"""
 select a.n as n_low_usage, b.n as n_unused, a.n + b.n as total_opportunities
-from (select count(*) as n from ({LOW_USAGE_SQL})) a, (select count(*) as n from ({UNUSED_SQL})) b""".replace(
-    "(WITH", "(WITH"))
+from (select count(*) as n from ({LOW_USAGE_SQL})) a, (select count(*) as n from ({UNUSED_SQL})) b""")
 def q_access_reduction_total(ctx):
     m = ctx.merged
     return U.access_reduction_total(U.low_usage_items(m), U.unused_items(m, AS_OF))

@@ -72,3 +72,18 @@ def test_empty_frame(spark):
     assert C.impute(df).count() == 0
     assert C.null_counts(df).count() == 2
     assert math.isnan(float("nan"))
+
+
+def test_distributed_quantiles_match_pandas(spark):
+    import numpy as np
+    from govlens.functions.nulls import nan_to_null
+    from govlens.functions.quantiles import exact_quantiles
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.normal(size=801), "b": rng.integers(0, 9, 801).astype(float)})
+    pdf.loc[::5, "a"] = np.nan
+    df = nan_to_null(spark.createDataFrame(pdf))
+    qs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    for limit in (0, 10 ** 9):                      # distributed path, then percentile path
+        got = exact_quantiles(df, ["a", "b"], qs, max_distinct=limit)
+        for c in "ab":
+            assert np.allclose(got[c], pdf[c].quantile(qs).tolist(), rtol=0, atol=1e-12)
