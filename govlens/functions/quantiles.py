@@ -92,6 +92,44 @@ def distributed_quantiles(df: DataFrame, columns: list[str], qs: list[float],
     return out
 
 
+def profile_columns(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
+    """(missing count, upper bound on distinct values) per column.
+
+    One code-generated pass gives min, max, missing count and the number of
+    non-integral values; an integral-valued column has at most max - min + 1
+    distinct values, so only columns holding fractions need a (slower,
+    interpreted) HyperLogLog sketch, in a second pass.
+    """
+    from govlens.functions.stats import _chunks
+    info: dict[str, tuple[int, int]] = {}
+    fractional: list[str] = []
+    for chunk in _chunks(columns, 50):
+        exprs = []
+        for i, c in enumerate(chunk):
+            x = F.col(f"`{c}`").cast("double")
+            exprs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"), F.min(x).alias(f"lo{i}"),
+                      F.max(x).alias(f"hi{i}"), F.count_if(x != F.floor(x)).alias(f"f{i}")]
+        row = df.agg(*exprs).first()
+        for i, c in enumerate(chunk):
+            lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+            if row[f"f{i}"]:
+                fractional.append(c)
+                info[c] = (row[f"n{i}"], -1)
+            elif lo is None:
+                info[c] = (row[f"n{i}"], 0)
+            elif math.isinf(lo) or math.isinf(hi):
+                fractional.append(c)
+                info[c] = (row[f"n{i}"], -1)
+            else:
+                info[c] = (row[f"n{i}"], int(min(hi - lo + 1, 2 ** 62)))
+    if fractional:
+        sk = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(fractional)]).first()
+        for i, c in enumerate(fractional):
+            # the sketch errs by a few percent: pad it so the bound stays safe
+            info[c] = (info[c][0], int(sk[f"d{i}"] * 1.2) + 1)
+    return info
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], qs: list[float],
                     max_distinct: int = PERCENTILE_MAX_DISTINCT,
                     distinct: dict[str, int] | None = None) -> dict[str, list[float | None]]:
@@ -100,8 +138,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], qs: list[float],
     if not columns:
         return {}
     if distinct is None:
-        sk = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-        distinct = {c: sk[f"d{i}"] for i, c in enumerate(columns)}
+        distinct = {c: v[1] for c, v in profile_columns(df, columns).items()}
     small = [c for c in columns if distinct[c] <= max_distinct]
     large = [c for c in columns if c not in small]
     out: dict[str, list[float | None]] = {}

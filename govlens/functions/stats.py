@@ -43,14 +43,9 @@ def quantile_expr(c: str, qs: list[float] | float, exact: bool = True, accuracy:
 
 
 def null_and_distinct(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
-    """(missing count, approximate distinct count) per column, one pass."""
-    out: dict[str, tuple[int, int]] = {}
-    for chunk in _chunks(columns, AGG_CHUNK // 2):
-        row = df.agg(*[e for i, c in enumerate(chunk) for e in (
-            F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"),
-            F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}"))]).first()
-        out.update({c: (row[f"n{i}"], row[f"d{i}"]) for i, c in enumerate(chunk)})
-    return out
+    """(missing count, upper bound on distinct count) per column."""
+    from govlens.functions.quantiles import profile_columns
+    return profile_columns(df, columns)
 
 
 def median_map(df: DataFrame, columns: list[str], exact: bool = True,
