@@ -71,14 +71,15 @@ def process_pipeline(tables: dict[str, DataFrame], merge: MergeSpec | None, spec
     """clean every table -> merge -> label-encode -> numeric features -> optional scaling.
 
     The merged and feature frames are materialised once because every insight
-    and model reads them again.
+    and model reads them again; ``materialize="table"`` writes them as parquet
+    in the shared folder so later scans prune columns and push filters.
     """
     cleaned = clean_all(tables, spec, exact)
     merged = merge_tables(cleaned, merge)
     if materialize != "none":
-        merged = cut_lineage(merged, materialize)
+        merged = cut_lineage(merged, materialize, "merged")
     enc = label_encode_fit(merged, spec.categorical_columns,
-                           "checkpoint" if materialize == "checkpoint" else "persist")
+                           "persist" if materialize in ("persist", "none") else "checkpoint")
     encoded = label_encode_apply(merged, enc)
     feats, cols, has_label = prepare_features(encoded, spec, exact)
     scaler = None
@@ -86,7 +87,7 @@ def process_pipeline(tables: dict[str, DataFrame], merge: MergeSpec | None, spec
         scaler = standard_scale_fit(feats, cols)
         feats = standard_scale_apply(feats, scaler)
     if materialize != "none":
-        feats = cut_lineage(feats, materialize)
+        feats = cut_lineage(feats, materialize, "features")
     return FeatureFrame(merged, encoded, feats, cols, [k for k in spec.key_columns if k in merged.columns],
                         has_label, enc, scaler, cleaned)
 

@@ -41,9 +41,10 @@ class Context:
     def ff(self) -> FeatureFrame:
         if self._ff is None:
             s = self.spec
-            # checkpoint (not persist): later plans start from the written
-            # frame instead of re-analysing the whole cleaning/merge lineage
-            self._ff = process_pipeline(self.tables, s.merge, s.features, materialize="checkpoint")
+            # written parquet tables (not persist): later plans start from a
+            # pruned, filter-pushing columnar scan instead of re-analysing the
+            # whole cleaning/merge lineage
+            self._ff = process_pipeline(self.tables, s.merge, s.features, materialize="table")
         return self._ff
 
     @property
@@ -59,7 +60,7 @@ class Context:
         """merged + encoded decision as ``label``."""
         if self._labeled is None:
             self._labeled = cut_lineage(
-                with_label(self.ff.merged, self.ff.encoding, self.spec.features.target_column), "checkpoint")
+                with_label(self.ff.merged, self.ff.encoding, self.spec.features.target_column), "table", "labeled")
         return self._labeled
 
     def cleaned(self) -> dict[str, DataFrame]:

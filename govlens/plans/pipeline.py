@@ -100,7 +100,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, data_dir: str, as_of:
     if mode not in ("full", "train", "insights"):
         raise ValueError(f"unknown mode {mode!r}")
     tables = tables if tables is not None else load_all_tables(spark, data_dir, spec.tables)
-    ff = process_pipeline(tables, spec.merge, spec.features, materialize="checkpoint")
+    ff = process_pipeline(tables, spec.merge, spec.features, materialize="table")
     models_dir = models_dir or shared_path(spark, "models")
     res = PipelineResult(ff)
     if mode in ("full", "train"):
