@@ -30,12 +30,21 @@ def _positions(n: int, q: float) -> tuple[int, int, float]:
 
 def distributed_quantiles(df: DataFrame, columns: list[str], qs: list[float],
                           n_parts: int | None = None) -> dict[str, list[float | None]]:
-    from govlens.session import cut_lineage
-    spark = df.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns
-    ])).alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    ])).alias("p")).select("p.c", "p.v")
+    return quantiles_long(long, qs, columns, n_parts)
+
+
+def quantiles_long(long: DataFrame, qs: list[float], columns: list | None = None,
+                   n_parts: int | None = None) -> dict:
+    """Exact quantiles of ``v`` for every value of ``c`` in a long (c, v)
+    frame - ``c`` is a column name, or a group value for grouped quantiles.
+    ``columns`` lists the expected ``c`` values (default: those present)."""
+    from govlens.session import cut_lineage
+    spark = long.sparkSession
+    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    long = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
     weighted = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("w"))
     # range bounds come from a sample: materialise so every later use sees one partitioning
     ranged = cut_lineage(weighted.repartitionByRange(n_parts, "c", "v").withColumn("_p", F.spark_partition_id()),
@@ -44,9 +53,11 @@ def distributed_quantiles(df: DataFrame, columns: list[str], qs: list[float],
     parts: dict[str, list[tuple[float, int, int]]] = {}
     for r in per:                                        # one row per (column, partition)
         parts.setdefault(r["c"], []).append((r["pmin"], r["_p"], r["pw"]))
-    wanted: dict[tuple[str, int], int] = {}              # (column, 0-based rank) -> partition
-    offsets: dict[tuple[str, int], int] = {}
-    plan: dict[str, list] = {}
+    if columns is None:
+        columns = sorted(parts)
+    wanted: dict[tuple, int] = {}                         # (column, 0-based rank) -> partition
+    offsets: dict[tuple, int] = {}
+    plan: dict = {}
     for c in columns:
         ps = sorted(parts.get(c, []))                     # partitions in value order
         total = sum(p[2] for p in ps)

@@ -142,3 +142,22 @@ def test_empty_inputs(spark):
     assert R.risk_by_group(e, "role").count() == 0
     missing = spark.createDataFrame([(1,)], "x int")
     assert U.low_usage_items(missing).count() == 0 and R.risk_overall(missing).count() == 0
+
+
+def test_box_stats_distributed_path_matches(spark):
+    import govlens.functions.quantiles as QT
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 400), "x": rng.normal(size=400)})
+    df = spark.createDataFrame(pdf)
+    small = {r["g"]: r for r in CH.box_stats(df, "x", "g").collect()}
+    old = QT.PERCENTILE_MAX_DISTINCT
+    QT.PERCENTILE_MAX_DISTINCT = 0
+    try:
+        big = {r["g"]: r for r in CH.box_stats(df, "x", "g").collect()}
+    finally:
+        QT.PERCENTILE_MAX_DISTINCT = old
+    for g in ("a", "b"):
+        ref = pdf.loc[pdf.g == g, "x"].quantile([0.25, 0.5, 0.75]).tolist()
+        for r in (small[g], big[g]):
+            assert [r["q1"], r["median"], r["q3"]] == pytest.approx(ref, abs=1e-12)
+        assert small[g]["n_outliers"] == big[g]["n_outliers"]
