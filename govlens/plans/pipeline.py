@@ -34,14 +34,23 @@ class PipelineResult:
 
 def train_stage(ff: FeatureFrame, spec: PipelineSpec, models_dir: str, n_trees: int | None = None,
                 cv: int = 5, clustering: bool | None = None) -> dict[str, TR.TrainResult]:
-    """Classification when a label exists (and is enabled); clustering when
-    there is no label or when asked; each model saved under ``models_dir``."""
+    """Classification or regression by the detected task of the label (each
+    when enabled); clustering when there is no label or when asked; each
+    model saved under ``models_dir``."""
     out: dict[str, TR.TrainResult] = {}
     m = spec.models
-    if ff.has_label and m.classification_enabled:
+    task = "clustering"
+    if ff.has_label:
+        target_is_string = spec.features.target_column in ff.encoding.sizes  # encoded from text classes
+        task = TR.detect_task(ff.features, target_is_string).first()["task"]
+    if task == "classification" and m.classification_enabled:
         res, _ = TR.train_classifiers(ff.features, ff.feature_columns, ff.key_columns, m.classification_algorithms,
                                       m.seed, m.test_fraction, cv, n_trees)
         out.update({f"{r.name}_classifier": r for r in res})
+    elif task == "regression" and m.regression_enabled:
+        res = TR.train_regressors(ff.features, ff.feature_columns, ff.key_columns, m.regression_algorithms,
+                                  m.seed, m.test_fraction, n_trees)
+        out.update({f"{r.name}_regressor": r for r in res})
     if (clustering if clustering is not None else not ff.has_label) and m.clustering_enabled:
         out["kmeans_clustering"] = TR.train_clustering(ff.features, ff.feature_columns, ff.key_columns, m.seed)
     for name, r in out.items():

@@ -61,3 +61,22 @@ def test_scaler_population_std_and_constant(spark):
     x = pd.Series([1.0, 2, 3, 4, 5])
     assert out["x"].round(9).tolist() == ((x - x.mean()) / x.std(ddof=0)).round(9).tolist()
     assert out["c"].tolist() == [0.0] * 5
+
+
+def test_distributed_dense_index_path(spark):
+    import govlens.operators.encode as EN
+    rows = [(f"v{i % 37}", f"w{(i * 7) % 11}") for i in range(300)] + [(None, "w1")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    old = EN.SMALL_TOTAL_CLASSES
+    EN.SMALL_TOTAL_CLASSES = 0                      # force the range-partitioned dense rank
+    try:
+        enc = label_encode_fit(df, ["a", "b"], "persist")
+    finally:
+        EN.SMALL_TOTAL_CLASSES = old
+    got = {(r["column_name"], r["value"]): r["code"] for r in enc.mapping.collect()}
+    for col in ("a", "b"):
+        vals = sorted({("nan" if r[0 if col == "a" else 1] is None else r[0 if col == "a" else 1]) for r in rows})
+        assert [got[(col, v)] for v in vals] == list(range(len(vals)))
+    assert enc.sizes == {"a": 38, "b": 11}
+    out = label_encode_apply(df, enc).collect()
+    assert out[-1]["a"] == got[("a", "nan")]
