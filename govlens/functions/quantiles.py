@@ -103,13 +103,19 @@ def quantiles_long(long: DataFrame, qs: list[float], columns: list | None = None
     return out
 
 
-def profile_columns(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
+GRID = 10_000      # values on a 1e-4 grid (scores, money to the cent...) are bounded without a sketch
+
+
+def profile_columns(df: DataFrame, columns: list[str], sketch: list[str] | None = None
+                    ) -> dict[str, tuple[int, int]]:
     """(missing count, upper bound on distinct values) per column.
 
-    One code-generated pass gives min, max, missing count and the number of
-    non-integral values; an integral-valued column has at most max - min + 1
-    distinct values, so only columns holding fractions need a (slower,
-    interpreted) HyperLogLog sketch, in a second pass.
+    One code-generated pass gives min, max, missing count and how many values
+    fall off the integer grid and off a 1e-4 grid: a column on a grid has at
+    most (max - min) * grid + 1 distinct values.  Only columns on neither
+    grid need a HyperLogLog sketch (interpreted, slower), in a second pass,
+    and only those listed in ``sketch`` (default: all); the others get -1.
+    The bound only routes work between two exact methods, so it may be loose.
     """
     from govlens.functions.stats import _chunks
     info: dict[str, tuple[int, int]] = {}
@@ -118,24 +124,25 @@ def profile_columns(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, i
         exprs = []
         for i, c in enumerate(chunk):
             x = F.col(f"`{c}`").cast("double")
+            g = x * GRID
             exprs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"), F.min(x).alias(f"lo{i}"),
-                      F.max(x).alias(f"hi{i}"), F.count_if(x != F.floor(x)).alias(f"f{i}")]
+                      F.max(x).alias(f"hi{i}"), F.count_if(x != F.floor(x)).alias(f"f{i}"),
+                      F.count_if(F.abs(g - F.rint(g)) > F.greatest(F.lit(1.0), F.abs(g)) * 1e-9).alias(f"g{i}")]
         row = df.agg(*exprs).first()
         for i, c in enumerate(chunk):
-            lo, hi = row[f"lo{i}"], row[f"hi{i}"]
-            if row[f"f{i}"]:
-                fractional.append(c)
-                info[c] = (row[f"n{i}"], -1)
-            elif lo is None:
-                info[c] = (row[f"n{i}"], 0)
-            elif math.isinf(lo) or math.isinf(hi):
+            n, lo, hi = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
+            if lo is None:
+                info[c] = (n, 0)
+            elif math.isinf(lo) or math.isinf(hi) or row[f"g{i}"]:
                 fractional.append(c)
-                info[c] = (row[f"n{i}"], -1)
+                info[c] = (n, -1)
             else:
-                info[c] = (row[f"n{i}"], int(min(hi - lo + 1, 2 ** 62)))
-    if fractional:
-        sk = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(fractional)]).first()
-        for i, c in enumerate(fractional):
+                scale = 1 if not row[f"f{i}"] else GRID
+                info[c] = (n, int(min((hi - lo) * scale + 1, 2 ** 62)))
+    todo = [c for c in fractional if sketch is None or c in sketch]
+    if todo:
+        sk = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(todo)]).first()
+        for i, c in enumerate(todo):
             # the sketch errs by a few percent: pad it so the bound stays safe
             info[c] = (info[c][0], int(sk[f"d{i}"] * 1.2) + 1)
     return info

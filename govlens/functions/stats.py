@@ -42,10 +42,11 @@ def quantile_expr(c: str, qs: list[float] | float, exact: bool = True, accuracy:
     return F.percentile_approx(col, qs if isinstance(qs, float) else list(qs), accuracy)
 
 
-def null_and_distinct(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int]]:
+def null_and_distinct(df: DataFrame, columns: list[str], sketch: list[str] | None = None
+                      ) -> dict[str, tuple[int, int]]:
     """(missing count, upper bound on distinct count) per column."""
     from govlens.functions.quantiles import profile_columns
-    return profile_columns(df, columns)
+    return profile_columns(df, columns, sketch)
 
 
 def median_map(df: DataFrame, columns: list[str], exact: bool = True,

@@ -154,9 +154,11 @@ def clean_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> Data
     column stays missing.  The listed columns are cast to double (the model
     stages need doubles)."""
     df = nan_to_null(df, also_inf=True)
-    prof = stats.null_and_distinct(df, columns)
+    prof = stats.null_and_distinct(df, columns, sketch=[])
     gaps = [c for c, (n, _) in prof.items() if n]
-    meds = stats.median_map(df, gaps, exact, {c: prof[c][1] for c in gaps})
+    # distinct bounds of gap columns off any grid (-1) are sketched by median_map
+    known = {c: prof[c][1] for c in gaps if prof[c][1] >= 0}
+    meds = stats.median_map(df, gaps, exact, known if len(known) == len(gaps) else None)
     cols = set(columns)
     return df.select(*[
         F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(meds.get(c)).cast("double")).alias(c) if c in cols

@@ -146,34 +146,23 @@ def davies_bouldin(df: DataFrame, cols: list[str], cluster: str = "cluster") ->
 
 
 def silhouette_sq(df: DataFrame, cols: list[str], cluster: str = "cluster") -> DataFrame:
-    """Mean silhouette with SQUARED Euclidean distance, in linear time.
+    """Mean silhouette with SQUARED Euclidean distance, in linear time, by
+    MLlib's ``ClusteringEvaluator``: per-cluster sums (a row per cluster)
+    replace all point pairs, since the sum over y in C of |x - y|^2 is
+    n_C |x|^2 - 2 x.S_C + Q_C.  Own cluster: mean over the other n_A - 1
+    points; a point alone in its cluster scores 0."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.feature import VectorAssembler
 
-    For a point x and cluster C: sum over y in C of |x - y|^2 equals
-    n_C |x|^2 - 2 x.S_C + Q_C (S_C the vector sum, Q_C the sum of squared
-    norms), so per-cluster sums (k rows) replace all point pairs.  Own
-    cluster: mean over the other n_A - 1 points; a point alone in its cluster
-    scores 0.
-    """
-    x2 = reduce(lambda a, b: a + b, [F.col(f"`{c}`") ** 2 for c in cols])
-    st = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
-                                 *[F.sum(F.col(f"`{c}`")).alias(f"s_{i}") for i, c in enumerate(cols)],
-                                 F.sum(x2).alias("q")).collect()   # one row per cluster
     spark = df.sparkSession
-    if len(st) < 2:
+    k = df.select(cluster).distinct().limit(2).count()
+    if k < 2:
         return spark.createDataFrame([(None,)], "silhouette double")
-    own_sum, own_n, others = [], [], []
-    for r in st:
-        dot = reduce(lambda a, b: a + b, [F.col(f"`{c}`") * F.lit(float(r[f"s_{i}"])) for i, c in enumerate(cols)])
-        total = F.lit(float(r["n"])) * x2 - 2 * dot + F.lit(float(r["q"]))
-        is_own = F.col(cluster) == F.lit(r[cluster])
-        own_sum.append(F.when(is_own, total))
-        own_n.append(F.when(is_own, F.lit(r["n"])))
-        others.append(F.when(~is_own, total / F.lit(float(r["n"]))))
-    n_own = F.coalesce(*own_n)
-    a = F.coalesce(*own_sum) / (n_own - 1)
-    b = F.least(*others)
-    s = F.when(n_own <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
-    return df.agg(F.avg(s).alias("silhouette"))
+    vec = (VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="keep").transform(df)
+           .select("_features", F.col(cluster).cast("double").alias("_cluster")))
+    ev = ClusteringEvaluator(featuresCol="_features", predictionCol="_cluster", metricName="silhouette",
+                             distanceMeasure="squaredEuclidean")
+    return spark.createDataFrame([(float(ev.evaluate(vec)),)], "silhouette double")
 
 
 def elbow_k(inertias: DataFrame, k: str = "k", value: str = "inertia", default: int = 2) -> DataFrame:
