@@ -10,12 +10,14 @@ from govlens.functions.quantiles import exact_quantiles
 from govlens.functions.stats import quantile_expr, _chunks
 
 
-def iqr_bounds(features: DataFrame, columns: list[str], k: float = 1.5, exact: bool = True) -> DataFrame:
+def iqr_bounds(features: DataFrame, columns: list[str], k: float = 1.5, exact: bool = True,
+               distinct: dict[str, int] | None = None) -> DataFrame:
     """(feature, q1, q3, lower, upper) per column; quartiles by linear
     interpolation; all columns in one aggregate (chunked when very wide)."""
     if exact:
         # exact quartiles, routed by distinct count (no unbounded single-task buffer)
-        qv = exact_quantiles(features, columns, [0.25, 0.75])
+        known = distinct if distinct and all(distinct.get(c, -1) >= 0 for c in columns) else None
+        qv = exact_quantiles(features, columns, [0.25, 0.75], distinct=known)
         b = features.sparkSession.createDataFrame(
             [(c, qv[c][0], qv[c][1]) for c in columns], "feature string, q1 double, q3 double")
     else:

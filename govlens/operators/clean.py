@@ -149,12 +149,15 @@ def numeric_only(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-def clean_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+def clean_numeric(df: DataFrame, columns: list[str], exact: bool = True, profile_out: dict | None = None) -> DataFrame:
     """+-Inf and NaN -> missing, then each column's median; an all-missing
     column stays missing.  The listed columns are cast to double (the model
     stages need doubles)."""
     df = nan_to_null(df, also_inf=True)
     prof = stats.null_and_distinct(df, columns, sketch=[])
+    if profile_out is not None:
+        # distinct bounds after the fill: at most one new value (the median)
+        profile_out.update({c: (b + 1 if b >= 0 else -1) for c, (_, b) in prof.items()})
     gaps = [c for c, (n, _) in prof.items() if n]
     # distinct bounds of gap columns off any grid (-1) are sketched by median_map
     known = {c: prof[c][1] for c in gaps if prof[c][1] >= 0}
