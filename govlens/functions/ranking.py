@@ -75,3 +75,34 @@ def stratified_rank(df: DataFrame, class_col: str | None, order_col: str, tie_co
     return (ranked.join(F.broadcast(offsets), keys)
                   .withColumn("_rank", F.col("_boff") + F.col("_rn"))
                   .drop("_bucket", "_rn", "_boff"))
+
+
+def ranked_segments(df: DataFrame, class_col: str | None, order_col: str, tie_cols: list[str],
+                    segment, prefix_len: int = 4) -> DataFrame:
+    """Add ``_seg`` = segment(rank, class size) without ranking most rows.
+
+    ``segment(rank, n)`` maps a 1-based rank inside the class to a segment
+    (test/train, fold number) and must be non-decreasing in rank.  Bucket
+    offsets come from a small table of per-(class, bucket) counts; a bucket
+    whose first and last ranks fall in the same segment takes it wholesale
+    (a broadcast join, no shuffle of the data).  Only the few buckets that
+    straddle a segment boundary (at most one per boundary and class) are
+    ranked row by row.
+    """
+    b = df.withColumn("_bucket", F.substring(F.col(order_col), 1, prefix_len))
+    keys = ([class_col] if class_col else []) + ["_bucket"]
+    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"))
+    w_cls = Window.partitionBy(class_col) if class_col else Window.partitionBy()
+    w_off = w_cls.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_bn", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_boff"),
+                            F.sum("_bn").over(w_cls).alias("_class_n"))
+    offsets = (offsets.withColumn("_s0", segment(F.col("_boff") + 1, F.col("_class_n")))
+                      .withColumn("_s1", segment(F.col("_boff") + F.col("_bn"), F.col("_class_n")))
+                      .drop("_bn"))
+    # offsets: at most classes x 16**prefix_len rows
+    j = b.join(F.broadcast(offsets), keys)
+    whole = j.where(F.col("_s0") == F.col("_s1")).withColumn("_seg", F.col("_s0"))
+    local = Window.partitionBy(*keys).orderBy(order_col, *tie_cols)
+    edge = (j.where(F.col("_s0") != F.col("_s1"))
+             .withColumn("_seg", segment(F.col("_boff") + F.row_number().over(local), F.col("_class_n"))))
+    return whole.unionByName(edge).drop("_bucket", "_boff", "_class_n", "_s0", "_s1")
