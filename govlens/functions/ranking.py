@@ -1,10 +1,10 @@
 """Distributed ranks without a global single-partition window.
 
 ``dense_index`` gives every distinct value of a column its 0-based position
-in ascending order; ``stratified_rank`` gives every row its 1-based position
-inside its class in hash order.  Both are two-level: a small table of
-per-bucket counts is prefix-summed (its size is bounded by the number of
-buckets, not by the data) and a row number is taken only inside buckets, so
+in ascending order; ``ranked_segments`` cuts every class, in hash order,
+into rank segments (test/train, folds).  Both are two-level: a small table
+of per-bucket counts is prefix-summed (its size is bounded by the number of
+buckets, not by the data) and row numbers are taken only inside buckets, so
 no task ever holds a whole class or a whole column.
 """
 
@@ -52,31 +52,6 @@ def hash_key(key_cols: list[str], seed: int) -> "F.Column":
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-def stratified_rank(df: DataFrame, class_col: str | None, order_col: str, tie_cols: list[str],
-                    prefix_len: int = 4) -> DataFrame:
-    """Add ``_rank`` (1-based position inside the class by ``order_col`` then
-    ``tie_cols``) and ``_class_n`` (class size).
-
-    ``order_col`` is a hex hash; its first ``prefix_len`` characters form the
-    bucket (16**prefix_len buckets), so a class holding a third of all rows is
-    still spread over many tasks.
-    """
-    cls = [F.col(class_col)] if class_col else []
-    b = df.withColumn("_bucket", F.substring(F.col(order_col), 1, prefix_len))
-    keys = ([class_col] if class_col else []) + ["_bucket"]
-    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"))
-    w_cls = Window.partitionBy(*cls) if cls else Window.partitionBy()
-    w_off = w_cls.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_boff"),
-                            F.sum("_bn").over(w_cls).alias("_class_n"))
-    local = Window.partitionBy(*keys).orderBy(order_col, *tie_cols)
-    ranked = b.withColumn("_rn", F.row_number().over(local))
-    # offsets: at most classes x 16**prefix_len rows (65,536 per class at the default)
-    return (ranked.join(F.broadcast(offsets), keys)
-                  .withColumn("_rank", F.col("_boff") + F.col("_rn"))
-                  .drop("_bucket", "_rn", "_boff"))
-
-
 def ranked_segments(df: DataFrame, class_col: str | None, order_col: str, tie_cols: list[str],
                     segment, prefix_len: int = 4) -> DataFrame:
     """Add ``_seg`` = segment(rank, class size) without ranking most rows.

@@ -16,7 +16,8 @@ def histogram(df: DataFrame, value: str, bins: int = BINS, by: str | None = None
     keys = [by] if by else []
     v = F.col(f"`{value}`").cast("double")
     data = df.select(*[F.col(k) for k in keys], v.alias("x")).where(F.col("x").isNotNull())
-    rng = data.groupBy(*keys).agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"))
+    # no value at all -> no bins (a global aggregate of nothing yields one NULL row)
+    rng = data.groupBy(*keys).agg(F.min("x").alias("lo0"), F.max("x").alias("hi0")).where(F.col("lo0").isNotNull())
     rng = rng.select(*keys, F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
                      F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
     # one row per group: bounded broadcast
