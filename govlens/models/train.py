@@ -9,6 +9,7 @@ differ between the libraries.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -66,16 +67,27 @@ def _label_double(df: DataFrame) -> DataFrame:
     return df.withColumn("label", F.col("label").cast("double"))
 
 
+def _parallel(fn, items, parallelism: int):
+    """Run independent Spark fits from several driver threads (Spark schedules
+    their jobs side by side, like CrossValidator's ``parallelism``)."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(fn, items))
+
+
 def cross_validate(factory, train: DataFrame, cols: list[str], keys: list[str], k: int = 5, seed: int = 42,
-                   ctx: dict | None = None) -> DataFrame:
+                   ctx: dict | None = None, parallelism: int = 4) -> DataFrame:
     """(fold, accuracy) over ``k`` stratified folds of the training part."""
     folded = cv_folds(train, keys, "label", k, seed).persist()
-    rows = []
-    for f in range(k):
+
+    def one(f: int):
         tr, te = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)
         model = Pipeline(stages=[assembler(cols), factory(ctx or {})]).fit(tr)
         acc = model.transform(te).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-        rows.append((f, acc))
+        return (f, acc)
+
+    rows = _parallel(one, list(range(k)), parallelism)
     folded.unpersist()
     return train.sparkSession.createDataFrame(rows, "fold int, accuracy double")
 
@@ -138,15 +150,14 @@ def train_regressors(features: DataFrame, cols: list[str], keys: list[str], algo
     return out
 
 
-def kmeans_fit(data: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = 10) -> PipelineModel:
-    """Best of ``n_init`` seeded k-means runs by training cost."""
-    best, best_cost = None, None
-    for s in range(seed, seed + n_init):
+def kmeans_fit(data: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = 10,
+               parallelism: int = 1) -> PipelineModel:
+    """Best of ``n_init`` seeded k-means runs by training cost (earliest seed on ties)."""
+    def one(s: int):
         m = Pipeline(stages=[assembler(cols), REG.kmeans(k, s)]).fit(data)
-        cost = m.stages[-1].summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = m, cost
-    return best
+        return (m.stages[-1].summary.trainingCost, s, m)
+    runs = _parallel(one, list(range(seed, seed + n_init)), parallelism)
+    return min(runs, key=lambda r: (r[0], r[1]))[2]
 
 
 def elbow_inertias(data: DataFrame, cols: list[str], max_k: int = 10, seed: int = 42, n_init: int = 10,
@@ -154,10 +165,11 @@ def elbow_inertias(data: DataFrame, cols: list[str], max_k: int = 10, seed: int
     """(k, inertia) for k = 2..min(max_k, n // 2)."""
     n = n_rows if n_rows is not None else data.count()
     top = min(max_k, n // 2)
-    rows = []
-    for k in range(2, top + 1):
-        m = kmeans_fit(data, cols, k, seed, n_init)
-        rows.append((k, float(m.stages[-1].summary.trainingCost)))
+
+    def one(k: int):
+        return (k, float(kmeans_fit(data, cols, k, seed, n_init).stages[-1].summary.trainingCost))
+
+    rows = _parallel(one, list(range(2, top + 1)), 4)
     return data.sparkSession.createDataFrame(rows, "k long, inertia double")
 
 
