@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from govlens.operators import anomaly as A, patterns as P, risk as R, usage as U
 from govlens.plans import oracle as O
 from govlens.plans.context import AS_OF, IT_DEPARTMENT, LOW_FREQ_MIN_RATE

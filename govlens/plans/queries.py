@@ -11,8 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from govlens.plans import oracle as O
-from govlens.plans.context import AS_OF, IT_DEPARTMENT, LOW_FREQ_MIN_RATE, context
+from govlens.plans.context import context
 
 ROUND = 6
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -33,6 +32,3 @@ def query(name: str, sql: str | None):
         return fn
     return deco
 
-
-def float_cols(*names: str) -> list[str]:
-    return list(names)
