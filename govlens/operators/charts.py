@@ -18,9 +18,12 @@ def histogram(df: DataFrame, value: str, bins: int = BINS, by: str | None = None
     rng = data.groupBy(*keys).agg(F.min("x").alias("lo0"), F.max("x").alias("hi0")).where(F.col("lo0").isNotNull())
     rng = rng.select(*keys, F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
                      F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
-    # one row per group: bounded broadcast
+    # one row per group: no hint - the planner/AQE broadcasts it once its
+    # measured size is under the threshold (a group column of unbounded
+    # cardinality then falls back to a shuffle join); the ungrouped range is
+    # a single row
     if keys:
-        j = data.join(F.broadcast(rng), keys)
+        j = data.join(rng, keys)
     else:
         j = data.withColumn("_k", F.lit(1)).join(F.broadcast(rng.withColumn("_k", F.lit(1))), "_k")
     idx = F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
@@ -117,8 +120,8 @@ def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5) -> DataFrame:
                                             f"`{by}` {dt}, q1 double, median double, q3 double")
     lo = F.col("q1") - k * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + k * (F.col("q3") - F.col("q1"))
-    # one row per group: bounded broadcast
-    j = df.where(v.isNotNull()).join(F.broadcast(q), by)
+    # one row per group, joined without a hint: AQE broadcasts it when measured small
+    j = df.where(v.isNotNull()).join(q, by)
     inside = (v >= lo) & (v <= hi)
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
