@@ -124,9 +124,10 @@ def train_classifiers(features: DataFrame, cols: list[str], keys: list[str], alg
                 scores = cross_validate(factory, train, cols, keys, cv, seed, ctx)
                 m.update(cv_summary(scores).first().asDict())
             imp = importances_frame(features.sparkSession, name, cols, model.stages[-1])
-            out.append(TrainResult(name, "classifier", model, m, imp, {"test": test}))
+            out.append(TrainResult(name, "classifier", model, m, imp))
         except Exception as e:  # noqa: BLE001 - one failing model must not stop the rest
             log.error("training %s failed: %s", name, e)
+    split.unpersist()
     return out, split
 
 
@@ -147,6 +148,7 @@ def train_regressors(features: DataFrame, cols: list[str], keys: list[str], algo
             out.append(TrainResult(name, "regressor", model, m, imp))
         except Exception as e:  # noqa: BLE001
             log.error("training %s failed: %s", name, e)
+    split.unpersist()
     return out
 
 
