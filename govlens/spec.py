@@ -40,6 +40,8 @@ class MergeSpec:
         for j in d.get("joins", []) or []:
             # invalid entries are kept as None and skipped by merge_tables,
             # like the reference's "skip with a warning"
+            if isinstance(j, dict) and "on" not in j and True in j:
+                j = {**j, "on": j[True]}          # YAML 1.1 reads an unquoted `on:` key as true
             if not isinstance(j, dict) or not j.get("table") or not j.get("on"):
                 steps.append(None)
                 continue
@@ -137,6 +139,20 @@ class PipelineSpec:
                             InsightSpec.from_dict(d.get("insights_config")))
 
 
+def load_spec(path: str) -> PipelineSpec:
+    """A spec file with the reference's layout (tables / merge_strategy /
+    ml_config / insights_config): YAML when PyYAML is installed, else JSON."""
+    with open(path) as fh:
+        text = fh.read()
+    try:
+        import yaml
+        data = yaml.safe_load(text)
+    except ImportError:
+        import json
+        data = json.loads(text)
+    return PipelineSpec.from_dict(data or {})
+
+
 def default_spec_dict() -> dict:
     """The reference's default configuration, as a dict."""
     return {

@@ -40,3 +40,31 @@ def test_jdbc_options():
     assert o["partitionColumn"] == "request_id" and o["numPartitions"] == "4"
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x", "t", partition_column="k")
+
+
+def test_load_spec_yaml_layout(tmp_path):
+    from govlens.spec import load_spec
+    p = tmp_path / "schema.yaml"
+    p.write_text("""
+tables:
+  decision_history:
+    columns: [request_id, user_id, decision]
+    primary_key: request_id
+merge_strategy:
+  base_table: decision_history
+  joins:
+    - table: access_usage
+      "on": [user_id, access_item]
+      how: left
+    - not_a_dict
+ml_config:
+  target_column: decision
+  models:
+    classification: {enabled: false}
+insights_config:
+  risk_threshold: 0.8
+""")
+    spec = load_spec(str(p))
+    assert spec.tables["decision_history"].columns == ["request_id", "user_id", "decision"]
+    assert spec.merge.joins[0].on == ["user_id", "access_item"] and spec.merge.joins[1] is None
+    assert spec.models.classification_enabled is False and spec.insights.risk_threshold == 0.8
