@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 PERCENTILE_MAX_DISTINCT = 100_000
 
@@ -120,14 +120,20 @@ def profile_columns(df: DataFrame, columns: list[str], sketch: list[str] | None
     from govlens.functions.stats import _chunks
     info: dict[str, tuple[int, int]] = {}
     fractional: list[str] = []
+    integral = {f.name for f in df.schema.fields
+                if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
     for chunk in _chunks(columns, 50):
         exprs = []
         for i, c in enumerate(chunk):
             x = F.col(f"`{c}`").cast("double")
-            g = x * GRID
             exprs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"), F.min(x).alias(f"lo{i}"),
-                      F.max(x).alias(f"hi{i}"), F.count_if(x != F.floor(x)).alias(f"f{i}"),
-                      F.count_if(F.abs(g - F.rint(g)) > F.greatest(F.lit(1.0), F.abs(g)) * 1e-9).alias(f"g{i}")]
+                      F.max(x).alias(f"hi{i}")]
+            if c in integral:         # the type already says: on the integer grid
+                exprs += [F.lit(0).alias(f"f{i}"), F.lit(0).alias(f"g{i}")]
+            else:
+                g = x * GRID
+                exprs += [F.count_if(x != F.floor(x)).alias(f"f{i}"),
+                          F.count_if(F.abs(g - F.rint(g)) > F.greatest(F.lit(1.0), F.abs(g)) * 1e-9).alias(f"g{i}")]
         row = df.agg(*exprs).first()
         for i, c in enumerate(chunk):
             n, lo, hi = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
