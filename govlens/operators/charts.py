@@ -25,7 +25,10 @@ def histogram(df: DataFrame, value: str, bins: int = BINS, by: str | None = None
     if keys:
         j = data.join(rng, keys)
     else:
-        j = data.withColumn("_k", F.lit(1)).join(F.broadcast(rng.withColumn("_k", F.lit(1))), "_k")
+        r = rng.first()                      # the whole range is two numbers
+        if r is None:
+            return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, n bigint")
+        j = data.select("x", F.lit(r["lo"]).alias("lo"), F.lit(r["hi"]).alias("hi"))
     idx = F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
                   F.lit(bins - 1)).cast("int")
     counts = j.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -31,7 +31,7 @@ def class_stats(df: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def _per_class(stats: DataFrame) -> DataFrame:
-    return stats.select("cls", "support",
+    return stats.select("cls", "support", "tp",
                         _div0(F.col("tp"), F.col("n_pred")).alias("precision"),
                         _div0(F.col("tp"), F.col("support")).alias("recall"),
                         _div0(2 * F.col("tp"), F.col("support") + F.col("n_pred")).alias("f1_score"))
@@ -41,18 +41,18 @@ def classification_metrics(df: DataFrame, binary: bool, label: str = "label", pr
                            positive: float = 1.0) -> DataFrame:
     """accuracy, precision, recall, f1_score: positive class only when
     ``binary`` (the target has two classes), else support-weighted means."""
-    acc = df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
-    pc = _per_class(class_stats(df, label, prediction))
+    st = class_stats(df, label, prediction)
+    pc = _per_class(st)
+    # accuracy = correct / rows = sum of per-class true positives / sum of supports
+    acc = F.try_divide(F.sum("tp").cast("double"), F.sum("support"))
     if binary:
-        m = pc.where(F.col("cls") == positive).select("precision", "recall", "f1_score")
-        m = m.unionByName(df.sparkSession.createDataFrame([(0.0, 0.0, 0.0)], "precision double, recall double, f1_score double")) \
-             .agg(F.max("precision").alias("precision"), F.max("recall").alias("recall"), F.max("f1_score").alias("f1_score"))
-    else:
-        tot = F.sum("support")
-        m = pc.agg(*[_div0(F.sum(F.col(c) * F.col("support")), tot).alias(c) for c in ("precision", "recall", "f1_score")])
-    # two one-row frames side by side: a join on a constant key of single rows
-    return (acc.withColumn("_k", F.lit(1)).join(m.withColumn("_k", F.lit(1)), "_k")
-               .select("accuracy", "precision", "recall", "f1_score"))
+        pos = F.col("cls") == positive
+        return pc.agg(acc.alias("accuracy"),
+                      *[F.coalesce(F.max(F.when(pos, F.col(c))), F.lit(0.0)).alias(c)
+                        for c in ("precision", "recall", "f1_score")])
+    tot = F.sum("support")
+    return pc.agg(acc.alias("accuracy"),
+                  *[_div0(F.sum(F.col(c) * F.col("support")), tot).alias(c) for c in ("precision", "recall", "f1_score")])
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
