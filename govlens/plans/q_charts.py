@@ -59,10 +59,19 @@ UNPIVOT = (",\nuv AS (unpivot (select * from features) on " + ", ".join(FL) + "
            "\nsrc AS (select feature, x from uv where feature in (select feature from top6))")
 
 
+def _by_variance(ctx) -> list[str]:
+    """Feature names by sample variance, largest first (one aggregate per
+    session, shared by the variance-driven charts)."""
+    if "by_variance" not in ctx.extra:
+        cols = ctx.ff.feature_columns
+        ctx.extra["by_variance"] = CH.top_variance_columns(ctx.features, cols, len(cols))
+    return ctx.extra["by_variance"]
+
+
 @query("hist_top_features", O.r6(HIST_FLOATS, W(*O.FEAT).rstrip() + UNPIVOT + hist_sql("src", "x", "feature")))
 def q_hist_top_features(ctx):
-    f, cols = ctx.features, ctx.ff.feature_columns
-    top = CH.top_variance_columns(f, cols, 6)
+    f = ctx.features
+    top = _by_variance(ctx)[:6]
     long = f.select(*top).unpivot([], top, "feature", "x")
     return CH.histogram(long, "x", by="feature")
 
@@ -162,7 +171,7 @@ from pairs group by 1, 2"""
 
 @query("correlation_matrix", O.r6(["corr"], CORR_SQL))
 def q_correlation_matrix(ctx):
-    top = CH.top_variance_columns(ctx.features, ctx.ff.feature_columns, 20)
+    top = _by_variance(ctx)[:20]
     return CH.correlation_matrix(ctx.features, top)
 
 
