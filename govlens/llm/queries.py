@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from govlens.llm import lines, secrets
+from govlens.llm import lines, secrets, simhash, vectors, warc
 
 REGISTRY = {
     "op1_line_dedup": (lines.op1, lines.ORACLE),
+    "op3_embedding_near_dedup": (vectors.op3, None),
+    "op4_simhash_near_dedup": (simhash.op4, None),
+    "op6_warc_archive": (warc.op6, warc.ORACLE),
     "op8_secret_scan": (secrets.op8, secrets.oracle()),
 }
