@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from govlens.llm import langid, lines, packing, secrets, simhash, vectors, warc
+from govlens.llm import decontam, langid, lines, packing, pages, quality, secrets, simhash, vectors, warc
 
 REGISTRY = {
     "op1_line_dedup": (lines.op1, lines.ORACLE),
     "op2_best_fit_packing": (packing.op2, None),
     "op3_embedding_near_dedup": (vectors.op3, None),
     "op4_simhash_near_dedup": (simhash.op4, None),
+    "op5_html_extraction": (pages.op5, None),
     "op6_warc_archive": (warc.op6, warc.ORACLE),
     "op7_language_id": (langid.op7, None),
     "op8_secret_scan": (secrets.op8, secrets.oracle()),
+    "op9_benchmark_decontamination": (decontam.op9, None),
+    "op10_quality_classifier": (quality.op10, None),
 }
