@@ -22,90 +22,121 @@ from govlens.llm.common import ASCII_SPACE, row_key, table
 BAD, GOOD, ABSTAIN = 0, 1, 2
 
 
-def labellers(text: Column) -> dict[str, Column]:
-    """Votes (0 bad, 1 good, 2 abstain) of each heuristic, in one pass of JVM-side expressions."""
-    t = F.coalesce(text, F.lit(""))
-    n = F.char_length(t)
-    words = F.filter(F.split(F.translate(t, ASCII_SPACE, " " * len(ASCII_SPACE)), " ", -1), lambda w: w != "")
-    n_words = F.size(words)
-    left = lambda chars: n - F.char_length(F.translate(t, chars, ""))
-    lines = F.split(t, "\n", -1)
-
-    def vote(bad: Column, good: Column, known: Column = None) -> Column:
-        v = F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
-        return (v if known is None else F.when(known, v).otherwise(ABSTAIN)).cast("int")
-
-    some, many, runs = n_words >= 5, n_words >= 30, F.size(lines) >= 4
-    symbols = left("%$#*&@^~<>{}[]\\") / n
-    upper = left("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / n
-    calls = left("!?") / n_words
-    bars = left("|\t=_") / n_words
-    stops = left(".,;:") / n_words
-    variety = F.size(F.array_distinct(words)) / n_words
-    lengths = n / n_words
-    repeats = 1 - F.size(F.array_distinct(lines)) / F.size(lines)
-    return {
-        "symbols": vote(symbols > 0.05, symbols < 0.005, some),
-        "upper_case": vote(upper > 0.3, upper < 0.06, some),
-        "calls": vote(calls > 0.5, calls < 0.1, some),
-        "bars": vote(bars > 0.1, bars < 0.02, some),
-        "sentences": vote((stops < 0.01) | (stops > 0.6), stops.between(0.04, 0.3), many),
-        "variety": vote(variety < 0.45, variety > 0.6, many),
-        "word_length": vote((lengths < 3) | (lengths > 12), lengths.between(4, 8), some),
-        "repeated_lines": vote(repeats > 0.5, repeats < 0.1, runs),
+#: The heuristics, in the order of their votes.
+LABELLERS = ("symbols", "upper_case", "calls", "bars", "sentences", "variety", "word_length", "repeated_lines")
+
+
+def with_votes(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` plus a column per heuristic with its vote (0 bad, 1 good, 2 abstain), by JVM-side expressions.
+
+    The figures are columns of their own, so that each is worked out once.
+    """
+    t = F.coalesce(F.col(text_col), F.lit(""))
+    left = lambda chars: F.char_length("_t") - F.char_length(F.translate("_t", chars, ""))
+    out = docs.withColumn("_t", t) \
+        .withColumn("_words", F.array_remove(F.split(F.translate("_t", ASCII_SPACE, " " * len(ASCII_SPACE)), " ", -1), "")) \
+        .withColumn("_lines", F.split("_t", "\n", -1))
+    n, n_words = F.greatest(F.char_length("_t"), F.lit(1)), F.greatest(F.size("_words"), F.lit(1))
+    figures = {
+        "symbols": left("%$#*&@^~<>{}[]\\") / n,
+        "upper_case": left("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / n,
+        "calls": left("!?") / n_words,
+        "bars": left("|\t=_") / n_words,
+        "sentences": left(".,;:") / n_words,
+        "variety": F.size(F.array_distinct("_words")) / n_words,
+        "word_length": F.char_length("_t") / n_words,
+        "repeated_lines": 1 - F.size(F.array_distinct("_lines")) / F.size("_lines"),
+    }
+    out = out.select(*docs.columns, F.size("_words").alias("_n_words"), F.size("_lines").alias("_n_lines"),
+                     *[v.alias(f"_{k}") for k, v in figures.items()])
+    some, many, runs = F.col("_n_words") >= 5, F.col("_n_words") >= 30, F.col("_n_lines") >= 4
+    f = {k: F.col(f"_{k}") for k in figures}
+    rules = {
+        "symbols": (some, f["symbols"] > 0.05, f["symbols"] < 0.005),
+        "upper_case": (some, f["upper_case"] > 0.3, f["upper_case"] < 0.06),
+        "calls": (some, f["calls"] > 0.5, f["calls"] < 0.1),
+        "bars": (some, f["bars"] > 0.1, f["bars"] < 0.02),
+        "sentences": (many, (f["sentences"] < 0.01) | (f["sentences"] > 0.6), f["sentences"].between(0.04, 0.3)),
+        "variety": (many, f["variety"] < 0.45, f["variety"] > 0.6),
+        "word_length": (some, (f["word_length"] < 3) | (f["word_length"] > 12), f["word_length"].between(4, 8)),
+        "repeated_lines": (runs, f["repeated_lines"] > 0.5, f["repeated_lines"] < 0.1),
     }
+    votes = {k: F.when(known & bad, BAD).when(known & good, GOOD).otherwise(ABSTAIN).cast("int")
+             for k, (known, bad, good) in rules.items()}
+    return out.select(*docs.columns, *[v.alias(_vote(k)) for k, v in votes.items()])
+
+
+def _vote(name: str) -> str:
+    return f"_vote_{name}"
+
+
+#: A heuristic finds its own fault at least this often, and calls a good document faulty at most this often.
+LEAST_FOUND, MOST_FALSE = 0.5, 0.05
 
 
 @dataclass
 class VoteModel:
-    """Per labeller and class the probability of each vote, and the share of good documents.
+    """The probability of a vote against a document, by class, and the shares of the classes.
 
-    A labeller that abstains says nothing, for either class: a short text is not a bad one.
+    Class 0 is good documents; each further class is the kind of fault that
+    one heuristic looks for.  Faults exclude each other far more than
+    independent votes on one kind of bad document would, and one class for all
+    of them follows whichever heuristics agree most.  A heuristic that abstains
+    says nothing, for any class: a short text is not a bad one.
     """
 
     names: list[str]
-    votes: np.ndarray        # labeller, class, vote
-    prior: float
+    against: np.ndarray      # class, heuristic
+    shares: np.ndarray       # class
 
     @classmethod
-    def fit(cls, names: list[str], patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> VoteModel:
-        """Expectation-maximisation over distinct patterns and their counts, from the majority vote."""
-        counts = counts.astype(np.float64)
-        good = ((patterns == GOOD).sum(axis=1) + 1.0) / ((patterns != ABSTAIN).sum(axis=1) + 2.0)
-        # one bad vote against many weak good ones is evidence: start from the votes' own balance
-        good = np.where((patterns == BAD).any(axis=1), np.minimum(good, 0.4), np.maximum(good, 0.6))
-        model = cls(names, np.ones((len(names), 2, 3)), 0.5)
+    def fit(cls, names: list[str], patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> VoteModel:
+        """Expectation-maximisation over distinct patterns and their counts."""
+        m, bad, said = len(names), patterns == BAD, patterns != ABSTAIN
+        by = np.column_stack([~bad.any(axis=1), bad]).astype(np.float64) + 0.01
+        by /= by.sum(axis=1, keepdims=True)
+        model = cls(names, np.zeros((m + 1, m)), np.zeros(m + 1))
         for _ in range(rounds):
-            last = good
-            for c, weight in ((GOOD, counts * good), (BAD, counts * (1 - good))):
-                for j in range(len(names)):
-                    v = np.bincount(patterns[:, j], weight, 3)[:2] + 0.5
-                    model.votes[j, c, :2] = v / v.sum()
-            model.prior = float(((counts * good).sum() + 1) / (counts.sum() + 2))
-            good = model.posterior(patterns)
-            if np.abs(good - last).max(initial=0) < 1e-9:
+            weight = by * counts[:, None]
+            model.against = (weight.T @ bad + 0.1) / (weight.T @ said + 0.2)
+            model.against[0] = np.minimum(model.against[0], MOST_FALSE)
+            own = np.arange(m)
+            model.against[own + 1, own] = np.maximum(model.against[own + 1, own], LEAST_FOUND)
+            model.shares = (weight.sum(axis=0) + 0.1) / (counts.sum() + 0.1 * (m + 1))
+            last, by = by, model.responsibilities(patterns)
+            if np.abs(by - last).max(initial=0) < 1e-9:
                 break
         return model
 
+    def log_votes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Log probabilities of a vote against and of one for, by class and heuristic."""
+        p = np.clip(self.against, 1e-6, 1 - 1e-6)
+        return np.log(p), np.log1p(-p)
+
+    def responsibilities(self, patterns: np.ndarray) -> np.ndarray:
+        no, yes = self.log_votes()
+        z = (patterns == BAD) @ no.T + (patterns == GOOD) @ yes.T + np.log(self.shares)
+        z = np.exp(z - z.max(axis=1, keepdims=True))
+        return z / z.sum(axis=1, keepdims=True)
+
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        at = np.arange(len(self.names))
-        log = [np.log(p) + np.log(self.votes[at, c, patterns]).sum(axis=1) for c, p in ((BAD, 1 - self.prior), (GOOD, self.prior))]
-        return 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
+        """How likely each pattern is a good document."""
+        return self.responsibilities(patterns)[:, 0]
 
     def accuracy(self) -> dict[str, float]:
-        """How often a labeller that votes is right, class by class in equal parts."""
-        right = [self.votes[:, c, c] for c in (BAD, GOOD)]
-        return dict(zip(self.names, (sum(right) / 2).tolist(), strict=True))
+        """How often a vote of each heuristic is right: for a good document, or against its own fault, in equal parts."""
+        own = np.arange(len(self.names))
+        return dict(zip(self.names, ((1 - self.against[0] + self.against[own + 1, own]) / 2).tolist(), strict=True))
 
 
 def vote_model(docs: DataFrame, text_col: str = "text") -> VoteModel | None:
     """Fitted to all of ``docs``; the driver gets at most 3 ** 8 patterns with their counts.  None for an empty table."""
-    votes = labellers(F.col(text_col))
-    found = docs.select(*[v.alias(k) for k, v in votes.items()]).groupBy(*votes).count().collect()
+    names = [_vote(k) for k in LABELLERS]
+    found = with_votes(docs.select(F.col(text_col).alias("_text")), "_text").groupBy(*names).count().collect()
     if not found:
         return None
     rows = np.array([list(r) for r in found], dtype=np.int64)
-    return VoteModel.fit(list(votes), rows[:, :-1], rows[:, -1])
+    return VoteModel.fit(list(LABELLERS), rows[:, :-1], rows[:, -1])
 
 
 _SHAPE = str.maketrans({c: "a" for c in "abcdefghijklmnopqrstuvwxyz"} | {c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
@@ -195,9 +226,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimen
     model = vote_model(docs, text_col)
     if model is None:
         return None
-    votes = labellers(F.col(text_col))
-    some = docs.select(F.col(text_col).alias("_text"), *row_key(id_col, text_col), F.array(*votes.values()).alias("_votes")) \
-        .orderBy("_k1", "_k2").limit(max_rows).select("_text", "_votes")
+    some = docs.select(F.col(text_col).alias("_text"), *row_key(id_col, text_col)).orderBy("_k1", "_k2").limit(max_rows)
+    some = with_votes(some, "_text").select("_text", F.array(*[_vote(k) for k in LABELLERS]).alias("_votes"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = Hasher(dimensions)
@@ -222,8 +252,6 @@ def classify(docs: DataFrame, fitted: tuple[VoteModel, Scorer] | None, text_col:
     if fitted is None:
         return docs.select("*", F.lit(0.0).alias("_quality"), F.lit(0.0).alias("_posterior"), F.lit(False).alias("_keep"))
     model, scorer = fitted
-    votes = labellers(F.col(text_col))
-    names = list(votes)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -231,12 +259,13 @@ def classify(docs: DataFrame, fitted: tuple[VoteModel, Scorer] | None, text_col:
         for s in batches:
             yield pd.Series([scorer.score(features(t)) for t in s.where(s.notna(), None)], index=s.index, dtype="float64")
 
-    def log_odds(j: int, vote: Column) -> Column:
-        by = [float(np.log(model.votes[j, GOOD, v] / model.votes[j, BAD, v])) for v in (BAD, GOOD, ABSTAIN)]
-        return F.when(vote == BAD, by[BAD]).when(vote == GOOD, by[GOOD]).otherwise(by[ABSTAIN])
-
-    odds = sum((log_odds(j, votes[n]) for j, n in enumerate(names)), F.lit(float(np.log(model.prior / (1 - model.prior)))))
-    return docs.select("*", score(text_col).alias("_quality"), (1 / (1 + F.exp(-odds))).alias("_posterior")) \
+    # the posterior of a row from its votes: a sum of logs per class
+    no, yes = model.log_votes()
+    logs = [sum((F.when(F.col(_vote(k)) == BAD, float(no[c, j])).when(F.col(_vote(k)) == GOOD, float(yes[c, j])).otherwise(0.0)
+                 for j, k in enumerate(LABELLERS)), F.lit(float(np.log(share)))) for c, share in enumerate(model.shares)]
+    posterior = 1 / sum((F.exp(x - F.col("_z0")) for x in logs[1:]), F.lit(1.0))
+    return with_votes(docs, text_col).withColumn("_z0", logs[0]) \
+        .select(*docs.columns, score(text_col).alias("_quality"), posterior.alias("_posterior")) \
         .withColumn("_keep", F.col("_quality") >= threshold)
 
 
