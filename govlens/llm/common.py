@@ -41,3 +41,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker holds of a batch, unless the session says otherwise: texts can be very long."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"),
+                       ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
+def held(docs: DataFrame, **named: str) -> DataFrame:
+    """``docs`` as one struct column ``_row``, and the columns that are worked on under names of their own.
+
+    Whatever else ``docs`` has, no name of an operator's own can clash with it.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       *[F.col(f"`{c}`").alias(n) for n, c in named.items()])
+
+
+def released(columns: list[str], **outputs: Column) -> list[Column]:
+    """The columns of ``_row`` again, and the outputs; an output takes the place of a column of its name."""
+    return [outputs.pop(c).alias(c) if c in outputs else F.col("_row").getField(c).alias(c) for c in columns] \
+        + [v.alias(k) for k, v in outputs.items()]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlens.llm.common import table
+from govlens.llm.common import bounded_batches, held, released, table
 
 _OTHER = re.compile(r"[\W_]+")
 
@@ -204,12 +204,13 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
                                  for t in s.where(s.notna(), None)], index=s.index, dtype=object)
         return find
 
-    out, names = docs, []
+    bounded_batches(docs.sparkSession)
+    out, names = held(docs, _text=text_col), []
     for i, block in enumerate(blocks()):
         names.append(f"_hits{i}")
-        out = out.withColumn(names[-1], finder(block)(F.col(text_col)))
+        out = out.withColumn(names[-1], finder(block)(F.col("_text")))
     none = F.from_json(F.lit("[]"), hits)
-    return out.select(*docs.columns, (F.concat(*names) if names else none).alias("_hits"))
+    return out.select(*released(docs.columns, _hits=F.concat(*names) if names else none))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govlens.llm.common import ASCII_SPACE, ascii_lower, row_key
+from govlens.llm.common import ASCII_SPACE, ascii_lower, held, released, row_key, table
 
 
 def line_array(text: Column) -> Column:
@@ -42,27 +42,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined back to the positions by sort-merge join (whose skewed partitions
     Spark splits), and a document's text is moved once.
     """
-    src = docs.select("*", *row_key(id_col, text_col))
-    keys = F.transform(line_array(F.col(text_col)), line_key)
+    src = held(docs, _id=id_col, _text=text_col).select("*", *row_key("_id", "_text"))
+    keys = F.transform(line_array(F.col("_text")), line_key)
     hashes = F.transform(keys, lambda k: F.struct(
         F.xxhash64(F.lit(1), k).alias("a"), F.xxhash64(F.lit(2), k).alias("b"),
         (F.char_length(k) >= min_chars).alias("long")))
-    at = src.select("_k1", "_k2", F.col(id_col).alias("_id"), F.posexplode(hashes).alias("_pos", "_h")) \
+    at = src.select("_k1", "_k2", "_id", F.posexplode(hashes).alias("_pos", "_h")) \
         .where("_h.long").select("_k1", "_k2", "_id", "_pos", F.col("_h.a").alias("_a"), F.col("_h.b").alias("_b"))
     frequent = at.select("_a", "_b", "_id").distinct() \
         .groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n")) \
         .where(F.col("_n") >= min_docs).select("_a", "_b")
     drops = at.join(frequent, ["_a", "_b"]).groupBy("_k1", "_k2").agg(F.collect_set("_pos").alias("_drop"))
-    lines = line_array(F.col(text_col))
+    out = src.join(drops, ["_k1", "_k2"], "left").withColumn("_lines", line_array(F.col("_text")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    out = src.join(drops, ["_k1", "_k2"], "left").withColumn("_lines", lines) \
-        .withColumn("_kept", F.when(F.col("_drop").isNotNull(), kept))
-    text = F.when(F.col("_kept").isNull(), F.coalesce(F.col(text_col), F.lit(""))) \
+    out = out.withColumn("_kept", F.when(F.col("_drop").isNotNull(), kept))
+    text = F.when(F.col("_kept").isNull(), F.coalesce("_text", F.lit(""))) \
         .otherwise(F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n"))
-    return out.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.size("_lines").cast("long").alias("_n_lines"),
-        F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long").alias("_n_dropped"))
+    return out.select(*released(
+        docs.columns, **{text_col: text}, _n_lines=F.size("_lines").cast("long"),
+        _n_dropped=F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long")))
 
 
 #: The digests of the kept text, in DuckDB.
@@ -80,7 +78,6 @@ FROM m GROUP BY doc_id
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    from govlens.llm.common import table
-    out = dedup_lines(table(spark, sf_dir, "documents"))
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
                       F.sha2("text", 256).alias("kept_sha256"))

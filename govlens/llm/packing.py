@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from govlens.llm.common import row_key, table, written
+from govlens.llm.common import bounded_batches, row_key, table, written
 
 #: Entries of each token cache, and the longest word that is kept in one.
 CACHE_ENTRIES, CACHE_BYTES = 400_000, 64
@@ -99,6 +99,7 @@ def tokenize(docs: DataFrame, text_col: str = "text", vocabulary: str = "word_bp
     ``path`` names the vocabulary file on every machine; without it the
     installed public file ``vocabulary`` is taken.
     """
+    bounded_batches(docs.sparkSession)
     others = [f for f in docs.schema.fields if f.name != text_col]
     names = [f.name for f in others]
     end = np.asarray([end_id], dtype="<u4").tobytes()

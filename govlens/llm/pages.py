@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlens.llm.common import table
+from govlens.llm.common import bounded_batches, held, released, table
 
 # Names of HTML.
 #: Elements whose content is not markup.
@@ -150,6 +150,7 @@ def learn_weights(pages: DataFrame, payload_col: str = "html") -> dict[str, floa
         rows = [(k, held[0][k], held[1][k]) for k in held[0] | held[1]]
         yield pd.DataFrame(rows, columns=["kind", "inside", "outside"])
 
+    bounded_batches(pages.sparkSession)
     found = pages.select(F.col(payload_col).alias("page")).where("page is not null") \
         .mapInPandas(run, "kind string, inside long, outside long") \
         .groupBy("kind").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect()
@@ -215,7 +216,9 @@ def extract_text(pages: DataFrame, weights: dict[str, float], payload_col: str =
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series([extract(p, weights) for p in s.where(s.notna(), None)], index=s.index, dtype=object)
-    return pages.withColumn("_text", run(payload_col))
+    bounded_batches(pages.sparkSession)
+    src = held(pages, _page=payload_col)
+    return src.select(*released(pages.columns, _text=run("_page")))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

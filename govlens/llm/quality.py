@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govlens.llm.common import ASCII_SPACE, row_key, table
+from govlens.llm.common import ASCII_SPACE, bounded_batches, held, released, row_key, table
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 
@@ -226,7 +226,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimen
     model = vote_model(docs, text_col)
     if model is None:
         return None
-    some = docs.select(F.col(text_col).alias("_text"), *row_key(id_col, text_col)).orderBy("_k1", "_k2").limit(max_rows)
+    bounded_batches(docs.sparkSession)
+    some = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
+        .select("_text", *row_key("_id", "_text")).orderBy("_k1", "_k2").limit(max_rows)
     some = with_votes(some, "_text").select("_text", F.array(*[_vote(k) for k in LABELLERS]).alias("_votes"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -264,9 +266,9 @@ def classify(docs: DataFrame, fitted: tuple[VoteModel, Scorer] | None, text_col:
     logs = [sum((F.when(F.col(_vote(k)) == BAD, float(no[c, j])).when(F.col(_vote(k)) == GOOD, float(yes[c, j])).otherwise(0.0)
                  for j, k in enumerate(LABELLERS)), F.lit(float(np.log(share)))) for c, share in enumerate(model.shares)]
     posterior = 1 / sum((F.exp(x - F.col("_z0")) for x in logs[1:]), F.lit(1.0))
-    return with_votes(docs, text_col).withColumn("_z0", logs[0]) \
-        .select(*docs.columns, score(text_col).alias("_quality"), posterior.alias("_posterior")) \
-        .withColumn("_keep", F.col("_quality") >= threshold)
+    out = with_votes(held(docs, _text=text_col), "_text").withColumn("_z0", logs[0]) \
+        .select("_row", score("_text").alias("_q"), posterior.alias("_p"))
+    return out.select(*released(docs.columns, _quality=F.col("_q"), _posterior=F.col("_p"), _keep=F.col("_q") >= threshold))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from govlens.llm import decontam, langid, lines, packing, pages, quality, secret
 REGISTRY = {
     "op1_line_dedup": (lines.op1, lines.ORACLE),
     "op2_best_fit_packing": (packing.op2, None),
-    "op3_embedding_near_dedup": (vectors.op3, None),
+    "op3_embedding_near_dedup": (vectors.op3, vectors.ORACLE),
     "op4_simhash_near_dedup": (simhash.op4, None),
     "op5_html_extraction": (pages.op5, None),
     "op6_warc_archive": (warc.op6, warc.ORACLE),

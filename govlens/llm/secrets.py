@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from govlens.llm.common import row_key, written
+from govlens.llm.common import held, released, row_key, table, written
 
 
 @dataclass(frozen=True)
@@ -157,8 +157,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty array); a repeated row gets its spans each time; an empty table
     gives an empty table.  Texts of any length are read whole.
     """
-    src = docs.select("*", *row_key(id_col, text_col))
-    texts = src.select("_k1", "_k2", F.col(text_col).alias("_text")).where(F.col("_text") != "")
+    src = held(docs, _id=id_col, _text=text_col).select("*", *row_key("_id", "_text"))
+    texts = src.select("_k1", "_k2", "_text").where(F.col("_text") != "")
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     parts = []
     if queries:
@@ -177,12 +177,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.col("_start").alias("start"), F.col("_order").alias("order"), F.col("_kind").alias("kind"),
             (F.col("_start") + F.col("_len")).alias("end"), F.col("_kind").isin(bases).alias("base")))).alias("_spans"))
     none = F.from_json(F.lit("[]"), spans.schema["_spans"].dataType)
-    return src.join(spans, ["_k1", "_k2"], "left") \
-        .select(*docs.columns, F.coalesce("_spans", none).alias("_spans"))
+    out = src.select("_row", "_k1", "_k2").join(spans, ["_k1", "_k2"], "left")
+    return out.select(*released(docs.columns, _spans=F.coalesce("_spans", none)))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
-    from govlens.llm.common import table
     out = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_spans")
     count = lambda kind: F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long")
     joined = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from govlens.llm.common import row_key, table, written
+from govlens.llm.common import bounded_batches, held, released, row_key, table, written
 from govlens.llm.components import connected_components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -130,8 +130,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and so a group.  A null id is larger than any other (a group of null ids
     has a null component).  An empty table gives an empty table.
     """
-    at = written(docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"),
-                             fingerprints(F.col(text_col), words).alias("fingerprint")), "simhash-prints")
+    bounded_batches(docs.sparkSession)
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    at = written(src.select(*row_key("id", "text"), "id", fingerprints(F.col("text"), words).alias("fingerprint")), "simhash-prints")
     of = fingerprint_components(at.select(F.col("fingerprint").alias("f")).distinct(), max_bits)
     at = at.join(of, at["fingerprint"] == of["f"], "left") \
         .withColumn("group", F.coalesce("component", "fingerprint")).drop("f", "component")
@@ -143,8 +144,9 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_co
     """The document of least id of each group (a null id only if there is no other; of repeated rows, one)."""
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "_k1", "_k2")).alias("m")) \
         .select("m._k1", "m._k2")
-    return docs.select("*", *row_key(id_col, text_col)).join(first, ["_k1", "_k2"], "left_semi") \
-        .dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    out = held(docs, _id=id_col, _text=text_col).select("_row", *row_key("_id", "_text")) \
+        .join(first, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+    return out.select(*released(docs.columns))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govlens.llm.common import table, written
+from govlens.llm.common import bounded_batches, table, written
 from govlens.llm.components import connected_components
 
 HASH_BITS = 62
@@ -131,6 +131,7 @@ def near_pairs(vectors: DataFrame, threshold: float = 0.98, passes: int = 8, win
     A pass moves each vector once, to a range partition; edges of neighbouring
     partitions (``window`` rows each) are compared in a second, small step.
     """
+    bounded_batches(vectors.sparkSession)
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = []
     for seed in range(passes):
@@ -188,6 +189,21 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
         F.coalesce("component", "_id").alias("component"))
 
 
+#: Every pair of a label, in DuckDB.
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e,
+    coalesce(label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0, false) AS fit FROM embeddings),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND a.fit AND b.fit AND len(a.e) = len(b.e)
+  AND list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.98),
+reach AS (SELECT vec_id, vec_id AS r FROM v UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON reach.r = links.x),
+c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT c.vec_id, (SELECT count(*) FROM links WHERE x = c.vec_id)::BIGINT AS n_links, c.component_id,
+       c.vec_id = c.component_id AS kept FROM c
+"""
+
+
 def op3(spark, sf_dir: str) -> DataFrame:
     out = near_vectors(table(spark, sf_dir, "embeddings"))
     return out.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlens.llm.common import table
+from govlens.llm.common import bounded_batches, table
 from govlens.session import shared_path
 
 CRLF = "\r\n"
@@ -80,6 +80,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     Copies are reduced before the shuffle that gathers a payload's group, so a
     payload that a third of all pages share is moved once per map task.
     """
+    bounded_batches(pages.sparkSession)
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                        F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
     at = src.withColumn("d", _digests("payload")).select("page_id", "url", "d.*", "payload")
