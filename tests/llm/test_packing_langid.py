@@ -1,0 +1,169 @@
+"""Packing and language ID: exact token ids, a valid and tight packing, held-out accuracy."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from govlens.llm import langid, packing
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def whole():
+    tok = Tokenizer.from_file(PATH)
+    return lambda t: tok.encode(t, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("ab'sté.,É%0 \n\t\x1c\x85 ́ßΣ!"), st.characters(exclude_categories=["Cs"])), max_size=60), max_size=3))
+def test_word_tokenizer_is_the_tokenizer(texts):
+    tok = Tokenizer.from_file(PATH)
+    got = packing.WordTokenizer(PATH).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_special_names_and_long_words(whole):
+    texts = ["a<|endoftext|>b <|startoftext|>", "x" * 5000 + " y", "Don't I'LL we've", ""]
+    tok = packing.WordTokenizer(PATH)
+    for _ in range(2):
+        assert [np.frombuffer(g, "<u4").tolist() for g in tok.encode(texts)] == [whole(t) for t in texts]
+
+
+@pytest.mark.parametrize("capacity,n,seed", [(8, 50, 1), (16, 400, 2), (64, 3000, 3), (4096, 5000, 4)])
+def test_plan(capacity, n, seed):
+    rng = random.Random(seed)
+    counts = Counter(max(1, min(capacity, int(rng.lognormvariate(np.log(capacity / 8), 1)))) for _ in range(n))
+    plan = packing.plan(dict(counts), capacity)
+    used = Counter()
+    for m, lengths in plan:
+        assert m > 0 and sum(lengths) <= capacity
+        for x in lengths:
+            used[x] += m
+    assert used == counts
+    least = -(-sum(k * v for k, v in counts.items()) // capacity)
+    assert sum(m for m, _ in plan) <= max(least + 2, 1.02 * least)
+
+
+def test_plan_uses_exact_combinations_and_is_quick_at_any_count():
+    assert packing.plan({10: 3}, 10) == [(3, (10,))]
+    assert packing.plan({7: 2, 3: 2}, 10) == [(2, (7, 3))]
+    assert packing.plan({6: 5, 3: 5, 1: 5}, 10) == [(5, (6, 3, 1))]
+    assert packing.plan({5: 1, 3: 1, 1: 2}, 10) == [(1, (5, 3, 1, 1))]
+    assert packing.plan({}, 10) == []
+    many = {k: 10**9 + k for k in range(1, 4097, 7)}
+    plan = packing.plan(many, 4096)
+    assert len(plan) < 20_000 and sum(m * sum(x) for m, x in plan) == sum(k * v for k, v in many.items())
+    with pytest.raises(ValueError):
+        packing.plan({11: 1}, 10)
+
+
+def test_pack_documents(spark, make, whole):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 6)))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(0, 60)))) for i in range(60)] + [(60, None), (61, ""), (62, "word " * 700), (3, "again"), (3, "again"), (None, "no id")]
+    out = packing.pack(make(rows), capacity=64, keep_ids=True).collect()
+    seen = Counter()
+    for r in out:
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) and r.length == len(r.ids) and r.start == 64 * r.piece
+    docs = {}
+    for r in sorted(out, key=lambda r: r.piece):
+        docs.setdefault((r.doc_id, r.sequence_id, r.offset) if r.doc_id in (3, None) else r.doc_id, []).extend(r.ids)
+    want = Counter((i, tuple(whole(t or "") + [1])) for i, t in rows)
+    for k, ids in docs.items():
+        seen[k[0] if isinstance(k, tuple) else k, tuple(ids)] += 1
+    assert seen == want
+    by = {}
+    for r in out:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert packing.pack(make([])).count() == 0
+
+
+LANGS = {"aa": "the of and to in is that it was for on are with as his they be at one have this from".split(),
+         "bb": "der die und den das von ist des sich mit dem dass er es ein ich auf so eine auch als an nach".split(),
+         "cc": "les des est que une dans qui pour pas sur avec plus par ce il sont au ne se nous mais leur été".split()}
+
+
+def language_docs(n, seed):
+    rng = random.Random(seed)
+    return [(i, " ".join(rng.choice(LANGS[k]) for _ in range(rng.randint(8, 40))).capitalize() + ".", k)
+            for i, k in enumerate(rng.choice(list(LANGS)) for _ in range(n))]
+
+
+def test_model_is_a_distribution():
+    words = Counter(w for _, t, k in language_docs(60, 1) if k == "aa" for w in langid.words_of(t))
+    raw, order = Counter(), 3
+    for w, n in words.items():
+        s = langid.BEGIN + w + langid.END
+        for i in range(1, len(s)):
+            for k in range(1, min(order, i + 1) + 1):
+                raw[s[i + 1 - k:i + 1]] += n
+    left = Counter(g[1:] for g in raw if len(g) > 1)
+    grams = {g: n if len(g) == order or g[0] == langid.BEGIN else left[g] for g, n in raw.items()}
+    m = langid.LanguageModel.fit(list(grams), np.array(list(grams.values())), order)
+    letters = sorted({g for g in grams if len(g) == 1})
+
+    def step(context, c):                                   # the interpolation, written out
+        p = m.floor
+        for k in range(1, order + 1):
+            h = context[-(k - 1):] if k > 1 else ""
+            if len(h) < k - 1:
+                break
+            total = sum(n for g, n in grams.items() if g[:-1] == h and len(g) == k)
+            if total:
+                sizes = [n for g, n in grams.items() if len(g) == k]
+                n1, n2 = sizes.count(1), sizes.count(2)
+                d = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+                kinds = sum(1 for g in grams if g[:-1] == h and len(g) == k)
+                p = max(grams.get(h + c, 0) - d, 0) / total + d * kinds / total * p
+        return p
+    # one share of the floor is for a character that was never seen
+    assert sum(step(langid.BEGIN + "t", c) for c in letters) == pytest.approx(1, abs=0.06)
+    for w in ("the", "that", "zzz"):
+        want = sum(np.log2(step((langid.BEGIN + w)[:i + 1], c)) for i, c in enumerate(w + langid.END))
+        assert m.log2([w])[0] == pytest.approx(want, rel=1e-4)
+
+
+def test_held_out_accuracy_and_rejection(spark):
+    schema = "doc_id long, text string, lang string"
+    train = spark.createDataFrame(language_docs(300, 2) + [(900, None, "aa"), (901, "the of", None), (902, "", "bb"), (903, "12 %", "cc")], schema).repartition(3)
+    model = langid.train(train)
+    assert model.langs == ["aa", "bb", "cc"]
+    rows = [(i + 1000, t, k) for i, t, k in language_docs(200, 3)]
+    odd = [(1, None, "x"), (2, "", "x"), (3, "12 + 3 = 15 %%", "x"), (4, "ыфв жйцъ щшгн эюя " * 20, "x"), (5, "the " * 30000, "aa"), (6, "²½", "x")]
+    out = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows + odd, schema + ""), model).collect()}
+    right = [out[i]._lang_pred == k for i, _, k in rows]
+    assert np.mean(right) >= 0.99
+    assert np.mean([out[i]._rejected for i, _, _ in rows]) <= 0.01        # clean documents stay
+    assert all(0 <= r._score <= 1 for r in out.values())
+    for i in (1, 2, 3, 6):
+        assert (out[i]._lang_pred, out[i]._score, out[i]._rejected) == ("und", 0.0, True)
+    assert out[4]._rejected and out[4]._lang_pred in model.langs and out[5]._lang_pred == "aa"
+    assert langid.identify(spark.createDataFrame([], schema), model).count() == 0
+
+
+def test_nothing_to_learn_from(spark):
+    model = langid.train(spark.createDataFrame([], "doc_id long, text string, lang string"))
+    out = langid.identify(spark.createDataFrame([(1, "words")], "doc_id long, text string"), model).first()
+    assert (out._lang_pred, out._score) == ("und", 0.0)
+
+
+def test_pruned_models_still_tell_languages(spark):
+    train = spark.createDataFrame(language_docs(200, 6), "doc_id long, text string, lang string")
+    model = langid.train(train, max_grams=150)
+    assert sum(len(m.grams) for m in model.models) < 600
+    out = langid.identify(spark.createDataFrame(language_docs(60, 7), "doc_id long, text string, lang string"), model).collect()
+    assert np.mean([r._lang_pred == r.lang for r in out]) >= 0.95
