@@ -10,7 +10,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,6 +34,10 @@ BLOCK = ("article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "h5",
          "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure", "figcaption", "header", "hr",
          "address", "details", "summary", "center", "body", "html", "head", "meta", "link", "base")
 VOID = ("br", "img", "hr", "meta", "link", "input", "base", "wbr", "col", "area", "embed", "source", "track", "param")
+#: Elements that a new one of their kind ends.
+SELF_ENDING = ("p", "li", "dt", "dd", "tr", "td", "th", "option")
+#: Elements that part running text without setting it off.
+FLOWING = (*INLINE, "p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "hr")
 #: Elements that mark the content, on pages that have them.
 MARKS = ("article", "main")
 #: Words in class, id or role that tell boilerplate.
@@ -72,8 +76,19 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
     none; block: the number of the block that a run of text belongs to.
     """
     open_: list[tuple[str, bool, bool]] = []             # name, marks, aside
-    marked = aside = block = 0
-    pos = 0
+    where: dict[str, list[int]] = defaultdict(list)        # places of each name in open_
+    solid: list[int] = [-1]                                # places of elements that aren't inline
+    marked = aside = block = pos = 0
+
+    def close_last() -> None:
+        nonlocal marked, aside
+        name, marks, off = open_.pop()
+        where[name].pop()
+        if solid[-1] == len(open_):
+            solid.pop()
+        marked -= marks
+        aside -= off
+
     while m := TOKEN.match(page, pos):
         pos = m.end()
         text = m["text"]
@@ -84,42 +99,32 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
         if name is None:                                   # a comment or a declaration
             continue
         name = name.lower()
-        if name not in INLINE:
-            block += 1
+        inline = name in INLINE
+        block += not inline
         kind = name if name in KNOWN else "other"
         if m["end"]:
             was = aside > 0
-            if any(x[0] == name for x in open_):
-                # what was left open inside ends too, but inline elements don't close blocks
-                if name in INLINE:
-                    k = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-                    if any(x[0] not in INLINE for x in open_[k:]):
-                        yield "/" + kind, "", marked > 0, was, block
-                        continue
-                while True:
-                    x = open_.pop()
-                    marked -= x[1]
-                    aside -= x[2]
-                    if x[0] == name:
-                        break
+            # what was left open inside an element ends with it, but an inline element ends no block
+            if where[name] and (not inline or where[name][-1] > solid[-1]):
+                for _ in range(len(open_) - where[name][-1]):
+                    close_last()
             yield "/" + kind, "", marked > 0, was, block
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, pos)
             yield kind, "", marked > 0, aside > 0, block
+            close = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
             pos = close.end() if close else len(page)
             continue
         rest = m["rest"]
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
-            # a new one ends an open one of its kind
+        if name in SELF_ENDING:
             while open_ and (open_[-1][0] == name or open_[-1][0] in INLINE):
-                x = open_.pop()
-                marked -= x[1]
-                aside -= x[2]
-        header = name == "header" and not marked
-        off = name in ASIDE or header or (name not in ("html", "body", *MARKS) and _boilerplate(rest))
+                close_last()
+        off = name in ASIDE or (name == "header" and not marked) or (name not in ("html", "body", *MARKS) and _boilerplate(rest))
         yield kind, "", marked > 0, aside > 0 or off, block
         if name not in VOID and not rest.endswith("/"):
+            where[name].append(len(open_))
+            if not inline:
+                solid.append(len(open_))
             open_.append((name, name in MARKS, off))
             marked += name in MARKS
             aside += off
@@ -186,10 +191,12 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
             # menus, adverts and the like are never content: an article goes on behind them
             n = 0 if aside else len(text.split())
             scores.append(word * n if marked or not labelled else -word * n)
-        elif aside or marked or kind.lstrip("/") in INLINE:
-            scores.append(max(weights.get(kind, -LEAST), -LEAST))
+        elif marked:
+            scores.append(-1e-9)                           # tags of the marked content part nothing
+        elif aside:
+            scores.append(-LEAST)
         else:
-            scores.append(weights.get(kind, TAG_WEIGHT * word))
+            scores.append(weights.get(kind, -LEAST if kind.lstrip("/") in FLOWING else TAG_WEIGHT * word))
     low, high = best_region(scores)
     if low == high:
         return ""
