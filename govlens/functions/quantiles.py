@@ -104,6 +104,39 @@ def quantiles_long(long: DataFrame, qs: list[float], columns: list | None = None
 
 
 GRID = 10_000      # values on a 1e-4 grid (scores, money to the cent...) are bounded without a sketch
+GRID_TOLERANCE, GRID_LIMIT = 1e-6, float(1 << 52)
+
+
+def grouped_quantiles(long: DataFrame, qs: list[float], n_parts: int | None = None) -> DataFrame:
+    """``c, q``: the exact quantiles ``qs`` of ``v`` for every group ``c`` of a long (c, v) frame.
+
+    The distributed selection of ``quantiles_long`` with its plan as frames: a
+    row per (group, partition) finds the partitions that hold the wanted
+    ranks, and nothing of a group reaches the driver.
+    """
+    from govlens.session import cut_lineage
+    n_parts = n_parts or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    long = long.where(F.col("c").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    weighted = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("w"))
+    # range bounds come from a sample: materialise so every later use sees one partitioning
+    ranged = cut_lineage(weighted.repartitionByRange(n_parts, "c", "v").withColumn("_p", F.spark_partition_id()), "checkpoint")
+    by_c = Window.partitionBy("c")
+    per = ranged.groupBy("c", "_p").agg(F.sum("w").alias("pw"))
+    per = per.select("c", "_p", "pw", (F.sum("pw").over(by_c.orderBy("_p")) - F.col("pw")).alias("off"), F.sum("pw").over(by_c).alias("n"))
+    at = lambda q: (F.col("n") - 1) * F.lit(float(q))
+    wanted = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"),
+                 F.least(F.floor(at(q)) + side, F.col("n") - 1).alias("rank"), (at(q) - F.floor(at(q))).alias("frac"))
+        for i, q in enumerate(qs) for side in (0, 1)]))
+    wanted = per.select("*", wanted.alias("x")).where((F.col("x.rank") >= F.col("off")) & (F.col("x.rank") < F.col("off") + F.col("pw")))
+    wanted = wanted.groupBy("c", "_p", "off").agg(F.collect_list("x").alias("xs"))      # 2 entries per quantile at most
+    run = ranged.withColumn("_cum", F.sum("w").over(Window.partitionBy("c", "_p").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)))
+    hits = run.join(wanted, ["c", "_p"]).select("c", "v", (F.col("_cum") + F.col("off")).alias("_cum"), "w", F.explode("xs").alias("x")) \
+        .where((F.col("x.rank") >= F.col("_cum") - F.col("w")) & (F.col("x.rank") < F.col("_cum")))
+    value = lambda i, s: F.max(F.when((F.col("x.i") == i) & (F.col("x.side") == s), F.col("v")))
+    frac = lambda i: F.max(F.when(F.col("x.i") == i, F.col("x.frac")))
+    return hits.groupBy("c").agg(F.array(*[value(i, 0) + (value(i, 1) - value(i, 0)) * frac(i) for i in range(len(qs))]).alias("q"))
 
 
 def profile_columns(df: DataFrame, columns: list[str], sketch: list[str] | None = None
@@ -133,7 +166,8 @@ def profile_columns(df: DataFrame, columns: list[str], sketch: list[str] | None
             else:
                 g = x * GRID
                 exprs += [F.count_if(x != F.floor(x)).alias(f"f{i}"),
-                          F.count_if(F.abs(g - F.rint(g)) > F.greatest(F.lit(1.0), F.abs(g)) * 1e-9).alias(f"g{i}")]
+                          # the tolerance is a fixed part of a grid step; where doubles are coarser, nothing is on the grid
+                          F.count_if((F.abs(g - F.rint(g)) > GRID_TOLERANCE) | (F.abs(g) >= GRID_LIMIT)).alias(f"g{i}")]
         row = df.agg(*exprs).first()
         for i, c in enumerate(chunk):
             n, lo, hi = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]

@@ -10,6 +10,8 @@ no task ever holds a whole class or a whole column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 
@@ -38,8 +40,8 @@ def dense_index(values: DataFrame, group_col: str, value_col: str, n_buckets: in
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     local = Window.partitionBy(group_col, "_part").orderBy(value_col)
     ranked = ranged.withColumn("_rn", F.row_number().over(local))
-    # offsets has one row per (group, bucket): bounded by groups x buckets
-    return (ranked.join(F.broadcast(offsets), [group_col, "_part"])
+    # offsets has one row per (group, bucket); the planner sizes it
+    return (ranked.join(offsets, [group_col, "_part"])
                   .select(group_col, value_col, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias(out_col)))
 
 
@@ -59,10 +61,11 @@ def ranked_segments(df: DataFrame, class_col: str | None, order_col: str, tie_co
     ``segment(rank, n)`` maps a 1-based rank inside the class to a segment
     (test/train, fold number) and must be non-decreasing in rank.  Bucket
     offsets come from a small table of per-(class, bucket) counts; a bucket
-    whose first and last ranks fall in the same segment takes it wholesale
-    (a broadcast join, no shuffle of the data).  Only the few buckets that
+    whose first and last ranks fall in the same segment takes it wholesale.
+    Only the few buckets that
     straddle a segment boundary (at most one per boundary and class) are
-    ranked row by row.
+    ranked row by row.  Rows without a class form a class of their own: as
+    many rows come out as went in.
     """
     b = df.withColumn("_bucket", F.substring(F.col(order_col), 1, prefix_len))
     keys = ([class_col] if class_col else []) + ["_bucket"]
@@ -74,8 +77,10 @@ def ranked_segments(df: DataFrame, class_col: str | None, order_col: str, tie_co
     offsets = (offsets.withColumn("_s0", segment(F.col("_boff") + 1, F.col("_class_n")))
                       .withColumn("_s1", segment(F.col("_boff") + F.col("_bn"), F.col("_class_n")))
                       .drop("_bn"))
-    # offsets: at most classes x 16**prefix_len rows
-    j = b.join(F.broadcast(offsets), keys)
+    # offsets: at most classes x 16**prefix_len rows; null-safe, so that a missing class keeps its rows
+    right = offsets.select(*[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)], "_boff", "_class_n", "_s0", "_s1")
+    match = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_o_{i}")) for i, k in enumerate(keys)])
+    j = b.join(right, match).drop(*[f"_o_{i}" for i in range(len(keys))])
     whole = j.where(F.col("_s0") == F.col("_s1")).withColumn("_seg", F.col("_s0"))
     local = Window.partitionBy(*keys).orderBy(order_col, *tie_cols)
     edge = (j.where(F.col("_s0") != F.col("_s1"))

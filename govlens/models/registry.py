@@ -24,17 +24,18 @@ SEED = 42
 LOGREG_MAX_ITER = 1000
 GBT_DEPTH = 3
 GBT_STEP = 0.1
-RF_MAX_DEPTH = 10          # MLlib grows trees level by level (memory ~ 2^depth nodes per
-                           # group); scikit-learn's unbounded depth is not reproducible anyway
-RF_MAX_MEMORY_MB = 64      # per-task node-statistics budget: keeps 8 concurrent tasks of a
-                           # small executor heap out of OutOfMemory (more passes instead)
+# Defaults of ``ModelSpec.rf_max_depth`` (trees of unbounded depth can't be had from MLlib, which grows them level by
+# level) and ``ModelSpec.rf_max_memory_mb`` (the library's own; less makes more passes, and the same trees).
+RF_MAX_DEPTH = 15
+RF_MAX_MEMORY_MB = 256
 
 Factory = Callable[[dict], Estimator]
 
 
 def _rf(ctx: dict) -> Estimator:
     return RandomForestClassifier(numTrees=ctx.get("n_trees", N_TREES), seed=SEED,
-                                  maxDepth=ctx.get("max_depth", RF_MAX_DEPTH), maxMemoryInMB=RF_MAX_MEMORY_MB,
+                                  maxDepth=ctx.get("max_depth", RF_MAX_DEPTH),
+                                  maxMemoryInMB=ctx.get("max_memory_mb", RF_MAX_MEMORY_MB),
                                   featuresCol="features", labelCol="label")
 
 
@@ -76,7 +77,7 @@ REGRESSORS: dict[str, Factory | None] = {
     "linear_regression": lambda ctx: LinearRegression(regParam=0.0, featuresCol="features", labelCol="label"),
     "random_forest": lambda ctx: RandomForestRegressor(numTrees=ctx.get("n_trees", N_TREES), seed=SEED,
                                                        maxDepth=ctx.get("max_depth", RF_MAX_DEPTH),
-                                                       maxMemoryInMB=RF_MAX_MEMORY_MB,
+                                                       maxMemoryInMB=ctx.get("max_memory_mb", RF_MAX_MEMORY_MB),
                                                        featuresCol="features", labelCol="label"),
 }
 

@@ -15,6 +15,8 @@ from govlens.functions.ranking import hash_key, ranked_segments
 
 
 def _segmented(df: DataFrame, key_cols: list[str], class_col: str | None, seed: int, segment) -> DataFrame:
+    if not key_cols:
+        raise ValueError("a split needs key columns: without a key its order cannot be repeated")
     h = df.withColumn("_h", hash_key(key_cols, seed))
     return ranked_segments(h, class_col, "_h", key_cols, segment).drop("_h")
 

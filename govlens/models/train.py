@@ -78,12 +78,18 @@ def _parallel(fn, items, parallelism: int):
 
 def cross_validate(factory, train: DataFrame, cols: list[str], keys: list[str], k: int = 5, seed: int = 42,
                    ctx: dict | None = None, parallelism: int = 4) -> DataFrame:
-    """(fold, accuracy) over ``k`` stratified folds of the training part."""
-    folded = cv_folds(train, keys, "label", k, seed).persist()
+    """(fold, accuracy) over ``k`` stratified folds of the training part.
+
+    The vectors are assembled once, and each fit knows the size of its own
+    training part.
+    """
+    folded = assembler(cols).transform(cv_folds(train, keys, "label", k, seed)).select("fold", "label", "features").persist()
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}       # k rows
 
     def one(f: int):
         tr, te = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)
-        model = Pipeline(stages=[assembler(cols), factory(ctx or {})]).fit(tr)
+        n = sum(v for fold, v in sizes.items() if fold != f)
+        model = factory({**(ctx or {}), "n_train": n}).fit(tr)
         acc = model.transform(te).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
         return (f, acc)
 
@@ -98,8 +104,8 @@ def cv_summary(scores: DataFrame) -> DataFrame:
 
 
 def train_classifiers(features: DataFrame, cols: list[str], keys: list[str], algorithms: list[str],
-                      seed: int = 42, test_fraction: float = 0.2, cv: int = 0, n_trees: int | None = None
-                      ) -> tuple[list[TrainResult], DataFrame]:
+                      seed: int = 42, test_fraction: float = 0.2, cv: int = 0, n_trees: int | None = None,
+                      settings: dict | None = None) -> tuple[list[TrainResult], DataFrame]:
     """Train every available configured classifier on a stratified split.
 
     Returns the results and the split frame (``is_test``).  A failing model
@@ -109,7 +115,7 @@ def train_classifiers(features: DataFrame, cols: list[str], keys: list[str], alg
     split = stratified_split(data, keys, "label", seed, test_fraction).persist()
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
     n_classes = split.select("label").distinct().limit(3).count()     # only "two or more" matters
-    ctx = {"n_train": train.count(), "n_classes": n_classes}
+    ctx = {**(settings or {}), "n_train": train.count(), "n_classes": n_classes}
     if n_trees:
         ctx["n_trees"] = n_trees
     out = []
@@ -132,11 +138,12 @@ def train_classifiers(features: DataFrame, cols: list[str], keys: list[str], alg
 
 
 def train_regressors(features: DataFrame, cols: list[str], keys: list[str], algorithms: list[str],
-                     seed: int = 42, test_fraction: float = 0.2, n_trees: int | None = None) -> list[TrainResult]:
+                     seed: int = 42, test_fraction: float = 0.2, n_trees: int | None = None,
+                     settings: dict | None = None) -> list[TrainResult]:
     data = _label_double(features)
     split = random_split(data, keys, seed, test_fraction).persist()
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-    ctx = {"n_trees": n_trees} if n_trees else {}
+    ctx = {**(settings or {}), **({"n_trees": n_trees} if n_trees else {})}
     out = []
     for name, factory, status in REG.resolve(algorithms, REG.REGRESSORS):
         if factory is None:
@@ -154,12 +161,23 @@ def train_regressors(features: DataFrame, cols: list[str], keys: list[str], algo
 
 def kmeans_fit(data: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = 10,
                parallelism: int = 1) -> PipelineModel:
-    """Best of ``n_init`` seeded k-means runs by training cost (earliest seed on ties)."""
+    """Best of ``n_init`` seeded k-means runs by training cost (earliest seed on ties).
+
+    All runs fit on the same vectors: those of ``data``'s column "features",
+    if it has one, else assembled once here.
+    """
+    assemble = assembler(cols)
+    held = None
+    if "features" not in data.columns:
+        held = data = assemble.transform(data).select("features").persist()
+
     def one(s: int):
-        m = Pipeline(stages=[assembler(cols), REG.kmeans(k, s)]).fit(data)
-        return (m.stages[-1].summary.trainingCost, s, m)
+        m = REG.kmeans(k, s).fit(data)
+        return (m.summary.trainingCost, s, m)
     runs = _parallel(one, list(range(seed, seed + n_init)), parallelism)
-    return min(runs, key=lambda r: (r[0], r[1]))[2]
+    if held is not None:
+        held.unpersist()
+    return PipelineModel(stages=[assemble, min(runs, key=lambda r: (r[0], r[1]))[2]])
 
 
 def elbow_inertias(data: DataFrame, cols: list[str], max_k: int = 10, seed: int = 42, n_init: int = 10,
@@ -177,10 +195,12 @@ def elbow_inertias(data: DataFrame, cols: list[str], max_k: int = 10, seed: int
 
 def train_clustering(features: DataFrame, cols: list[str], keys: list[str], seed: int = 42, n_init: int = 10,
                      max_k: int = 10) -> TrainResult:
-    data = features.select(*keys, *cols).persist()
-    inertias = elbow_inertias(data, cols, max_k, seed, n_init)
+    data = features.select(*keys, *cols)
+    vectors = assembler(cols).transform(data).select("features").persist()
+    inertias = elbow_inertias(vectors, cols, max_k, seed, n_init)
     k = M.elbow_k(inertias).first()["best_k"]
-    model = kmeans_fit(data, cols, k, seed, n_init)
+    model = kmeans_fit(vectors, cols, k, seed, n_init)
+    vectors.unpersist()
     assigned = model.transform(data).select(*keys, *cols, F.col("cluster").cast("int").alias("cluster"))
     metrics = {"n_clusters": k,
                "silhouette": M.silhouette_sq(assigned, cols).first()[0],

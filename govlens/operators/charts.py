@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from govlens.session import cut_lineage
+
 BINS = 30
 
 
 def histogram(df: DataFrame, value: str, bins: int = BINS, by: str | None = None) -> DataFrame:
     """Equal-width bins over [min, max] (per group when ``by``), the last bin
     closed; a constant column uses [v - 0.5, v + 0.5]; every bin is listed,
-    empty ones with n = 0.  Two aggregates, no sort."""
+    empty ones with n = 0.  Two scans: one for the ranges, one for the counts."""
     keys = [by] if by else []
     v = F.col(f"`{value}`").cast("double")
     data = df.select(*[F.col(k) for k in keys], v.alias("x")).where(F.col("x").isNotNull())
@@ -23,12 +25,14 @@ def histogram(df: DataFrame, value: str, bins: int = BINS, by: str | None = None
     # cardinality then falls back to a shuffle join); the ungrouped range is
     # a single row
     if keys:
+        rng = cut_lineage(rng, "checkpoint")             # read by the counts and by the grid
         j = data.join(rng, keys)
     else:
         r = rng.first()                      # the whole range is two numbers
         if r is None:
             return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, n bigint")
         j = data.select("x", F.lit(r["lo"]).alias("lo"), F.lit(r["hi"]).alias("hi"))
+        rng = df.sparkSession.createDataFrame([(r["lo"], r["hi"])], "lo double, hi double")
     idx = F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
                   F.lit(bins - 1)).cast("int")
     counts = j.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -43,10 +47,10 @@ def histogram(df: DataFrame, value: str, bins: int = BINS, by: str | None = None
 def share(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """(value, n, pct) of non-missing values; the total is a one-row aggregate."""
     name = name or col
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias(name)).agg(F.count(F.lit(1)).alias("n"))
-    # the per-value frame is small (one row per value); the total is over it
-    w = Window.partitionBy()
-    return counts.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(w))
+    counts = cut_lineage(
+        df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias(name)).agg(F.count(F.lit(1)).alias("n")), "checkpoint")
+    total = counts.agg(F.sum("n")).first()[0]            # one number, from the counts that are already there
+    return counts.withColumn("pct", F.col("n") * 100.0 / F.lit(total))
 
 
 def top_counts(df: DataFrame, col: str, top: int) -> DataFrame:
@@ -81,9 +85,10 @@ def correlation_matrix(features: DataFrame, cols: list[str]) -> DataFrame:
     """Long form (feature_a, feature_b, corr), Pearson, from MLlib's
     ``Correlation`` (one distributed tree-aggregate of the Gram matrix).
 
-    A constant column has no correlation: NULL, where MLlib gives NaN (and
-    1.0 on the diagonal) and a SQL ``corr`` would raise under ANSI mode.
-    Only the d x d matrix (d = number of columns) reaches the driver.
+    A constant column (by its variance) has no correlation, not even with
+    itself: NULL, where MLlib gives NaN (and 1.0 on the diagonal) and a SQL
+    ``corr`` would raise under ANSI mode.  Only the d x d matrix (d = number
+    of columns) reaches the driver.
     """
     import math
 
@@ -95,12 +100,12 @@ def correlation_matrix(features: DataFrame, cols: list[str]) -> DataFrame:
         return features.sparkSession.createDataFrame([], schema)
     vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="keep").transform(features).select("_v")
     mat = Correlation.corr(vec, "_v").first()[0].toArray()
-    const = [math.isnan(mat[i][i]) or all(math.isnan(mat[i][j]) for j in range(len(cols)) if j != i)
-             for i in range(len(cols))] if len(cols) > 1 else [False]
+    spread = features.agg(*[F.var_samp(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(cols)]).first()
+    const = [not v for v in spread]                      # 0, or NULL for fewer than two rows
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            v = float(mat[i][j])
+            v = 1.0 if i == j else float(mat[i][j])
             rows.append((a, b, None if (const[i] or const[j] or math.isnan(v)) else v))
     return features.sparkSession.createDataFrame(rows, schema)
 
@@ -108,7 +113,7 @@ def correlation_matrix(features: DataFrame, cols: list[str]) -> DataFrame:
 def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5) -> DataFrame:
     """Per group: q1, median, q3, whiskers (farthest points within k*IQR of
     the box) and the number of points outside them."""
-    from govlens.functions.quantiles import PERCENTILE_MAX_DISTINCT, profile_columns, quantiles_long
+    from govlens.functions.quantiles import PERCENTILE_MAX_DISTINCT, grouped_quantiles, profile_columns
     v = F.col(value)
     data = df.where(v.isNotNull() & F.col(by).isNotNull())
     if profile_columns(data, [value])[value][1] <= PERCENTILE_MAX_DISTINCT:
@@ -116,11 +121,9 @@ def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5) -> DataFrame:
         q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     else:
         # many distinct values: per-group distributed selection (no group's
-        # values are ever held by one task); one row per group comes back
-        qv = quantiles_long(data.select(F.col(by).alias("c"), v.cast("double").alias("v")), [0.25, 0.5, 0.75])
-        dt = dict(df.dtypes)[by]
-        q = df.sparkSession.createDataFrame([(g, *vals) for g, vals in qv.items()],
-                                            f"`{by}` {dt}, q1 double, median double, q3 double")
+        # values are ever held by one task, and no group reaches the driver)
+        q = grouped_quantiles(data.select(F.col(by).alias("c"), v.cast("double").alias("v")), [0.25, 0.5, 0.75]) \
+            .select(F.col("c").alias(by), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     lo = F.col("q1") - k * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + k * (F.col("q3") - F.col("q1"))
     # one row per group, joined without a hint: AQE broadcasts it when measured small

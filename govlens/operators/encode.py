@@ -10,13 +10,11 @@ from govlens.functions.nulls import as_string_or_nan
 from govlens.functions.ranking import dense_index
 from govlens.session import cut_lineage
 
-# Per-column class counts decide how a fitted mapping meets the data:
-#   <= INLINE_MAX_CLASSES     a literal map inside the projection (no join);
-#   <= BROADCAST_MAX_CLASSES  a broadcast hash join;
-#   larger                    a shuffle join (AQE may still broadcast it).
-INLINE_MAX_CLASSES = 10_000
+# How a fitted mapping meets the data, with the same result either way: up to
+# INLINE_MAX_CLASSES classes a literal map inside the projection (a linear
+# search, so only for short lists), more a join that the planner sizes.
+INLINE_MAX_CLASSES = 100
 SMALL_TOTAL_CLASSES = 50_000    # all columns together, numbered on the driver
-BROADCAST_MAX_CLASSES = 2_000_000
 
 
 @dataclass
@@ -81,8 +79,6 @@ def label_encode_apply(df: DataFrame, enc: LabelEncoding) -> DataFrame:
     for c in [c for c in cols if c not in small]:
         m = (enc.mapping.where(F.col("column_name") == c)
                 .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
-        if enc.sizes.get(c, 0) <= BROADCAST_MAX_CLASSES:
-            m = F.broadcast(m)
         out = (out.withColumn("__v", as_string_or_nan(F.col(f"`{c}`")))
                   .join(m, "__v", "left")
                   .withColumn(c, F.coalesce(F.col("__code"), F.lit(-1)).cast("bigint"))

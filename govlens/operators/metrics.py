@@ -12,19 +12,27 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from govlens.session import cut_lineage
+
 
 def _div0(a: Column, b: Column) -> Column:
     """a / b, 0 when b is 0 (sklearn ``zero_division=0``)."""
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
 
 
+def pair_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(label, prediction, n): the one pass over the rows; what follows reads a row per pair of classes."""
+    return df.groupBy(F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
 def class_stats(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(cls, support, n_pred, tp) for every class seen as a label or a prediction."""
-    pairs = df.select(F.explode(F.array(
-        F.struct(F.col(label).cast("double").alias("cls"), F.lit(1).alias("t"),
-                 (F.col(label) == F.col(prediction)).cast("int").alias("tp"), F.lit(0).alias("p")),
-        F.struct(F.col(prediction).cast("double").alias("cls"), F.lit(0).alias("t"), F.lit(0).alias("tp"),
-                 F.lit(1).alias("p")))).alias("s")).select("s.*")
+    none = F.lit(0).cast("bigint")
+    pairs = pair_counts(df, label, prediction).select(F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("t"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(none).alias("tp"), none.alias("p")),
+        F.struct(F.col("prediction").alias("cls"), none.alias("t"), none.alias("tp"), F.col("n").alias("p")))).alias("s")).select("s.*")
     return pairs.groupBy("cls").agg(F.sum("t").cast("bigint").alias("support"),
                                     F.sum("p").cast("bigint").alias("n_pred"),
                                     F.sum("tp").cast("bigint").alias("tp"))
@@ -58,7 +66,7 @@ def classification_metrics(df: DataFrame, binary: bool, label: str = "label", pr
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per-class precision/recall/F1/support, then 'accuracy', 'macro avg' and
     'weighted avg' rows (classes are labelled by their value as text)."""
-    pc = _per_class(class_stats(df, label, prediction)).persist()
+    pc = cut_lineage(_per_class(class_stats(df, label, prediction)), "checkpoint")
     rows = pc.select(F.format_string("%s", F.col("cls").cast("bigint").cast("string")).alias("class_name"),
                      "precision", "recall", "f1_score", "support")
     tot = F.sum("support")
@@ -67,28 +75,29 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     weighted = pc.agg(F.lit("weighted avg").alias("class_name"),
                       *[_div0(F.sum(F.col(c) * F.col("support")), tot).alias(c) for c in ("precision", "recall", "f1_score")],
                       tot.alias("support"))
-    acc = df.agg(F.lit("accuracy").alias("class_name"), F.lit(None).cast("double").alias("precision"),
+    acc = pc.agg(F.lit("accuracy").alias("class_name"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"),
-                 F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("f1_score"),
-                 F.count(F.lit(1)).alias("support"))
+                 F.try_divide(F.sum("tp").cast("double"), tot).alias("f1_score"), tot.alias("support"))
     return reduce(lambda a, b: a.unionByName(b), [rows, acc, macro, weighted]).withColumn(
         "support", F.col("support").cast("bigint"))
 
 
-def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Long form (label, prediction, n) over all class pairs, zero cells included.
+def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                     zero_cells: bool = True) -> DataFrame:
+    """Long form (label, prediction, n) over the class pairs.
 
-    Class values (one per class) are the only data that reach the driver; the
-    k x k grid is two explodes of that literal list, then the observed counts
-    (one partial aggregate) are joined in.
+    ``zero_cells`` lists every pair of the k classes (k x k rows, the matrix);
+    without it only the pairs that occur come back.  The grid is made from the
+    frame of classes, and the observed counts are joined in.
     """
-    classes = sorted(r["cls"] for r in class_stats(df, label, prediction).select("cls").collect())
-    counts = df.groupBy(F.col(label).cast("double").alias("label"),
-                        F.col(prediction).cast("double").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
-    lits = F.array(*[F.lit(float(c)) for c in classes]) if classes else F.array().cast("array<double>")
-    grid = (df.sparkSession.range(1).select(F.explode(lits).alias("label"))
-              .select("label", F.explode(lits).alias("prediction")))
-    return (grid.join(F.broadcast(counts) if len(classes) <= 1000 else counts, ["label", "prediction"], "left")
+    counts = cut_lineage(pair_counts(df, label, prediction), "checkpoint")
+    whole = lambda c: F.col(c).cast("bigint").alias(c)
+    if not zero_cells:
+        return counts.select(whole("label"), whole("prediction"), "n")
+    classes = counts.select(F.explode(F.array("label", "prediction")).alias("c")).where("c is not null")
+    one = classes.agg(F.collect_set("c").alias("cs"))     # the k classes, in one row
+    grid = one.select("cs", F.explode("cs").alias("label")).select("label", F.explode("cs").alias("prediction"))
+    return (grid.join(counts, ["label", "prediction"], "left")
                 .select(F.col("label").cast("bigint").alias("label"), F.col("prediction").cast("bigint").alias("prediction"),
                         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
@@ -113,8 +122,8 @@ def centroids(df: DataFrame, cols: list[str], cluster: str = "cluster") -> DataF
 
 def _with_centroid(df: DataFrame, cols: list[str], cluster: str) -> DataFrame:
     cen = centroids(df, cols, cluster)
-    # one row per cluster: a bounded broadcast
-    return df.join(F.broadcast(cen), cluster)
+    # one row per cluster; the planner sizes it
+    return df.join(cen, cluster)
 
 
 def inertia(df: DataFrame, cols: list[str], cluster: str = "cluster") -> DataFrame:

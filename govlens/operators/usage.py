@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from govlens.functions.dates import whole_days_between
 
 LOW_USAGE_SCHEMA = "access_item string, user_count bigint, avg_frequency double"
+_TIMES = ("timestamp", "timestamp_ntz", "date")
 UNUSED_SCHEMA = "access_item string, user_count bigint, avg_days_since_use double"
 
 
@@ -37,7 +40,8 @@ def low_usage_items(merged: DataFrame, threshold: float = 5, top: int = 20) -> D
 def days_since_use(merged: DataFrame, as_of: str, col: str = "last_used_date") -> Column:
     """Whole days from the last use to ``as_of`` (the reference uses the wall
     clock; a parameter keeps results reproducible)."""
-    ts = F.col(col).cast("string").try_cast("timestamp_ntz")
+    kind = dict(merged.dtypes)[col]
+    ts = F.col(col).cast("timestamp_ntz") if kind in _TIMES else F.col(col).cast("string").try_cast("timestamp_ntz")
     return whole_days_between(ts, F.lit(as_of).cast("timestamp_ntz"))
 
 
@@ -45,7 +49,13 @@ def unused_items(merged: DataFrame, as_of: str, days: int = 90, top: int = 20) -
     """Rows not used for more than ``days`` days, grouped by item."""
     if "last_used_date" not in merged.columns or "access_item" not in merged.columns:
         return _empty(merged.sparkSession, UNUSED_SCHEMA)
-    d = merged.withColumn("days_since_use", days_since_use(merged, as_of))
+    kind = dict(merged.dtypes)["last_used_date"]
+    d = merged
+    if kind in _TIMES:
+        # more than ``days`` whole days ago, as a bound on the column itself: it reaches the scan
+        latest = datetime.fromisoformat(as_of) - timedelta(days=days + 1)
+        d = d.where(F.col("last_used_date") <= F.lit(latest.isoformat(sep=" ")).cast(kind))
+    d = d.withColumn("days_since_use", days_since_use(merged, as_of))
     return _top_items(d.where(F.col("days_since_use") > days), F.col("days_since_use"),
                       "avg_days_since_use", top)
 

@@ -40,17 +40,26 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/govlens-che
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     The folder named by the cluster is always used when set; ``fallback`` is
-    only for local runs and tests where nothing is configured.
+    only for a ``local`` master (tests, one machine).  On a cluster every
+    executor would write to a folder of its own machine, so a missing setting
+    raises there.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not conf_dir and not _single_machine(master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
     d = conf_dir or fallback
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 
 
+def _single_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

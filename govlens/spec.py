@@ -86,6 +86,13 @@ class ModelSpec:
     seed: int = 42
     test_fraction: float = 0.2
     cv_folds: int = 5
+    rf_max_depth: int = 15
+    rf_max_memory_mb: int = 256
+
+    @property
+    def settings(self) -> dict:
+        """What the estimator factories take from the spec."""
+        return {"max_depth": self.rf_max_depth, "max_memory_mb": self.rf_max_memory_mb}
 
     @staticmethod
     def from_dict(d: dict | None) -> "ModelSpec":
@@ -97,6 +104,9 @@ class ModelSpec:
                 setattr(m, f"{kind}_enabled", bool(sub["enabled"]))
             if sub.get("algorithms"):
                 setattr(m, f"{kind}_algorithms", list(sub["algorithms"]))
+        for k in ("seed", "test_fraction", "cv_folds", "rf_max_depth", "rf_max_memory_mb"):
+            if k in d:
+                setattr(m, k, d[k])
         return m
 
 
@@ -153,8 +163,9 @@ def load_spec(path: str) -> PipelineSpec:
     return PipelineSpec.from_dict(data or {})
 
 
+# The default configuration. Lists that the dataclasses above already hold are taken from them.
 def default_spec_dict() -> dict:
-    """The reference's default configuration, as a dict."""
+    """The default configuration, as a dict."""
     return {
         "tables": {
             "decision_history": {"columns": ["request_id", "user_id", "access_item", "decision", "timestamp",
@@ -203,4 +214,5 @@ def binding_spec() -> PipelineSpec:
     ml["exclude_columns"] = ["request_id", "request_ts", "approver_id"]
     ml["date_columns"] = ["request_ts", "last_used_date", "last_certified_date"]
     ml["time_column"] = "request_ts"
+    ml["models"]["rf_max_memory_mb"] = 64       # the registered queries also run in a 1 GB heap; the trees are the same
     return PipelineSpec.from_dict(d)

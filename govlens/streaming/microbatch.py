@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -19,13 +19,12 @@ def stream_table(spark: SparkSession, path: str, schema, fmt: str = "parquet",
 
 def run_per_batch(stream: DataFrame, op: Callable[[DataFrame], DataFrame], sink_path: str,
                   checkpoint_location: str, available_now: bool = True) -> StreamingQuery:
-    """Apply ``op`` to each micro-batch and append the result (tagged with
-    the batch id) as parquet.  The checkpoint location makes the sink
-    exactly-once across restarts: a batch replayed after a failure
-    overwrites nothing twice because Spark re-runs it with the same id."""
+    """Apply ``op`` to each micro-batch and write the result to a folder of
+    its own, ``batch_id=N`` under ``sink_path`` (a partition column to its
+    readers).  A batch that is replayed after a failure has the same id and
+    overwrites its folder, so its rows are there once."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        out = op(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        out.write.mode("append").parquet(sink_path)
+        op(batch).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
