@@ -78,7 +78,7 @@ def _parallel(fn, items, parallelism: int):
 
 def cross_validate(factory, train: DataFrame, cols: list[str], keys: list[str], k: int = 5, seed: int = 42,
                    ctx: dict | None = None, parallelism: int = 4) -> DataFrame:
-    """(fold, accuracy) over ``k`` stratified folds of the training part.
+    """(fold, n_test, accuracy) over ``k`` stratified folds of the training part.
 
     The vectors are assembled once, and each fit knows the size of its own
     training part.
@@ -91,11 +91,11 @@ def cross_validate(factory, train: DataFrame, cols: list[str], keys: list[str],
         n = sum(v for fold, v in sizes.items() if fold != f)
         model = factory({**(ctx or {}), "n_train": n}).fit(tr)
         acc = model.transform(te).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-        return (f, acc)
+        return (f, sizes.get(f, 0), acc)
 
     rows = _parallel(one, list(range(k)), parallelism)
     folded.unpersist()
-    return train.sparkSession.createDataFrame(rows, "fold int, accuracy double")
+    return train.sparkSession.createDataFrame(rows, "fold int, n_test long, accuracy double")
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

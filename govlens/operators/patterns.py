@@ -13,6 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from govlens.session import cut_lineage
+
 SCHEMA = "pattern string, outcome string, probability double, sample_size bigint"
 
 # Outcome names and pattern labels of the rules (the numbers
@@ -28,10 +30,23 @@ LABEL_AFTER_HOURS = "After-hours requests (10PM-6AM)"
 LABEL_ROLE_LOW_RISK = "{role} Role + Low Risk (<{thr})"
 LABEL_LOW_FREQUENCY = "Low Usage Frequency (<{thr})"
 
+# What the decision column calls the two outcomes, and their codes where nothing else is told.
+REJECT_VALUE, APPROVE_VALUE = "reject", "approve"
 REJECT_CODE = 1
 APPROVE_CODE = 0
 
 
+def outcome_codes(enc, target: str, reject_value: str = REJECT_VALUE, approve_value: str = APPROVE_VALUE) -> dict[str, int]:
+    """``RuleParams`` fields for a fitted ``LabelEncoding``: the codes that it gave to the two outcomes.
+
+    With a third decision value the codes move; a value that was never seen
+    has the code of none (-1) and no row counts for it.
+    """
+    found = {r["value"]: r["code"] for r in enc.mapping.where(
+        (F.col("column_name") == target) & F.col("value").isin(reject_value, approve_value)).collect()}
+    return {"reject_code": int(found.get(reject_value, -1)), "approve_code": int(found.get(approve_value, -1))}
+
+
 def _empty(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], SCHEMA)
 
@@ -79,6 +94,8 @@ class RuleParams:
     low_freq: float = 5
     business_start: int = 9
     business_end: int = 17
+    reject_code: int = REJECT_CODE  # see ``outcome_codes``
+    approve_code: int = APPROVE_CODE
 
 
 def pattern_counts(df: DataFrame, time_col: str = "timestamp", p: RuleParams = RuleParams()) -> DataFrame:
@@ -90,7 +107,7 @@ def pattern_counts(df: DataFrame, time_col: str = "timestamp", p: RuleParams = R
     rule reports nothing (see ``_has``)."""
     cols = set(df.columns)
     lab = F.col("label")
-    rej, app = lab == REJECT_CODE, lab == APPROVE_CODE
+    rej, app = lab == p.reject_code, lab == p.approve_code
     risk = F.col("risk_score") if "risk_score" in cols else F.lit(None).cast("double")
     freq = F.col("frequency") if "frequency" in cols else F.lit(None).cast("double")
     has_hour = f"{time_col}_hour" in cols or time_col in cols
@@ -191,7 +208,7 @@ def approval_patterns(df: DataFrame, time_col: str = "timestamp", department: st
                       p: RuleParams = RuleParams()) -> DataFrame:
     """The four rules in order, with the rule number and the number found;
     all four read one shared grid of counts (one scan of ``df``)."""
-    g = pattern_counts(df, time_col, p).persist()     # one row per department x role
+    g = cut_lineage(pattern_counts(df, time_col, p), "checkpoint")     # one row per department x role
     parts = [pat_top_dept_reject(df, p, g), pat_after_hours_low_freq(df, time_col, p, grid=g),
              pat_manager_low_risk(df, p=p, grid=g), pat_business_hours_dept(df, department, time_col, p, grid=g)]
     u = reduce(lambda a, b: a.unionByName(b),
@@ -248,7 +265,7 @@ def decision_patterns(df: DataFrame, time_col: str = "timestamp", top: int = 10,
     first ``top``; ``total_patterns`` is the number found before the cut.
     One scan of ``df`` builds the shared grid; the union has one row per
     department/role at most, so the final sort and count are bounded."""
-    g = pattern_counts(df, time_col, p).persist()
+    g = cut_lineage(pattern_counts(df, time_col, p), "checkpoint")
     parts = [pat_dept_reject(df, p, grid=g), pat_after_hours(df, time_col, p, grid=g),
              pat_role_low_risk(df, p, grid=g), pat_low_frequency(df, p, min_rate=low_freq_min_rate, grid=g)]
     u = reduce(lambda a, b: a.unionByName(b),

@@ -218,11 +218,12 @@ def q_pattern_top4(ctx):
     return d.orderBy(F.desc(F.abs(F.col("probability") - 50)), "rule", "pattern").limit(4)
 
 
-@query("importance_chart", None)
+@query("importance_chart", "select model, 10::bigint as n_bars, true as are_shares from (values ('random_forest'), ('gradient_boosting')) m(model)")
 def q_importance_chart(ctx):
-    from govlens.plans.q_models import classifiers
-    r = classifiers(ctx).get("random_forest")
-    return S.top_features(r.importances) if r else ctx.spark.createDataFrame([], "model string, feature string, importance double, rank int")
+    """The ten bars of each model that has importances; all of them shares of one."""
+    from govlens.plans.q_models import importances
+    return S.top_features(importances(ctx)).groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_bars"), F.every(F.col("importance").between(0, 1)).alias("are_shares"))
 
 
 # ---------------------------------------------------------------- summaries and sinks
@@ -251,12 +252,18 @@ union all select 'risk', 'mean_risk', (select avg(risk_score) from merged)
 union all select 'risk', 'high_risk_count', (select count_if(risk_score > 0.7)::double from merged)
 union all select 'risk', 'high_risk_percentage', (select 100.0 * count_if(risk_score > 0.7) / count(*) from merged)
 union all select 'anomalies', 'outlier_count', (select count_if(is_outlier)::double from flagged)
-union all select 'anomalies', 'outlier_percentage', (select 100.0 * count_if(is_outlier) / count(*) from flagged)"""))
+union all select 'anomalies', 'outlier_percentage', (select 100.0 * count_if(is_outlier) / count(*) from flagged)
+union all select 'feature_importance', model, 1.0 from (values ('random_forest'), ('gradient_boosting')) m(model)"""))
 def q_report_metrics(ctx):
     from govlens.operators.summary import report_metrics
     m = ctx.merged
-    return report_metrics(U.access_reduction_total(U.low_usage_items(m), U.unused_items(m, AS_OF)),
-                          R.risk_overall(m), A.iqr_outliers(_flagged(ctx)))
+    from govlens.plans.q_models import importances
+    out = report_metrics(U.access_reduction_total(U.low_usage_items(m), U.unused_items(m, AS_OF)),
+                         R.risk_overall(m), A.iqr_outliers(_flagged(ctx)), importances(ctx))
+    # of a top predictor, SQL knows the model, and that it has a share of the importance
+    predictor = F.col("section") == "feature_importance"
+    return out.select("section", F.when(predictor, F.element_at(F.split("metric", ":"), 1)).otherwise(F.col("metric")).alias("metric"),
+                      F.when(predictor, F.ceil("value").cast("double")).otherwise(F.col("value")).alias("value"))
 
 
 @query("sink_insights_json", f"""

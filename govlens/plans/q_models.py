@@ -2,7 +2,7 @@
 
 Metric operators are checked exactly on rule-made predictions and clusters
 (a prediction from the risk score, clusters from the encoded requester role
-or item); the MLlib models themselves get rows-only checks.
+or item); the MLlib models themselves by facts that must hold of their outputs.
 """
 
 from __future__ import annotations
@@ -242,9 +242,18 @@ def q_cv_folds(ctx):
     return cv_folds(tr, KEYS, "label", 5).select("request_id", "fold")
 
 
-# ---------------------------------------------------------------- MLlib models (rows-only)
+# ---------------------------------------------------------------- MLlib models
+#
+# A model's numbers can't be stated in SQL, but facts that must hold about its
+# whole output can: these queries run the full operators and return the facts.
 
 N_TREES = 100
+MODELS = ["random_forest", "gradient_boosting", "logistic_regression"]      # those whose packages are here
+NAMED = "(values " + ", ".join(f"('{m}')" for m in MODELS) + ") m(model)"
+TEST_SQL = f"""(select *, row_number() over (partition by label order by {HASH}, request_id) as rn,
+    count(*) over (partition by label) as n from features)"""
+TEST_SIZE = f"(select count(*) from {TEST_SQL} s where rn <= {NTEST})"
+IMPORTANCE_MODELS = ["random_forest", "gradient_boosting"]
 
 
 def classifier(ctx, name: str):
@@ -252,74 +261,114 @@ def classifier(ctx, name: str):
     once per session); None when it is unavailable or fails."""
     cache = ctx.extra.setdefault("classifiers", {})
     if name not in cache:
-        res, _ = TR.train_classifiers(ctx.features, ctx.ff.feature_columns, KEYS, [name], n_trees=N_TREES)
+        res, _ = TR.train_classifiers(ctx.features, ctx.ff.feature_columns, KEYS, [name], n_trees=N_TREES,
+                                      settings=ctx.spec.models.settings)
         cache[name] = res[0] if res else None
     return cache[name]
 
 
 def classifiers(ctx):
-    """The importance-bearing model used by the importance outputs."""
-    r = classifier(ctx, "random_forest")
-    return {"random_forest": r} if r else {}
+    """The models that have importances."""
+    found = {n: classifier(ctx, n) for n in IMPORTANCE_MODELS}
+    return {n: r for n, r in found.items() if r is not None}
+
+
+def importances(ctx):
+    return reduce(lambda a, b: a.unionByName(b), [r.importances for r in classifiers(ctx).values()])
 
 
-def _metrics_row(ctx, name):
+def _classifier_facts(ctx, name):
+    """Rows of the test part, and that every metric is a share and the accuracy no worse than always
+    answering the class that the training part holds most of (less one point in a hundred)."""
     r = classifier(ctx, name)
-    schema = "model string, accuracy double, precision double, recall double, f1_score double"
-    if r is None:
-        return ctx.spark.createDataFrame([], schema)
+    split = stratified_split(ctx.features, KEYS, "label")
+    test = split.where("is_test").groupBy("label").count()
+    top = test.agg(F.sum("count").alias("n_test"), (F.max("count") / F.sum("count")).alias("share"))
     m = r.metrics
-    return ctx.spark.createDataFrame([(name, m["accuracy"], m["precision"], m["recall"], m["f1_score"])], schema)
+    shares = all(0 <= m[k] <= 1 for k in ("accuracy", "precision", "recall", "f1_score"))
+    return top.select(F.lit(name).alias("model"), "n_test", F.lit(shares).alias("metrics_are_shares"),
+                      (F.lit(float(m["accuracy"])) >= F.col("share") - 0.01).alias("not_below_majority"))
+
+
+def _classifier_sql(name):
+    return W(*O.FEAT) + f"select '{name}' as model, {TEST_SIZE}::bigint as n_test, true as metrics_are_shares, true as not_below_majority"
 
 
-@query("rf_classifier", None)
+@query("rf_classifier", _classifier_sql("random_forest"))
 def q_rf_classifier(ctx):
-    return _metrics_row(ctx, "random_forest")
+    return _classifier_facts(ctx, "random_forest")
 
 
-@query("gbt_classifier", None)
+@query("gbt_classifier", _classifier_sql("gradient_boosting"))
 def q_gbt_classifier(ctx):
-    return _metrics_row(ctx, "gradient_boosting")
+    return _classifier_facts(ctx, "gradient_boosting")
 
 
-@query("logistic_regression", None)
+@query("logistic_regression", _classifier_sql("logistic_regression"))
 def q_logistic_regression(ctx):
-    return _metrics_row(ctx, "logistic_regression")
+    return _classifier_facts(ctx, "logistic_regression")
 
 
-@query("cross_validate", None)
+FOLD_SQL = W(*O.FEAT) + f""",
+tr AS (select request_id, label from {TEST_SQL} s where rn > {NTEST}),
+f AS (select cast(floor((rn - 1) * 5 / n) as integer) as fold from (
+  select row_number() over (partition by label order by {HASH}, request_id) as rn, count(*) over (partition by label) as n from tr) t)
+select model, fold, count(*) as n_test, true as accuracy_is_share, true as mean_is_within from f, {NAMED} group by 1, 2"""
+
+
+@query("cross_validate", FOLD_SQL)
 def q_cross_validate(ctx):
-    """5 stratified folds of the training part, logistic regression."""
+    """5 stratified folds of the training part for every available classifier: the fold sizes, and
+    that the mean of each classifier lies within its folds' accuracies."""
     from govlens.models import registry as REG
     tr = stratified_split(ctx.features.withColumn("label", F.col("label").cast("double")), KEYS, "label") \
         .where(~F.col("is_test"))
-    scores = TR.cross_validate(REG.CLASSIFIERS["logistic_regression"], tr, ctx.ff.feature_columns, KEYS, 5, 42,
-                               {"n_train": 8000})
-    w = Window.partitionBy()                 # k rows: a bounded global window
-    return scores.select("fold", "accuracy", F.avg("accuracy").over(w).alias("cv_mean"),
-                         F.stddev_pop("accuracy").over(w).alias("cv_std"))
+    settings = {**ctx.spec.models.settings, "n_trees": N_TREES}
+    parts = []
+    for name, factory, _ in REG.resolve(ctx.spec.models.classification_algorithms, REG.CLASSIFIERS):
+        if factory is not None:
+            scores = TR.cross_validate(factory, tr, ctx.ff.feature_columns, KEYS, 5, 42, settings)
+            mean = TR.cv_summary(scores).first()["cv_mean"]
+            low, high = scores.agg(F.min("accuracy"), F.max("accuracy")).first()
+            parts.append(scores.select(F.lit(name).alias("model"), "fold", "n_test", F.col("accuracy").between(0, 1).alias("accuracy_is_share"),
+                                       F.lit(low - 1e-12 <= mean <= high + 1e-12).alias("mean_is_within")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("score_all", W(*O.FEAT) + "select request_id, true as sums_to_one, true as is_most_probable from features")
+def q_score_all(ctx):
+    s = TR.score_all(classifier(ctx, "random_forest").model, ctx.features, KEYS)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+    best = F.array_position("probability", F.array_max("probability")) - 1
+    return s.select("request_id", (F.abs(total - 1) < 1e-9).alias("sums_to_one"), (F.col("prediction") == best).alias("is_most_probable"))
 
 
-@query("score_all", None)
-def q_score_all(ctx):
-    m = classifier(ctx, "random_forest").model
-    return TR.score_all(m, ctx.features, KEYS).withColumn("confidence", F.array_max("probability"))
+IMPORTED = "(values " + ", ".join(f"('{m}')" for m in IMPORTANCE_MODELS) + ") m(model)"
 
 
-@query("top_features", None)
+@query("top_features", f"select model, cast(r as integer) as rank, true as in_order from {IMPORTED}, range(1, 11) t(r)")
 def q_top_features(ctx):
-    imps = [r.importances for r in classifiers(ctx).values() if r.importances is not None]
-    return S.top_features(reduce(lambda a, b: a.unionByName(b), imps))
+    """Ten ranks for each model, the importances in falling order."""
+    w = Window.partitionBy("model").orderBy("rank")
+    before = F.lag("importance").over(w)
+    return S.top_features(importances(ctx)).select("model", "rank", F.coalesce(F.col("importance") <= before, F.lit(True)).alias("in_order"))
 
 
-@query("sink_importance", None)
+def _importance_facts(imp):
+    return imp.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("feature").alias("n_features"),
+                                    (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"))
+
+
+IMPORTANCE_SQL = f"select model, {len(FL)}::bigint as n_rows, {len(FL)}::bigint as n_features, true as sums_to_one from {IMPORTED}"
+
+
+@query("sink_importance", IMPORTANCE_SQL)
 def q_sink_importance(ctx):
-    """Importances written per model to the shared folder and read back."""
+    """Importances of each model written to the shared folder and read back: every feature once."""
     base = shared_path(ctx.spark, "importance")
     for name, r in classifiers(ctx).items():
-        if r.importances is not None:
-            r.importances.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/{name}")
-    return ctx.spark.read.option("header", True).option("inferSchema", True).csv(f"{base}/*")
+        r.importances.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/{name}")
+    return _importance_facts(ctx.spark.read.option("header", True).option("inferSchema", True).csv(f"{base}/*"))
 
 
 def _regression_features(ctx):
@@ -332,49 +381,67 @@ def regressors(ctx):
     if "regressors" not in ctx.extra:
         f, cols = _regression_features(ctx)
         ctx.extra["regressors"] = {r.name: r for r in TR.train_regressors(
-            f, cols, KEYS, ctx.spec.models.regression_algorithms, n_trees=N_TREES)}
+            f, cols, KEYS, ctx.spec.models.regression_algorithms, n_trees=N_TREES, settings=ctx.spec.models.settings)}
     return ctx.extra["regressors"]
 
 
-def _reg_row(ctx, name):
-    r = regressors(ctx).get(name)
-    schema = "model string, mse double, rmse double, mae double, r2_score double"
-    if r is None:
-        return ctx.spark.createDataFrame([], schema)
-    m = r.metrics
-    return ctx.spark.createDataFrame([(name, m["mse"], m["rmse"], m["mae"], m["r2_score"])], schema)
+LINEAR_SQL = O.r6(["coefficient"], W(*O.FEAT) + """,
+s AS (select avg(risk_score) as my, avg(frequency) as m1, avg(seniority_level) as m2, covar_pop(risk_score, frequency) as y1,
+  covar_pop(risk_score, seniority_level) as y2, var_pop(frequency) as s1, var_pop(seniority_level) as s2,
+  covar_pop(frequency, seniority_level) as s12 from features),
+b AS (select *, (y1 * s2 - y2 * s12) / (s1 * s2 - s12 * s12) as b1, (y2 * s1 - y1 * s12) / (s1 * s2 - s12 * s12) as b2 from s)
+select 'frequency' as term, b1 as coefficient from b union all select 'seniority_level', b2 from b
+union all select 'intercept', my - b1 * m1 - b2 * m2 from b""")
 
 
-@query("linear_regression", None)
+@query("linear_regression", LINEAR_SQL)
 def q_linear_regression(ctx):
-    return _reg_row(ctx, "linear_regression")
+    """Least squares of the risk score on two features over all rows, against the normal equations."""
+    from govlens.models import registry as REG
+    cols = ["frequency", "seniority_level"]
+    m = REG.REGRESSORS["linear_regression"]({}).fit(
+        TR.assembler(cols).transform(ctx.features.select(F.col("risk_score").alias("label"), *cols)))
+    rows = [*zip(cols, (float(x) for x in m.coefficients)), ("intercept", float(m.intercept))]
+    return ctx.spark.createDataFrame(rows, "term string, coefficient double")
 
 
-@query("rf_regressor", None)
+@query("rf_regressor", W(*O.FEAT) + """
+select 'random_forest' as model, true as errors_agree, true as beats_the_mean""")
 def q_rf_regressor(ctx):
-    return _reg_row(ctx, "random_forest")
+    """The forest on the risk score: the errors fit together, and it is no worse than the mean (less two points in a hundred)."""
+    m = regressors(ctx)["random_forest"].metrics
+    ok = abs(m["rmse"] ** 2 - m["mse"]) < 1e-9 and 0 <= m["mae"] <= m["rmse"] + 1e-12
+    return ctx.spark.createDataFrame([("random_forest", ok, m["r2_score"] >= -0.02)], "model string, errors_agree boolean, beats_the_mean boolean")
 
 
 def clustering(ctx):
     if "kmeans" not in ctx.extra:
-        ctx.extra["kmeans"] = TR.train_clustering(ctx.features, ctx.ff.feature_columns, KEYS, n_init=2)
+        ctx.extra["kmeans"] = TR.train_clustering(ctx.features, ctx.ff.feature_columns, KEYS)
     return ctx.extra["kmeans"]
 
 
-@query("kmeans", None)
+@query("kmeans", W(*O.FEAT) + "select count(*) as n_rows, true as k_in_range, true as none_empty, true as inertia_falls from features")
 def q_kmeans(ctx):
+    """Ten starts for each k: every row in a cluster, k from 2 to 10, no cluster empty, inertia falling with k."""
     r = clustering(ctx)
-    return S.cluster_distribution(r.extra["assignments"]).withColumn("k", F.lit(r.metrics["n_clusters"]))
+    sizes = S.cluster_distribution(r.extra["assignments"])
+    k = r.metrics["n_clusters"]
+    inertia = [x["inertia"] for x in r.extra["inertias"].orderBy("k").collect()]            # nine rows at most
+    falls = all(b <= a * 1.001 for a, b in zip(inertia, inertia[1:]))
+    return sizes.agg(F.sum("n").alias("n_rows"), F.lit(2 <= k <= 10).alias("k_in_range"),
+                     ((F.count(F.lit(1)) == k) & (F.min("n") > 0)).alias("none_empty"), F.lit(falls).alias("inertia_falls"))
 
 
-@query("sink_clusters", None)
+@query("sink_clusters", W(*O.FEAT) + "select request_id, true as in_range from features")
 def q_sink_clusters(ctx):
+    """Assignments written and read back: every row once, with one of the k clusters."""
     path = shared_path(ctx.spark, "clusters")
-    clustering(ctx).extra["assignments"].write.mode("overwrite").parquet(path)
-    return ctx.spark.read.parquet(path)
+    r = clustering(ctx)
+    r.extra["assignments"].write.mode("overwrite").parquet(path)
+    return ctx.spark.read.parquet(path).select("request_id", F.col("cluster").between(0, r.metrics["n_clusters"] - 1).alias("in_range"))
 
 
-@query("sink_model", None)
+@query("sink_model", W(*O.FEAT) + "select 'random_forest' as model, count(*) as n_scored, count(*) as n_same from features")
 def q_sink_model(ctx):
     """The random forest saved to the shared folder, loaded back and used to
     score every row: (model, n_scored, n_same) - the reloaded model must
@@ -387,3 +454,13 @@ def q_sink_model(ctx):
     b = TR.score_all(loaded, ctx.features, KEYS).select("request_id", F.col("prediction").alias("p2"))
     return a.join(b, "request_id").agg(F.lit("random_forest").alias("model"), F.count(F.lit(1)).alias("n_scored"),
                                        F.count_if(F.col("p1") == F.col("p2")).alias("n_same"))
+
+
+@query("best_trained_model", "select true as is_the_most_accurate")
+def q_best_trained_model(ctx):
+    """``best_model`` over the trained classifiers picks the one of highest test accuracy."""
+    from govlens.plans.pipeline import best_trained
+    found = {n: classifier(ctx, n) for n in MODELS}
+    best = best_trained(ctx.spark, {n: r for n, r in found.items() if r is not None})
+    top = max(r.metrics["accuracy"] for r in found.values() if r is not None)
+    return best.select((F.abs(F.col("value") - F.lit(float(top))) < 1e-12).alias("is_the_most_accurate"))

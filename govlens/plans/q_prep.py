@@ -51,14 +51,16 @@ def q_src_csv(ctx):
 
 @query("src_all_tables", W(*O.BASE) + """
 select 'decision_history' as table_name, count(*) as n_rows from decision_history
-union all select 'access_usage', count(*) from access_usage""")
+union all select 'access_usage', count(*) from access_usage
+union all select 'peer_group', count(*) from peer_group
+union all select 'recertification_history', count(*) from recertification_history""")
 def q_src_all_tables(ctx):
-    """Load every configured table from a folder; the missing ones are dropped."""
+    """Load every configured table from a folder; a missing one is dropped."""
     from govlens.spec import TableSpec
     base = shared_path(ctx.spark, "src_all")
-    for name in ("decision_history", "access_usage"):
-        ctx.tables[name].write.mode("overwrite").parquet(f"{base}/{name}.parquet")
-    specs = {n: TableSpec(n) for n in ("decision_history", "access_usage", "peer_group", "missing_table")}
+    for name, df in ctx.tables.items():
+        df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+    specs = {n: TableSpec(n) for n in (*ctx.tables, "missing_table")}
     loaded = catalog.load_all_tables(ctx.spark, base, specs)
     return catalog.profile(loaded).select("table_name", "n_rows")
 
@@ -179,9 +181,19 @@ def q_numeric_only(ctx):
     return C.numeric_only(C.exclude_columns(ctx.ff.encoded, f.target_column, f.exclude_columns))
 
 
-@query("clean_numeric", O.r6(O.FEATURES_LIST, W(*O.FEAT) + "select * exclude (label) from features"))
+@query("clean_numeric", O.r6(["risk_score", "approver_id"], W(*O.BASE) + """,
+g AS (select request_id, case when request_id % 11 < 4 then null else risk_score end as risk_score,
+        case when request_id % 7 = 0 then null else approver_id::double end as approver_id from decision_history)
+select request_id, coalesce(risk_score, (select median(risk_score) from g)) as risk_score,
+  coalesce(approver_id, (select median(approver_id) from g)) as approver_id from g"""))
 def q_clean_numeric(ctx):
-    return ctx.features.drop("label")
+    """NaN, both infinities and NULL in the risk score, NULL in another column: all become the median."""
+    d, rid, x = ctx.tables["decision_history"], F.col("request_id"), F.col("risk_score")
+    odd = (F.when(rid % 11 == 0, F.lit(None).cast("double")).when(rid % 11 == 1, F.lit(float("nan")))
+            .when(rid % 11 == 2, F.lit(float("inf"))).when(rid % 11 == 3, F.lit(float("-inf"))).otherwise(x))
+    g = d.select("request_id", odd.alias("risk_score"),
+                 F.when(rid % 7 == 0, F.lit(None)).otherwise(F.col("approver_id")).cast("double").alias("approver_id"))
+    return C.clean_numeric(g, ["risk_score", "approver_id"])
 
 
 @query("process_pipeline", O.r6(O.FEATURES_LIST, W(*O.FEAT) + "select * from features"))
@@ -239,6 +251,37 @@ def q_join_outer(ctx):
     return _join(ctx, "outer")
 
 
+def _with_gaps(ctx):
+    """Requests and peers, each without some of its keys, and with a column of the same name."""
+    d = ctx.tables["decision_history"].select("request_id", F.when(F.col("request_id") % 50 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
+                                              F.col("requester_role").alias("role"))
+    p = ctx.tables["peer_group"].select(F.when(F.col("user_id") % 400 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"), "role", "location")
+    return d, p
+
+
+GAP_JOIN_SQL = W(*O.BASE) + """,
+d AS (select request_id, case when request_id % 50 = 0 then null else user_id end as user_id, requester_role as role from decision_history),
+p AS (select case when user_id % 400 = 0 then null else user_id end as user_id, role, location from peer_group)
+"""
+
+
+@query("join_null_safe", GAP_JOIN_SQL + """
+select d.user_id, count(*) as n_rows, count(p.location) as n_matched from d left join p on d.user_id is not distinct from p.user_id group by 1""")
+def q_join_null_safe(ctx):
+    """Missing keys match each other, as in pandas; the fan-out of the missing key is kept."""
+    d, p = _with_gaps(ctx)
+    j = join_step(d, p, ["user_id"], "left", "_peer_group")
+    return j.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count("location").alias("n_matched"))
+
+
+@query("join_suffix", GAP_JOIN_SQL + """
+select d.request_id, d.user_id, d.role, p.role as role_peer_group, p.location from d join p on d.user_id = p.user_id""")
+def q_join_suffix(ctx):
+    """A column that both sides have keeps its name on the left and gets the suffix on the right."""
+    d, p = _with_gaps(ctx)
+    return join_step(d.where("user_id is not null"), p.where("user_id is not null"), ["user_id"], "inner", "_peer_group")
+
+
 # ---------------------------------------------------------------- encoding
 
 @query("label_encode_fit", W(*O.MERGE) + " union all ".join(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from govlens.sources import files
+from govlens.sources.jdbc import read_jdbc
 from govlens.spec import TableSpec
 
 log = logging.getLogger(__name__)
@@ -21,7 +22,13 @@ def table_path(base_dir: str, spec: TableSpec) -> str:
 
 
 def load_table(spark: SparkSession, base_dir: str, spec: TableSpec) -> DataFrame | None:
-    """One table, or None (with a warning) when its file is missing."""
+    """One table, or None (with a warning) when its file is missing.
+
+    Each source reads only the configured columns.  A ``jdbc`` table takes its
+    connection from ``spec.options`` (see ``jdbc_options``).
+    """
+    if spec.format == "jdbc":
+        return read_jdbc(spark, spec.columns, **{"table": spec.name, **(spec.options or {})})
     path = table_path(base_dir, spec)
     try:
         if spec.format == "csv":

@@ -17,7 +17,8 @@ class TableSpec:
     primary_key: str | list[str] | None = None
     join_keys: list[str] | None = None
     path: str | None = None               # file source; default "{name}.{format}"
-    format: str = "parquet"
+    format: str = "parquet"               # parquet, csv or jdbc; a table of a spec file that names none is csv
+    options: dict | None = None           # jdbc: url, user, driver, partition column and bounds ...
 
 
 @dataclass
@@ -137,12 +138,12 @@ class PipelineSpec:
     insights: InsightSpec
 
     @staticmethod
-    def from_dict(d: dict[str, Any]) -> "PipelineSpec":
+    def from_dict(d: dict[str, Any], default_format: str = "parquet") -> "PipelineSpec":
         tables = {}
         for name, t in (d.get("tables") or {}).items():
             t = t or {}
             tables[name] = TableSpec(name, t.get("columns"), t.get("primary_key"), t.get("join_keys"),
-                                     t.get("path"), t.get("format", "parquet"))
+                                     t.get("path"), t.get("format", default_format), t.get("options"))
         ml = d.get("ml_config") or {}
         return PipelineSpec(tables, MergeSpec.from_dict(d.get("merge_strategy")),
                             FeatureSpec.from_dict(ml), ModelSpec.from_dict(ml.get("models")),
@@ -160,7 +161,7 @@ def load_spec(path: str) -> PipelineSpec:
     except ImportError:
         import json
         data = json.loads(text)
-    return PipelineSpec.from_dict(data or {})
+    return PipelineSpec.from_dict(data or {}, default_format="csv")
 
 
 # The default configuration. Lists that the dataclasses above already hold are taken from them.
