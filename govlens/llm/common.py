@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +54,18 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def per_worker(key, make):
+    """One object for all tasks of a Python worker process, made by the first of them that asks.
+
+    Functions travel with the job, so their module's globals are new in each
+    task; this state belongs to the process.
+    """
+    state = sys.modules.setdefault("_govlens_llm_worker", types.ModuleType("_govlens_llm_worker")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 def held(docs: DataFrame, **named: str) -> DataFrame:
     """``docs`` as one struct column ``_row``, and the columns that are worked on under names of their own.
 
@@ -64,3 +79,13 @@ def released(columns: list[str], **outputs: Column) -> list[Column]:
     """The columns of ``_row`` again, and the outputs; an output takes the place of a column of its name."""
     return [outputs.pop(c).alias(c) if c in outputs else F.col("_row").getField(c).alias(c) for c in columns] \
         + [v.alias(k) for k, v in outputs.items()]
+
+
+def hashed_sample(docs: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """At most ``rows`` rows of ``docs``, those with the least hash of ``columns``; rows of equal content count once.
+
+    Only hashes are sorted, so what isn't taken isn't moved.
+    """
+    keyed = docs.withColumn("_hash", F.xxhash64(*columns))
+    cut = keyed.select("_hash").distinct().orderBy("_hash").limit(rows).agg(F.max("_hash")).first()[0]
+    return keyed.where(F.col("_hash") <= F.lit(cut)).dropDuplicates(["_hash"]).drop("_hash")
