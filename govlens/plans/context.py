@@ -6,6 +6,7 @@ of one session and data folder reuses it (persisted once).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,11 @@ class Context:
     @property
     def tables(self) -> dict[str, DataFrame]:
         if self._tables is None:
-            self._tables = load_bound_tables(self.spark, self.sf_dir)
+            # the bound tables are joins and aggregates of the test tables: each is derived once and written,
+            # and gap statistics, cleaning and merge read the copy
+            derived = load_bound_tables(self.spark, self.sf_dir)
+            with ThreadPoolExecutor(len(derived)) as pool:
+                self._tables = dict(zip(derived, pool.map(lambda n: cut_lineage(derived[n], "table", n), derived)))
         return self._tables
 
     @property
