@@ -8,16 +8,18 @@ scorer over hashed features, which then judges every document by its words.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from govlens.llm.common import ASCII_SPACE, bounded_batches, held, released, row_key, table
+from govlens.llm.common import bounded_batches, hashed_sample, held, released, table
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 
@@ -25,49 +27,108 @@ BAD, GOOD, ABSTAIN = 0, 1, 2
 #: The heuristics, in the order of their votes.
 LABELLERS = ("symbols", "upper_case", "calls", "bars", "sentences", "variety", "word_length", "repeated_lines")
 
+#: Kinds of characters: what a word's shape is written in, and what the heuristics count.
+KINDS = "aA0xs!|.-"
+_SYMBOLS, _CALLS, _BARS, _STOPS = "%$#*&@^~<>{}[]\\", "!?", "|=_", ".,;:"
+#: Words whose figures a worker keeps.
+CACHE_WORDS = 300_000
 
-def with_votes(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus a column per heuristic with its vote (0 bad, 1 good, 2 abstain), by JVM-side expressions.
 
-    The figures are columns of their own, so that each is worked out once.
-    """
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    left = lambda chars: F.char_length("_t") - F.char_length(F.translate("_t", chars, ""))
-    out = docs.withColumn("_t", t) \
-        .withColumn("_words", F.array_remove(F.split(F.translate("_t", ASCII_SPACE, " " * len(ASCII_SPACE)), " ", -1), "")) \
-        .withColumn("_lines", F.split("_t", "\n", -1))
-    n, n_words = F.greatest(F.char_length("_t"), F.lit(1)), F.greatest(F.size("_words"), F.lit(1))
-    figures = {
-        "symbols": left("%$#*&@^~<>{}[]\\") / n,
-        "upper_case": left("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / n,
-        "calls": left("!?") / n_words,
-        "bars": left("|\t=_") / n_words,
-        "sentences": left(".,;:") / n_words,
-        "variety": F.size(F.array_distinct("_words")) / n_words,
-        "word_length": F.char_length("_t") / n_words,
-        "repeated_lines": 1 - F.size(F.array_distinct("_lines")) / F.size("_lines"),
-    }
-    out = out.select(*docs.columns, F.size("_words").alias("_n_words"), F.size("_lines").alias("_n_lines"),
-                     *[v.alias(f"_{k}") for k, v in figures.items()])
-    some, many, runs = F.col("_n_words") >= 5, F.col("_n_words") >= 30, F.col("_n_lines") >= 4
-    f = {k: F.col(f"_{k}") for k in figures}
-    rules = {
-        "symbols": (some, f["symbols"] > 0.05, f["symbols"] < 0.005),
-        "upper_case": (some, f["upper_case"] > 0.3, f["upper_case"] < 0.06),
-        "calls": (some, f["calls"] > 0.5, f["calls"] < 0.1),
-        "bars": (some, f["bars"] > 0.1, f["bars"] < 0.02),
-        "sentences": (many, (f["sentences"] < 0.01) | (f["sentences"] > 0.6), f["sentences"].between(0.04, 0.3)),
-        "variety": (many, f["variety"] < 0.45, f["variety"] > 0.6),
-        "word_length": (some, (f["word_length"] < 3) | (f["word_length"] > 12), f["word_length"].between(4, 8)),
-        "repeated_lines": (runs, f["repeated_lines"] > 0.5, f["repeated_lines"] < 0.1),
-    }
-    votes = {k: F.when(known & bad, BAD).when(known & good, GOOD).otherwise(ABSTAIN).cast("int")
-             for k, (known, bad, good) in rules.items()}
-    return out.select(*docs.columns, *[v.alias(_vote(k)) for k, v in votes.items()])
-
-
-def _vote(name: str) -> str:
-    return f"_vote_{name}"
+def _kind(c: str) -> int:
+    for i, chars in enumerate((_SYMBOLS, _CALLS, _BARS, _STOPS), 4):
+        if c in chars:
+            return i
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 if c.isalpha() else 8
+
+
+class Reader:
+    """Figures of texts from figures of their words, which are worked out once and kept while there is room."""
+
+    def __init__(self):
+        self._kinds = np.full(0x110000, 255, dtype=np.uint8)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._shapes: dict[bytes, int] = {}
+        self._table = np.empty((0, len(KINDS) + 1), dtype=np.int64)      # characters of each kind, shape
+
+    def shapes(self) -> list[bytes]:
+        return list(self._shapes)
+
+    def _learn(self, words: list[str]) -> None:
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        kinds = self._kinds[codes]
+        if (kinds == 255).any():
+            for c in np.unique(codes[kinds == 255]):
+                self._kinds[c] = _kind(chr(c))
+            kinds = self._kinds[codes]
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+        sums = np.stack([np.add.reduceat(kinds == k, starts, dtype=np.int64) for k in range(len(KINDS))], axis=1)
+        # a shape is the word's kinds, runs written once
+        run = np.concatenate([[True], kinds[1:] != kinds[:-1]])
+        run[starts] = True
+        raw = np.frombuffer(KINDS.encode(), dtype=np.uint8)[kinds[run]].tobytes()
+        ends = np.add.reduceat(run, starts, dtype=np.int64).cumsum().tolist()
+        shapes = [self._shapes.setdefault(raw[a:min(b, a + 12)], len(self._shapes)) for a, b in zip([0, *ends], ends)]
+        at = len(self._known)
+        self._known.update(zip(words, range(at, at + len(words))))
+        if at + len(words) > len(self._table):              # grows by doubling
+            more = np.empty((max(at + len(words), 2 * at) - at, len(KINDS) + 1), dtype=np.int64)
+            self._table = np.concatenate([self._table[:at], more])
+        self._table[at:at + len(words)] = np.column_stack([sums, shapes])
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Per text its votes, and the shapes of its words with their counts."""
+        split = [(t or "").split() for t in texts]
+        sets = [set(w) for w in split]
+        new = set().union(*sets).difference(self._known)
+        if len(self._known) + len(new) > CACHE_WORDS:
+            self._forget()
+            new = set().union(*sets)
+        if new:
+            self._learn(list(new))
+        figures, shapes = np.zeros((len(texts), 11)), []
+        for i, (text, words, distinct) in enumerate(zip(texts, split, sets, strict=True)):
+            of = self._table[np.fromiter(map(self._known.__getitem__, words), dtype=np.int64, count=len(words))]
+            kinds = of[:, :-1].sum(axis=0)
+            lines = (text or "").split("\n")
+            n, w = max(1, len(text or "")), max(1, len(words))
+            figures[i] = (kinds[4] / n, kinds[1] / n, kinds[5] / w, kinds[6] / w, kinds[7] / w, len(distinct) / w,
+                          n / w, 1 - len(set(lines)) / len(lines), len(words), len(lines), 0)
+            shapes.append(np.unique(of[:, -1], return_counts=True))
+        return figures, shapes
+
+
+def votes_of(figures: np.ndarray) -> np.ndarray:
+    """A vote of each heuristic (0 bad, 1 good, 2 abstain) per text."""
+    symbols, upper, calls, bars, stops, variety, length, repeats, n_words, n_lines, _ = figures.T
+    some, many, runs = n_words >= 5, n_words >= 30, n_lines >= 4
+    rules = (
+        (some, symbols > 0.05, symbols < 0.005),
+        (some, upper > 0.3, upper < 0.06),
+        (some, calls > 0.5, calls < 0.1),
+        (some, bars > 0.1, bars < 0.02),
+        (many, (stops < 0.01) | (stops > 0.6), (stops >= 0.04) & (stops <= 0.3)),
+        (many, variety < 0.45, variety > 0.6),
+        (some, (length < 3) | (length > 12), (length >= 4) & (length <= 8)),
+        (runs, repeats > 0.5, repeats < 0.1),
+    )
+    return np.stack([np.where(known & bad, BAD, np.where(known & good, GOOD, ABSTAIN)) for known, bad, good in rules], axis=1)
+
+
+#: Characters of text that are read at a time.
+_BATCH_CHARS = 1 << 21
+
+
+def parts_of(texts: list[str | None]) -> Iterator[slice]:
+    """Slices of ``texts`` of about ``_BATCH_CHARS`` characters."""
+    cut = np.cumsum([len(t or "") for t in texts]) // _BATCH_CHARS
+    edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), len(texts)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield slice(a, b)
 
 
 #: A heuristic finds its own fault at least this often, and calls a good document faulty at most this often.
@@ -131,61 +192,49 @@ class VoteModel:
 
 def vote_model(docs: DataFrame, text_col: str = "text") -> VoteModel | None:
     """Fitted to all of ``docs``; the driver gets at most 3 ** 8 patterns with their counts.  None for an empty table."""
-    names = [_vote(k) for k in LABELLERS]
-    found = with_votes(docs.select(F.col(text_col).alias("_text")), "_text").groupBy(*names).count().collect()
-    if not found:
-        return None
-    rows = np.array([list(r) for r in found], dtype=np.int64)
-    return VoteModel.fit(list(LABELLERS), rows[:, :-1], rows[:, -1])
-
-
-_SHAPE = str.maketrans({c: "a" for c in "abcdefghijklmnopqrstuvwxyz"} | {c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
-                       | {c: "0" for c in "0123456789"})
-#: Words whose features a worker keeps.
-CACHE_WORDS = 300_000
+    bounded_batches(docs.sparkSession)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, total = Reader(), Counter()
+        for b in batches:
+            texts = b["text"].where(b["text"].notna(), None).to_list()
+            for part in parts_of(texts):
+                total.update(map(bytes, votes_of(reader.read(texts[part])[0]).astype(np.uint8)))
+        yield pd.DataFrame({"votes": list(total), "n": list(total.values())})
 
-def shape(word: str) -> str:
-    """Runs of letters, digits and of each other character, one character for each run."""
-    out = []
-    for c in word.translate(_SHAPE):
-        c = c if c.isascii() else "a" if c.islower() else "A" if c.isupper() else "x"
-        if not out or out[-1] != c:
-            out.append(c)
-    return "".join(out[:12])
+    found = docs.select(F.col(text_col).alias("text")).mapInPandas(run, "votes binary, n long") \
+        .groupBy("votes").agg(F.sum("n").alias("n")).collect()
+    if not found:
+        return None
+    patterns = np.array([list(r["votes"]) for r in found], dtype=np.int64)
+    return VoteModel.fit(list(LABELLERS), patterns, np.array([r["n"] for r in found]))
 
 
 class Hasher:
-    """Hashed features of a text: the share of each word shape, and bands of a few whole-text figures."""
+    """Hashed features of texts: the share of each word shape, and bands of a few whole-text figures."""
 
     def __init__(self, dimensions: int):
-        self.dimensions = dimensions
-        self._known: dict[str, int] = {}
+        self.dimensions, self.reader = dimensions, Reader()
 
     def _at(self, feature: str) -> int:
         return xxhash.xxh64_intdigest(feature, 0) % self.dimensions
 
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = (text or "").split()
-        if len(self._known) > CACHE_WORDS:
-            self._known = {}
-        known = self._known
-        for w in set(words):
-            if w not in known:
-                known[w] = self._at("shape " + shape(w))
-        at, n = np.unique(np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words)), return_counts=True)
-        share = np.sqrt(n / max(1, len(words)))
-        lines = (text or "").split("\n")
-        bands = []
-        if len(lines) >= 4:
-            bands.append(f"lines {int(8 * len(set(lines)) / len(lines))}")
-        if len(words) >= 30:
-            bands.append(f"variety {int(10 * len(set(words)) / len(words))}")
-        extra = np.array([self._at(b) for b in bands], dtype=np.int64)
-        index = np.concatenate([at, extra])
-        value = np.concatenate([share, np.full(len(extra), 0.5)])
-        index, of = np.unique(index, return_inverse=True)
-        return index, np.bincount(of, value, len(index))
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Per text its votes, and its features as (index, value)."""
+        figures, shapes = self.reader.read(texts)
+        of = np.array([self._at(f"shape {x.decode()}") for x in self.reader.shapes()], dtype=np.int64)
+        rows = []
+        for (kind, n), f in zip(shapes, figures, strict=True):
+            extra = []
+            if f[9] >= 4:
+                extra.append(f"lines {int(8 * (1 - f[7]))}")
+            if f[8] >= 30:
+                extra.append(f"variety {int(10 * f[5])}")
+            index = np.concatenate([of[kind], np.array([self._at(x) for x in extra], dtype=np.int64)])
+            value = np.concatenate([np.sqrt(n / max(1, f[8])), np.full(len(extra), 0.5)])
+            index, where = np.unique(index, return_inverse=True)
+            rows.append((index, np.bincount(where, value, len(index))))
+        return votes_of(figures), rows
 
 
 @dataclass
@@ -226,18 +275,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimen
     model = vote_model(docs, text_col)
     if model is None:
         return None
-    bounded_batches(docs.sparkSession)
-    some = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
-        .select("_text", *row_key("_id", "_text")).orderBy("_k1", "_k2").limit(max_rows)
-    some = with_votes(some, "_text").select("_text", F.array(*[_vote(k) for k in LABELLERS]).alias("_votes"))
+    some = hashed_sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), ["id", "text"], max_rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = Hasher(dimensions)
         for b in batches:
-            rows = [features(t) for t in b["_text"]]
-            yield pd.DataFrame({"index": [r[0] for r in rows], "value": [r[1] for r in rows], "votes": b["_votes"].to_numpy()})
+            texts = b["text"].where(b["text"].notna(), None).to_list()
+            for part in parts_of(texts):
+                votes, rows = features(texts[part])
+                yield pd.DataFrame({"index": [r[0] for r in rows], "value": [r[1] for r in rows], "votes": list(votes)})
 
-    got = some.mapInPandas(run, "index array<long>, value array<double>, votes array<int>").toPandas()
+    got = some.select("text").mapInPandas(run, "index array<long>, value array<double>, votes array<long>").toPandas()
     good = model.posterior(np.stack(got["votes"].to_list()).astype(np.int64))
     rows = list(zip(got["index"], got["value"], strict=True))
     return model, Scorer.fit(rows, good, dimensions)
@@ -255,20 +303,22 @@ def classify(docs: DataFrame, fitted: tuple[VoteModel, Scorer] | None, text_col:
         return docs.select("*", F.lit(0.0).alias("_quality"), F.lit(0.0).alias("_posterior"), F.lit(False).alias("_keep"))
     model, scorer = fitted
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(T.StructType().add("quality", T.DoubleType()).add("posterior", T.DoubleType()))
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         features = Hasher(len(scorer.weights))
         for s in batches:
-            yield pd.Series([scorer.score(features(t)) for t in s.where(s.notna(), None)], index=s.index, dtype="float64")
-
-    # the posterior of a row from its votes: a sum of logs per class
-    no, yes = model.log_votes()
-    logs = [sum((F.when(F.col(_vote(k)) == BAD, float(no[c, j])).when(F.col(_vote(k)) == GOOD, float(yes[c, j])).otherwise(0.0)
-                 for j, k in enumerate(LABELLERS)), F.lit(float(np.log(share)))) for c, share in enumerate(model.shares)]
-    posterior = 1 / sum((F.exp(x - F.col("_z0")) for x in logs[1:]), F.lit(1.0))
-    out = with_votes(held(docs, _text=text_col), "_text").withColumn("_z0", logs[0]) \
-        .select("_row", score("_text").alias("_q"), posterior.alias("_p"))
-    return out.select(*released(docs.columns, _quality=F.col("_q"), _posterior=F.col("_p"), _keep=F.col("_q") >= threshold))
+            texts = s.where(s.notna(), None).to_list()
+            scores, votes = [], [np.empty((0, len(LABELLERS)), dtype=np.int64)]
+            for part in parts_of(texts):
+                v, rows = features(texts[part])
+                votes.append(v)
+                scores += [scorer.score(r) for r in rows]
+            yield pd.DataFrame({"quality": scores, "posterior": model.posterior(np.concatenate(votes))})
+
+    bounded_batches(docs.sparkSession)
+    out = held(docs, _text=text_col).select("_row", judge("_text").alias("_j"))
+    return out.select(*released(docs.columns, _quality=F.col("_j.quality"), _posterior=F.col("_j.posterior"),
+                                _keep=F.col("_j.quality") >= threshold))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
