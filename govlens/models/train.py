@@ -76,14 +76,24 @@ def _parallel(fn, items, parallelism: int):
         return list(pool.map(fn, items))
 
 
+#: Rows that make a partition worth a task of its own in a fit, which starts hundreds of jobs.
+ROWS_PER_TASK = 20_000
+
+
+def _compact(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer partitions where there are more of them than ``ROWS_PER_TASK`` asks for; never more."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def cross_validate(factory, train: DataFrame, cols: list[str], keys: list[str], k: int = 5, seed: int = 42,
-                   ctx: dict | None = None, parallelism: int = 4) -> DataFrame:
+                   ctx: dict | None = None, parallelism: int = 5) -> DataFrame:
     """(fold, n_test, accuracy) over ``k`` stratified folds of the training part.
 
     The vectors are assembled once, and each fit knows the size of its own
     training part.
     """
-    folded = assembler(cols).transform(cv_folds(train, keys, "label", k, seed)).select("fold", "label", "features").persist()
+    folded = assembler(cols).transform(_compact(cv_folds(train, keys, "label", k, seed), train.count())) \
+        .select("fold", "label", "features").persist()
     sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}       # k rows
 
     def one(f: int):
@@ -112,7 +122,7 @@ def train_classifiers(features: DataFrame, cols: list[str], keys: list[str], alg
     is logged and skipped; the others still train.
     """
     data = _label_double(features)
-    split = stratified_split(data, keys, "label", seed, test_fraction).persist()
+    split = _compact(stratified_split(data, keys, "label", seed, test_fraction), data.count()).persist()
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
     n_classes = split.select("label").distinct().limit(3).count()     # only "two or more" matters
     ctx = {**(settings or {}), "n_train": train.count(), "n_classes": n_classes}
@@ -141,7 +151,7 @@ def train_regressors(features: DataFrame, cols: list[str], keys: list[str], algo
                      seed: int = 42, test_fraction: float = 0.2, n_trees: int | None = None,
                      settings: dict | None = None) -> list[TrainResult]:
     data = _label_double(features)
-    split = random_split(data, keys, seed, test_fraction).persist()
+    split = _compact(random_split(data, keys, seed, test_fraction), data.count()).persist()
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
     ctx = {**(settings or {}), **({"n_trees": n_trees} if n_trees else {})}
     out = []
@@ -196,7 +206,7 @@ def elbow_inertias(data: DataFrame, cols: list[str], max_k: int = 10, seed: int
 def train_clustering(features: DataFrame, cols: list[str], keys: list[str], seed: int = 42, n_init: int = 10,
                      max_k: int = 10) -> TrainResult:
     data = features.select(*keys, *cols)
-    vectors = assembler(cols).transform(data).select("features").persist()
+    vectors = assembler(cols).transform(_compact(data, data.count())).select("features").persist()
     inertias = elbow_inertias(vectors, cols, max_k, seed, n_init)
     k = M.elbow_k(inertias).first()["best_k"]
     model = kmeans_fit(vectors, cols, k, seed, n_init)
