@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govlens.llm.common import ASCII_SPACE, ascii_lower, held, released, row_key, table
+from govlens.llm.common import ASCII_SPACE, ascii_lower, held, released, row_key, table, written
 
 
 def line_array(text: Column) -> Column:
@@ -52,6 +52,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     frequent = at.select("_a", "_b", "_id").distinct() \
         .groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n")) \
         .where(F.col("_n") >= min_docs).select("_a", "_b")
+    # written: its size is then known, and a join that shuffles has both sides to split where one line is in most documents
+    frequent = written(frequent, "frequent-lines")
     drops = at.join(frequent, ["_a", "_b"]).groupBy("_k1", "_k2").agg(F.collect_set("_pos").alias("_drop"))
     out = src.join(drops, ["_k1", "_k2"], "left").withColumn("_lines", line_array(F.col("_text")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
