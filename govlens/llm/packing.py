@@ -21,71 +21,82 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from govlens.llm.common import bounded_batches, row_key, table, written
+from govlens.llm.common import bounded_batches, per_worker, row_key, table, written
 
-#: Entries of each token cache, and the longest word that is kept in one.
-CACHE_ENTRIES, CACHE_BYTES = 400_000, 64
+#: Entries of the token cache, and the longest piece that is kept in it.
+CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 64
 #: Parts into which the pieces of one length are split to rank them.
 RANK_PARTS = 64
 
+_LETTERS, _MARKS = "a-zß-öø-ÿ", r"""!"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"""
 
-class WordTokenizer:
-    """Token ids of whole texts, word by word, with bounded caches.
 
-    The vocabulary's normaliser and splitter never join anything across white
-    space, so a text's ids are those of its words in order.  A run of letters
-    is one piece to the splitter, and punctuation after it is another.
+class WordTokenizer:
+    """Token ids of whole texts, piece by piece, with a bounded cache.
+
+    The vocabulary's normaliser lower-cases and its splitter drops white space
+    and parts runs of letters, single digits and runs of other marks, so a
+    text's ids are those of its pieces in order.  Pieces are found here in
+    words of plain characters only; a word with any other character (or one
+    that can begin a contraction or the name of a special token) goes to the
+    tokenizer as it is.
     """
 
-    _plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%#$*&|]*)")
+    _odd = re.compile(rf"[^{_LETTERS}A-ZÀ-ÖØ-Þ0-9{_MARKS}\x20\x09-\x0d]")
+    _pieces = re.compile(rf"[{_LETTERS}]+|[0-9]|[{_MARKS}]+")
+    _plain = re.compile(rf"[{_LETTERS}]+|[{_MARKS}]+")
+    _words = re.compile(r"[^\x20\x09-\x0d]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
-        self._chunks: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
-
-    @staticmethod
-    def _pack(ids) -> bytes:
-        return np.asarray(ids, dtype="<u4").tobytes()
-
-    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of chunks that the cache hasn't."""
-        out, split, parts = {}, [], set()
-        for c in chunks:
-            s = c.decode("utf-8")
-            m = self._plain.fullmatch(s) if len(c) <= CACHE_BYTES else None
-            if m:
-                word, rest = m[1].lower(), m[2]
-                split.append((c, word, rest))
-                parts.update(p for p in (word, rest) if p and p not in self._parts)
+        self._known: dict[str, bytes] = {}
+        vocabulary = self._tok.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _split(self, text: str) -> list[str]:
+        if not self._odd.search(text):
+            return self._pieces.findall(text.lower())
+        out = []
+        for word in self._words.findall(text):
+            if self._odd.search(word):
+                out.append(word)
+            else:
+                out += self._pieces.findall(word.lower())
+        return out
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces that the cache hasn't; plain ones go to the tokenizer 64 at a time."""
+        out, plain = {}, []
+        for p in pieces:
+            if self._plain.fullmatch(p):
+                plain.append(p)
             else:
-                out[c] = self._pack(self._tok.encode(s, add_special_tokens=False).ids)
-        if len(self._parts) + len(parts) > CACHE_ENTRIES:
-            self._parts = {}
-            parts.update(p for _, w, r in split for p in (w, r) if p)
-        todo = list(parts)
-        lines = [todo[i:i + 64] for i in range(0, len(todo), 64)]
-        for line, e in zip(lines, self._tok.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
-            ids = [[] for _ in line]
-            for t, w in zip(e.ids, e.word_ids, strict=True):
-                ids[w].append(t)
-            self._parts.update((p, self._pack(i)) for p, i in zip(line, ids, strict=True))
-        for c, word, rest in split:
-            out[c] = self._parts[word] + (self._parts[rest] if rest else b"")
+                out[p] = np.asarray(self._tok.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if plain:
+            lines = [" ".join(plain[i:i + 64]) for i in range(0, len(plain), 64)]
+            ids = np.concatenate([np.asarray(e.ids, dtype="<u4") for e in self._tok.encode_batch(lines, add_special_tokens=False)])
+            ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()       # a plain piece ends with the only end-of-word token in it
+            if len(ends) != len(plain):
+                raise ValueError("the vocabulary doesn't end each piece with an end-of-word token")
+            raw = ids.tobytes()
+            out.update((p, raw[4 * a:4 * b]) for p, a, b in zip(plain, [0, *ends], ends))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
-        split = [t.encode("utf-8").split() for t in texts]
-        missing = {c for s in split for c in s if c not in self._chunks}
-        if len(self._chunks) + len(missing) > CACHE_ENTRIES:
-            self._chunks = {}
-            missing = {c for s in split for c in s}
-        got = self._learn(list(missing))
-        self._chunks.update((c, i) for c, i in got.items() if len(c) <= CACHE_BYTES)
-        look = self._chunks if all(len(c) <= CACHE_BYTES for c in got) else self._chunks | got
-        return [b"".join([look[c] for c in s]) for s in split]
+        split = [self._split(t) for t in texts]
+        wanted = set().union(*split)
+        missing = wanted.difference(self._known)
+        if len(self._known) + len(missing) > CACHE_ENTRIES:
+            self._known, missing = {}, wanted
+        self._known.update(self._learn(list(missing)))
+        out = [b"".join(map(self._known.__getitem__, s)) for s in split]
+        for p in missing:
+            if len(p) > CACHE_CHARS:
+                del self._known[p]
+        return out
 
 
 #: Characters of text that are tokenised at a time.
@@ -106,7 +117,8 @@ def tokenize(docs: DataFrame, text_col: str = "text", vocabulary: str = "word_bp
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
-        tok = WordTokenizer(path or public_tokenizers.path(vocabulary))
+        file = path or public_tokenizers.path(vocabulary)
+        tok = per_worker(("tokenizer", file), lambda: WordTokenizer(file))      # loading one takes time, and memory for good
         for batch in batches:
             texts = batch[text_col].fillna("")
             cut = np.cumsum(texts.str.len().to_numpy()) // _BATCH_CHARS
