@@ -2,7 +2,9 @@
 
 Each pass draws its own random hyperplanes, orders the vectors of a label by
 their concatenated sign bits, and compares each vector with its neighbours in
-that order.  Verified pairs of all passes are united.
+that order.  The verified pairs of all passes give the components; the links
+are then counted exactly, all vectors of a component against all, block by
+block.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from govlens.llm.common import bounded_batches, table, written
 from govlens.llm.components import connected_components
 
 HASH_BITS = 62
+#: Rows of a block when a component's links are counted: so many parts, but within these bounds and bytes.
+BLOCK_PARTS, BLOCK_ROWS, BLOCK_BYTES = 16, (256, 8192), 32 << 20
 #: Rows whose windows are multiplied at a time: bounds the memory of a task.
 _BLOCK = 1024
 
@@ -32,14 +36,34 @@ def _unit(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _joining(i: np.ndarray, j: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links i - j, a forest that joins the same rows; ``root`` holds the least row that each is joined to so far."""
+    a, b = [], []
+    while True:
+        low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+        new = low != high
+        if not new.any():
+            break
+        i, j, low, high = i[new], j[new], low[new], high[new]
+        by = np.lexsort((low, high))
+        by = by[np.concatenate([[True], high[by][1:] != high[by][:-1]])]     # each root goes to the least one it meets
+        a.append(i[by])
+        b.append(j[by])
+        root[high[by]] = low[by]
+        while (root[root] != root).any():
+            root[:] = root[root]
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, int), np.empty(0, int))
+
+
 def _window_pairs(ids: np.ndarray, x: np.ndarray, window: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Verified pairs among rows in sorted order.
+    """Verified pairs among rows in sorted order, as many as join what is linked.
 
     Each row is compared with the ``window`` rows after it.  Where one of
     those links, the next ``window`` rows are compared too, and so on: a dense
-    group is followed to its end, so the bound drops none of its links.
+    group is followed to its end.  Fewer pairs than rows come out.
     """
-    a, b, n = [], [], len(ids)
+    a, b, n = [np.empty(0, int)], [np.empty(0, int)], len(ids)
+    root = np.arange(n)
     for s in range(0, n, _BLOCK):
         rows = np.arange(s, min(s + _BLOCK, n))
         first = 1
@@ -50,19 +74,21 @@ def _window_pairs(ids: np.ndarray, x: np.ndarray, window: int, threshold: float)
             sims = x[rows] @ x[low:high].T
             gap = np.arange(low, high)[None, :] - rows[:, None]
             i, j = np.nonzero((sims >= threshold) & (gap >= first) & (gap < first + window))
-            a.append(rows[i])
-            b.append(low + j)
+            joined = _joining(rows[i], low + j, root)
+            a.append(joined[0])
+            b.append(joined[1])
             rows, first = rows[np.unique(i)], first + window
-    if not a:
-        return np.empty(0, int), np.empty(0, int)
     return ids[np.concatenate(a)], ids[np.concatenate(b)]
 
 
 def _pass_udf(window: int, threshold: float):
-    """Over a sorted partition: its pairs, and the rows at both edges, which the next and previous partition need."""
+    """Over a sorted partition: its pairs, the rows at both edges, which other partitions need, and how many rows it has.
+
+    ``away`` is the number of rows between an edge row and its edge.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def out(a, b, **edge):
-            return pd.DataFrame({"a": a, "b": b} | {k: edge.get(k) for k in ("part", "side", "grp", "vec")})
+            return pd.DataFrame({"a": a, "b": b} | {k: edge.get(k) for k in ("part", "side", "away", "grp", "vec")})
 
         def segment(rows: pd.DataFrame, part: int, head: bool, tail: bool):
             ids, x = rows["id"].to_numpy(), _unit(rows["vec"])
@@ -71,16 +97,17 @@ def _pass_udf(window: int, threshold: float):
             for side, wanted, part_of in (("tail", tail, rows.tail(window)), ("head", head, rows.head(window))):
                 if wanted:
                     e = out(part_of["id"].to_numpy(), part_of["id"].to_numpy())
-                    e["part"], e["side"] = part + (side == "tail"), side
+                    e["part"], e["side"] = part, side
+                    e["away"] = np.arange(len(e))[::-1 if side == "tail" else 1]
                     e["grp"], e["vec"] = part_of["grp"].to_numpy(), part_of["vec"].to_numpy()
                     yield e
 
         # a group (label and dimension) is contiguous; one is held at a time
-        held, part, first = None, 0, True
+        held, part, first, n = None, 0, True, 0
         for batch in batches:
             if not len(batch):
                 continue
-            part = int(batch["part"].iloc[0])
+            part, n = int(batch["part"].iloc[0]), n + len(batch)
             cut = np.flatnonzero(batch["grp"].to_numpy()[1:] != batch["grp"].to_numpy()[:-1]) + 1
             for piece in np.split(np.arange(len(batch)), cut):
                 rows = batch.iloc[piece]
@@ -93,11 +120,25 @@ def _pass_udf(window: int, threshold: float):
                     held = rows
         if held is not None:
             yield from segment(held, part, first, True)
+            yield out([n], [n], part=part, side="rows")
     return run
 
 
+def _reached(rows: dict[int, int], window: int) -> list[tuple[int, int, int]]:
+    """``part, to, gap``: the partitions less than ``window`` rows after each one, and the rows between the two."""
+    parts, out = sorted(rows), []
+    for k, part in enumerate(parts):
+        gap = 0
+        for to in parts[k + 1:]:
+            if gap >= window:
+                break
+            out.append((part, to, gap))
+            gap += rows[to]
+    return out
+
+
 def _edge_udf(threshold: float):
-    """Of one boundary: the rows before it against those after it, label by label."""
+    """Of one partition: the rows before it against its first ones, label by label."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         for _, g in rows.groupby("grp"):
@@ -125,29 +166,113 @@ def _keys(seed: int):
     return of
 
 
-def near_pairs(vectors: DataFrame, threshold: float = 0.98, passes: int = 8, window: int = 64) -> DataFrame:
-    """Distinct verified pairs ``a < b`` of ``vectors`` (id long, grp string, vec array), within equal ``grp`` only.
+def joining_pairs(vectors: DataFrame, threshold: float = 0.98, passes: int = 8, window: int = 64) -> DataFrame:
+    """Verified pairs ``a < b`` of ``vectors`` (id long, grp string, vec array), within equal ``grp`` only.
 
-    A pass moves each vector once, to a range partition; edges of neighbouring
-    partitions (``window`` rows each) are compared in a second, small step.
+    They join what the passes found to be linked, and needn't be all of its
+    links.  A pass moves each vector once, to a range partition; in a second,
+    small step the first ``window`` rows of each partition are compared with
+    the ``window`` rows before it, from however many partitions these come.
+    So the order decides what is compared, and the partitions can only add.
     """
-    bounded_batches(vectors.sparkSession)
-    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = vectors.sparkSession
+    bounded_batches(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = []
     for seed in range(passes):
         ordered = vectors.withColumn("key", _keys(seed)("vec")).repartitionByRange(n, "grp", "key", "id") \
             .sortWithinPartitions("grp", "key", "id").select("id", "grp", "vec", F.spark_partition_id().alias("part"))
         one = written(ordered.mapInPandas(
-            _pass_udf(window, threshold), "a long, b long, part int, side string, grp string, vec array<double>"), "pass")
-        edges = one.where("side is not null").select(F.col("a").alias("id"), "part", "side", "grp", "vec")
+            _pass_udf(window, threshold), "a long, b long, part int, side string, away int, grp string, vec array<double>"), "pass")
+        rows = {r.part: r.a for r in one.where("side = 'rows'").select("part", "a").collect()}
+        reached = spark.createDataFrame(_reached(rows, window), "part int, to int, gap int")
+        edge = ["a", "side", "grp", "vec"]
+        edges = one.where("side = 'tail'").join(reached, "part").where(F.col("away") + F.col("gap") < window).select(F.col("to"), *edge) \
+            .union(one.where("side = 'head'").select("part", *edge)).withColumnRenamed("a", "id")
         found += [one.where("side is null").select("a", "b"),
-                  edges.groupBy("part").applyInPandas(_edge_udf(threshold), "a long, b long")]
+                  edges.groupBy("to").applyInPandas(_edge_udf(threshold), "a long, b long")]
     out = found[0]
     for x in found[1:]:
         out = out.union(x)
     return out.where("a < b").distinct()
 
 
+def _links_udf(threshold: float):
+    """Over tasks (component, grp, i, j), each contiguous: the links of block i with block j.
+
+    A class gets the rows of the classes that it is linked with; links with an
+    id that has several classes come out as pairs of ids.
+    """
+    def links(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        x, n = _unit(rows["vec"]), rows["n"].to_numpy()
+        ids, shared, block = rows["id"].to_numpy(), rows["shared"].to_numpy(), rows["block"].to_numpy()
+        i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        total = np.zeros(len(rows), dtype=np.int64)
+        for s in range(0, len(left), _BLOCK):
+            part = left[s:s + _BLOCK]
+            hit = x[part] @ x[right].T >= threshold
+            hit &= ids[part][:, None] != ids[right][None, :]
+            if shared.any():
+                a, b = np.nonzero(hit & (shared[part][:, None] | shared[right][None, :]))
+                if len(a):
+                    a, b = ids[part[a]], ids[right[b]]
+                    yield pd.DataFrame({"_k1": None, "_k2": None, "links": None, "a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+                hit &= ~(shared[part][:, None] | shared[right][None, :])
+            # exact: counts are whole numbers, and doubles hold those up to 2^53
+            total[part] += (hit @ n[right].astype(np.float64)).astype(np.int64)
+            if i != j:
+                total[right] += (n[part].astype(np.float64) @ hit).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"_k1": rows["_k1"].to_numpy()[at], "_k2": rows["_k2"].to_numpy()[at], "links": total[at], "a": None, "b": None})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            key = batch[["component", "grp", "i", "j"]]
+            cut = np.flatnonzero((key.iloc[1:].to_numpy() != key.iloc[:-1].to_numpy()).any(axis=1)) + 1
+            for at in np.split(np.arange(len(batch)), cut):
+                piece = batch.iloc[at]
+                if held and (held[-1][key.columns].iloc[-1] != piece[key.columns].iloc[0]).any():
+                    yield from links(pd.concat(held, ignore_index=True))
+                    held = []
+                held.append(piece)
+        if held:
+            yield from links(pd.concat(held, ignore_index=True))
+    return run
+
+
+def exact_links(classes: DataFrame, components: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """All links of ``classes`` (_k1, _k2, id, n, grp, vec) within equal ``grp`` and component: ``_k1, _k2, links`` and pairs ``a, b``.
+
+    Classes are dealt to blocks of bounded size by their hash, and each task
+    multiplies two blocks, so a component of any size is spread over many
+    tasks of bounded memory, and counts come out instead of pairs.  A class
+    moves once for each block of its component.  Only links with an id that
+    has several classes are pairs, as two of its links may be one.
+    """
+    spark = classes.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    several = classes.groupBy("id").agg(F.count(F.lit(1)).alias("of")).where("of > 1").select("id", F.lit(True).alias("shared"))
+    placed = classes.join(components, F.col("id") == F.col("node")).drop("node").join(several, "id", "left")
+    least, most = BLOCK_ROWS
+    big = placed.groupBy("component", "grp").agg(F.count(F.lit(1)).alias("c"), F.max(F.size("vec")).alias("dim")).where(F.col("c") > least)
+    room = F.greatest(F.lit(1), F.least(F.greatest(F.col("c") / BLOCK_PARTS, F.lit(least)), F.lit(most), F.lit(BLOCK_BYTES / 8) / F.col("dim")))
+    big = big.select("component", "grp", F.ceil(F.col("c") / room).cast("int").alias("blocks"))
+    dealt = placed.join(big, ["component", "grp"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
+        .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "_k1", "_k2"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("_k1", "_k2", "id", "n", "vec", F.coalesce("shared", F.lit(False)).alias("shared"), "component", "grp", "block",
+                F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    key = ["component", "grp", "i", "j"]
+    found = written(dealt.repartition(parts, *key).sortWithinPartitions(*key).mapInPandas(
+        _links_udf(threshold), "_k1 long, _k2 long, links long, a long, b long"), "links")
+    return found.where("a is null").groupBy("_k1", "_k2").agg(F.sum("links").alias("links")), \
+        found.where("a is not null").select("a", "b").distinct()
+
+
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
                  threshold: float = 0.98, passes: int = 8, window: int = 64) -> DataFrame:
     """One row per row: ``id, n_links, component``.
@@ -160,12 +285,15 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     with all members of every class that is linked to theirs.  An id that is
     used for several vectors is one node.  An empty table gives an empty table.
 
-    ``passes`` and ``window`` set the recall: two vectors at the threshold
+    Components hold what the passes join; ``n_links`` counts all links within
+    them, each pair verified, whatever the partitions.
+
+    ``passes`` and ``window`` set the recall of components: two vectors at the threshold
     differ in 6.4 % of their hash bits, so with g rows in a label a pass misses
     such a pair if one of about log2(g / window) leading bits differs.  At
     5,000 rows a label 8 passes miss fewer than 1 in 1,000; at 7.5 million, 1
-    in 30 at the threshold itself and fewer above it.  The window has no cap
-    where links go on (see ``_window_pairs``).
+    in 30 at the threshold itself and fewer above it.  Where links go on, a
+    partition is searched beyond the window too (see ``_window_pairs``).
     """
     v = F.col("_vec")
     fit = F.col("_id").isNotNull() & F.col("_label").isNotNull() & v.isNotNull() \
@@ -176,13 +304,15 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
         (F.xxhash64(F.lit(1), "grp", "_vec"), "_k1"), (F.xxhash64(F.lit(2), "grp", "_vec"), "_k2"))], "grp", "_vec")
     classes = written(keyed.where("grp is not null").groupBy("_k1", "_k2").agg(
         F.min("_id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("grp").alias("grp"), F.first("_vec").alias("vec")), "classes")
-    pairs = written(near_pairs(classes.select("id", "grp", "vec"), threshold, passes, window), "pairs")
+    pairs = written(joining_pairs(classes.select("id", "grp", "vec"), threshold, passes, window), "pairs")
+    components = written(connected_components(pairs), "components")
+    links, shared = exact_links(classes, components, threshold)
     sizes = classes.groupBy("id").agg(F.sum("n").alias("n"))
-    both = pairs.union(pairs.select("b", "a"))
-    degree = both.join(sizes.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("n").alias("links"))
-    found = classes.select("_k1", "_k2", "id", "n").join(degree, F.col("id") == F.col("a"), "left") \
-        .join(connected_components(pairs), F.col("id") == F.col("node"), "left") \
-        .select("_k1", "_k2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+    both = shared.union(shared.select("b", "a"))
+    degree = both.join(sizes.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("n").alias("more"))
+    found = classes.select("_k1", "_k2", "id", "n").join(links, ["_k1", "_k2"], "left") \
+        .join(degree, F.col("id") == F.col("a"), "left").join(components, F.col("id") == F.col("node"), "left") \
+        .select("_k1", "_k2", (F.col("n") - 1 + F.coalesce("links", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_links"),
                 F.coalesce("component", "id").alias("component"))
     return keyed.select("_id", "_k1", "_k2").join(found, ["_k1", "_k2"], "left").select(
         F.col("_id").alias("id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -128,3 +128,39 @@ def test_vectors_recall_and_edges(spark):
     out = vectors.near_vectors(spark.createDataFrame([(None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (2, [1.0, 0.001], 1)],
                                                      "vec_id long, embedding array<float>, label int"), passes=1)
     assert sorted(((str(r.id), r.n_links, r.component) for r in out.collect()), key=str) == [("2", 2, 2), ("4", 2, 2), ("4", 2, 2), ("None", 0, None)]
+
+
+def test_links_of_a_group_larger_than_partitions(spark):
+    """A group of near copies that spans many range partitions, some of them smaller than the window."""
+    rng = np.random.default_rng(11)
+    dense = rng.standard_normal(16)
+    rows = [(i, (dense + 0.05 * rng.standard_normal(16)).astype(np.float32).tolist(), 1) for i in range(600)]
+    rows += [(600 + i, rng.standard_normal(16).astype(np.float32).tolist(), 1) for i in range(300)]
+    rows += [(1000 + i, rows[0][1], 1) for i in range(3)]
+    want = brute(rows)
+    assert max(n for _, n, _ in want) > 500
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("3", "24"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert sorted(tuple(r) for r in vectors.near_vectors(df, passes=4).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_links_of_blocks_and_shared_ids(spark, monkeypatch):
+    """Components cut into many blocks; ids with several vectors are one node."""
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", (8, 16))
+    rng = np.random.default_rng(12)
+    dense = rng.standard_normal(16)
+    rows = [(i, (dense + 0.05 * rng.standard_normal(16)).astype(np.float32).tolist(), 1) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert sorted(tuple(r) for r in vectors.near_vectors(df, passes=2).collect()) == brute(rows)
+    shared = [(i % 90, v, la) for i, v, la in rows]
+    x = np.array([v for _, v, _ in rows], dtype=float)
+    hit = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T >= 0.98
+    near = {i: {int(b) % 90 for a in (i, i + 90) if a < 100 for b in np.flatnonzero(hit[a])} - {i} for i in range(90)}
+    want = sorted((i % 90, sum(1 + (k < 10) for k in near[i % 90])) for i, _, _ in rows)
+    out = vectors.near_vectors(spark.createDataFrame(shared, df.schema), passes=2).collect()
+    assert sorted((r.id, r.n_links) for r in out) == want
