@@ -167,3 +167,46 @@ def test_pruned_models_still_tell_languages(spark):
     assert sum(len(m.grams) for m in model.models) < 600
     out = langid.identify(spark.createDataFrame(language_docs(60, 7), "doc_id long, text string, lang string"), model).collect()
     assert np.mean([r._lang_pred == r.lang for r in out]) >= 0.95
+
+
+def in_memory(spark, rows, order=4):
+    """Each language's model from all of its counts."""
+    words = langid.word_counts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "lang", "text")
+    grams = langid.gram_counts(words, order).toPandas()
+    return grams, {x: langid.LanguageModel.fit(g["gram"].to_list(), g["n"].to_numpy(), order) for x, g in grams.groupby("lang")}
+
+
+def test_models_hold_all_ngrams_however_many(spark):
+    """More n-grams than the former cap of 2,000,000, nearly all of one language."""
+    rng = np.random.default_rng(8)
+    letters = rng.integers(0x4E00, 0x4E00 + 6000, (16, 9000, 6))
+    rows = [(i, " ".join("".join(map(chr, w)) for w in doc), "zz") for i, doc in enumerate(letters.tolist())]
+    rare = [r for r in language_docs(60, 9) if r[2] == "aa"]
+    grams, want = in_memory(spark, rows + rare)
+    assert len(grams) > 2_000_000
+    model = langid.train(spark.createDataFrame(rows + rare, "doc_id long, text string, lang string"), calibration_rows=50)
+    for lang, m in zip(model.langs, model.models, strict=True):
+        w = want[lang]
+        assert m.floor == w.floor and (m.grams == w.grams).all() and (m.contexts == w.contexts).all()
+        assert np.allclose(m.alpha, w.alpha, rtol=1e-5) and np.allclose(m.back, w.back, rtol=1e-5)
+
+
+def test_bounded_models_keep_rare_languages_and_sum_to_one(spark):
+    common = [r for r in language_docs(900, 10) if r[2] != "aa"]
+    rows = common + [r for r in language_docs(12, 11) if r[2] == "aa"]
+    grams, want = in_memory(spark, rows)
+    rare, some = int((grams["lang"] == "aa").sum()), int((grams["lang"] != "aa").sum())
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_grams=rare + rare + some // 2)
+    for lang, m in zip(model.langs, model.models, strict=True):
+        w, g = want[lang], grams[grams["lang"] == lang]["gram"].to_list()
+        kept = dict(zip(m.grams.tolist(), m.alpha.tolist(), strict=True))
+        full = dict(zip(w.grams.tolist(), w.alpha.tolist(), strict=True))
+        assert all(full[h] == pytest.approx(a, rel=1e-5) for h, a in kept.items())     # from the counts before the cut
+        assert len(kept) == len(full) if lang == "aa" else True
+        left = Counter()
+        for x, h in zip(g, langid.gram_hashes(g).tolist(), strict=True):
+            left[x[:-1]] += kept.get(h, 0)
+        back = dict(zip(m.contexts.tolist(), m.back.tolist(), strict=True))
+        for x, h in zip(left, langid.gram_hashes(list(left)).tolist(), strict=True):
+            assert left[x] + back.get(h, 1) == pytest.approx(1, abs=1e-4)
+    assert sum(len(m.grams) for m in model.models) < len(grams)
