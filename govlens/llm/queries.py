@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from govlens.llm import decontam, langid, lines, packing, pages, quality, secrets, simhash, vectors, warc
+from govlens.llm import decontam, langid, lines, merkle, packing, pages, quality, secrets, simhash, vectors, warc
 
 REGISTRY = {
     "op1_line_dedup": (lines.op1, lines.ORACLE),
@@ -15,4 +15,5 @@ REGISTRY = {
     "op8_secret_scan": (secrets.op8, secrets.oracle()),
     "op9_benchmark_decontamination": (decontam.op9, None),
     "op10_quality_classifier": (quality.op10, None),
+    "op11_merkle_manifest": (merkle.op11, merkle.ORACLE),
 }
