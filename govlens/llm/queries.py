@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from govlens.llm import decontam, langid, lines, merkle, packing, pages, quality, secrets, simhash, vectors, warc
+from govlens.llm import alignment, decontam, langid, lines, merkle, packing, pages, pieces, quality, secrets, simhash, vectors, warc
 
 REGISTRY = {
     "op1_line_dedup": (lines.op1, lines.ORACLE),
@@ -16,4 +16,6 @@ REGISTRY = {
     "op9_benchmark_decontamination": (decontam.op9, None),
     "op10_quality_classifier": (quality.op10, None),
     "op11_merkle_manifest": (merkle.op11, merkle.ORACLE),
+    "op12_sentencepiece": (pieces.op12, None),
+    "op13_tokenizer_alignment": (alignment.op13, None),
 }
