@@ -33,28 +33,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from govlens.llm.common import bounded_batches, per_worker, table, written
-from govlens.llm.pieces import SPACE, PieceEncoder
+from govlens.llm.pieces import LETTERS, SPACE, PieceEncoder
 
 #: Bytes of a range; documents of more are cut into ranges.
 RANGE_BYTES = 1 << 16
 #: Fragments that one task composes in a round of the tree.
 _FAN_IN = 8
 #: Words and bytes of aligned words that a worker keeps, and the most documents and pairs of a block.
-_CACHE_WORDS, _CACHE_BYTES, _BLOCK_DOCS, _BLOCK_PAIRS = 400_000, 64 << 20, 4096, 2 << 20
-
-#: Places that both sides cut.  Whatever may count as white space somewhere must not stand before one.
-_PLACE = re.compile(r"(?<=[^\s\u180e])(?=[ \n\t\r])")
-_WORD = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-_OTHER_SPACE = re.compile(r"[^\S \n\t\r]|\u180e")
+_CACHE_WORDS, _CACHE_BYTES, _BLOCK_DOCS, _BLOCK_PAIRS = 500_000, 160 << 20, 4096, 2 << 20
+#: Characters of a word that is aligned together with others.
+_WORD_CHARS = 512
 
 Tokens = tuple[list[int], list[int], list[int], list[int]]      # ids and ends of one side, ids and ends of the other
 
 
-def words_of(text: str) -> list[str]:
-    """The stretches of a text between the places that both sides cut."""
-    if not text:
-        return []
-    return _PLACE.split(text) if _OTHER_SPACE.search(text) else _WORD.findall(text)
+class Cutter:
+    """Where both sides cut a text.
+
+    That is before one of ``spaces`` (white space to any splitter) that
+    follows something else - whatever may count as white space somewhere must
+    not stand before it - and before one of ``marks`` that follows a letter.
+    """
+
+    def __init__(self, spaces: str, marks: str):
+        w, p, l = re.escape(spaces), re.escape(marks), re.escape("".join(sorted(LETTERS)))  # noqa: E741
+        self.place = re.compile(rf"(?<=[^\s\u180e])(?=[{w}])" + (rf"|(?<=[{l}])(?=[{p}])" if marks else ""))
+        self._word = re.compile(rf"[{w}]*[^{w}{l}]*[{l}]*(?:[^{w}{l}{p}][^{w}{l}]*[{l}]*)*")
+        self._other = re.compile(rf"[^\S{w}]|\u180e")
+
+    def words(self, text: str) -> list[str]:
+        """The stretches between the places."""
+        return self.place.split(text) if self._other.search(text) else self._word.findall(text)[:-1]     # the last match is empty
+
+    def before(self, text: str) -> list[int]:
+        """How many bytes come before each place."""
+        out, at, size = [], 0, 0
+        for m in self.place.finditer(text):
+            size += len(text[at:m.start()].encode())
+            at = m.start()
+            out.append(size)
+        return out
 
 
 class Groups(NamedTuple):
@@ -165,16 +183,26 @@ class Aligner:
         self._a = Tokenizer.from_file(a_path)
         self._a.encode_special_tokens = True                     # their names are plain text
         own = byte_table()
-        self._a_bytes = {i: bytes(own[c] for c in t) for t, i in self._a.get_vocab().items() if all(c in own for c in t)}
+        vocabulary = {i: bytes(own[c] for c in t) if all(c in own for c in t) else b"" for t, i in self._a.get_vocab().items()}
+        self._a_bytes = [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
         self._b = PieceEncoder(b_path)
         how = self._b.normalize
         if how.map or how.squeeze or not (how.prefix and how.escape):
             raise ValueError("the second tokenizer must keep its texts as they are")
         self._b_bytes = self._b.token_bytes()
-        #: Whether texts may be cut before spaces, tabs and line breaks.
-        self.cuts = self._b.cuts_before(" \n\t\r")
+        self._a_size, self._b_size = (np.array(list(map(len, t)), dtype=np.int64) for t in (self._a_bytes, self._b_bytes))
+        numbers = range(max(len(self._a_bytes), len(self._b_bytes)))
+        self._written = [[f"{i}{end}" for i in numbers] for end in (",", "|", ";", "")]
+        allowed = "".join(c for c in " \n\t\r" if self._b.cuts_before(c))
+        #: Where texts may be cut; None if nowhere.
+        self.cutter = Cutter(allowed, self._b.cuts_after_letters()) if allowed else None
+        self._forget()
+
+    def _forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.known: list[Groups | None] = []
+        self.texts: list[bytes | None] = []                      # None: not the bytes of its tokens
+        self.sizes = np.empty((0, 4), dtype=np.int64)
+        self.first, self.keys, self.times = np.zeros(1, dtype=np.int64), Groups().keys, Groups().times
         self._held = 0
 
     def tokens(self, words: list[str]) -> list[Tokens | None]:
@@ -191,28 +219,111 @@ class Aligner:
         """Have the groups of all ``words``; earlier ones go when there are too many."""
         words = set(words)
         missing = [w for w in words if w not in self.index]
-        if len(self.known) + len(missing) > _CACHE_WORDS or self._held > _CACHE_BYTES:
-            self.index, self.known, self._held, missing = {}, [], 0, list(words)
-        for w, found in zip(missing, self.tokens(missing) if missing else []):
-            self.index[w] = len(self.known)
-            size = len(w.encode())
-            self.known.append(None if found is None else fragment(found, 0, size, True).closed)
-            self._held += 10 * size
+        if len(self.texts) + len(missing) > _CACHE_WORDS or self._held > _CACHE_BYTES:
+            self._forget()
+            missing = list(words)
+        for w in missing:
+            if len(w) > _WORD_CHARS:
+                found = self.tokens([w])[0]
+                self._add([w], [None if found is None else fragment(found, 0, len(w.encode()), True).closed])
+        # words of a space and letters are tokenised many at a time: each ends where the next one begins
+        plain = [w for w in missing if w[0] == " " and len(w) <= _WORD_CHARS and LETTERS.issuperset(w[1:]) and len(w) > 1]
+        chosen = set(plain)
+        lines = [plain[i:i + 64] for i in range(0, len(plain), 64)] + [[w] for w in missing if w not in chosen and len(w) <= _WORD_CHARS]
+        for i in range(0, len(lines), 1000):
+            self._align(lines[i:i + 1000])
+
+    def _add(self, words: list[str], found: list[Groups | None]) -> None:
+        for w, g in zip(words, found):
+            self.index[w] = len(self.texts)
+            self.texts.append(None if g is None else g.text)
+        some = [g or Groups() for g in found]
+        self._extend(np.array([g[1:5] for g in some], dtype=np.int64), [len(g.keys) for g in some],
+                     np.concatenate([g.keys for g in some]), np.concatenate([g.times for g in some]))
+
+    def _extend(self, sizes, lengths, keys, times) -> None:
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
+        self.keys, self.times = np.concatenate([self.keys, keys]), np.concatenate([self.times, times])
+        self._held += 24 * len(keys) + 200 * len(sizes)
+
+    def _align(self, lines: list[list[str]]) -> None:
+        """Groups of the words of all lines at once."""
+        words = [w for line in lines for w in line]
+        joined = ["".join(line) for line in lines]
+        a = np.concatenate([np.asarray(e.ids, dtype=np.int64) for e in self._a.encode_batch(joined, add_special_tokens=False)])
+        b = np.concatenate([np.asarray(x, dtype=np.int64) for x in self._b.plain_ids([x.replace(" ", SPACE) for x in joined])])
+        data = "".join(joined).encode()
+        if SPACE in "".join(joined) or not (b"".join([self._a_bytes[i] for i in a.tolist()]) == data == b"".join([self._b_bytes[i] for i in b.tolist()])):
+            found = self.tokens(words)                           # word by word, to find those that differ
+            self._add(words, [None if t is None else fragment(t, 0, len(w.encode()), True).closed for w, t in zip(words, found)])
+            return
+        a_end, b_end = np.cumsum(self._a_size[a]), np.cumsum(self._b_size[b])
+        word_end = np.cumsum([len(w.encode()) for w in words])
+        shared = np.intersect1d(a_end, b_end, assume_unique=True)
+        if not np.isin(word_end, shared).all():
+            raise ValueError("a token goes on from one word to the next")
+        a_group, b_group = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
+        n_a, n_b = np.bincount(a_group, minlength=len(shared)), np.bincount(b_group, minlength=len(shared))
+        word = np.searchsorted(word_end, shared)                 # of each group
+
+        def by_word(x):
+            return np.bincount(word, x, len(words)).astype(np.int64)
+        # every pair of a group: each token of one side with all of the other
+        times = n_b[a_group]
+        b_first = np.cumsum(n_b) - n_b
+        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(b_first[a_group], times)
+        keys, owner = np.repeat(a, times) << 32 | b[at], np.repeat(word[a_group], times)
+        # the text: a group's tokens of one side, then those of the other
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        ids = np.concatenate([a, b])[order]
+        mark = np.zeros(len(ids), dtype=np.int64)
+        ends = np.cumsum(n_a + n_b)
+        mark[ends - n_b - 1], mark[ends - 1] = 1, 2
+        last = ends[np.searchsorted(shared, word_end)]
+        mark[last - 1] = 3
+        parts = [self._written[m][i] for m, i in zip(mark.tolist(), ids.tolist())]
+        low = 0
+        for w, high in zip(words, last.tolist()):
+            self.index[w] = len(self.texts)
+            self.texts.append("".join(parts[low:high]).encode())
+            low = high
+        self._extend(np.stack([by_word(n_a), by_word(n_b), by_word(np.ones(len(shared))), by_word(n_a * n_b)], axis=1),
+                     np.bincount(owner, minlength=len(words)), keys, np.ones(len(keys), dtype=np.int64))
 
     def split(self, text: str) -> list[str]:
-        return words_of(text) if self.cuts else [text] if text else []
-
-    def closed(self, words: list[str]) -> Groups | None:
-        """The groups of consecutive learned words; None if one of them isn't its tokens' bytes."""
-        at = [self.index[w] for w in words]
-        found, n = np.unique(np.array(at, dtype=np.int64), return_counts=True)
-        own = [self.known[k] for k in found.tolist()]
-        if any(g is None for g in own):
-            return None
-        sizes = [np.dot(n, [g[k] for g in own]) if own else 0 for k in range(1, 5)]
-        keys = np.concatenate([g.keys for g in own] or [Groups().keys])
-        times = np.concatenate([g.times for g in own] or [Groups().times]) * np.repeat(n, [len(g.keys) for g in own])
-        return Groups(b";".join([self.known[k].text for k in at]), *map(int, sizes), *summed(keys, times))
+        if not text:
+            return []
+        return self.cutter.words(text) if self.cutter else [text]
+
+    def closed(self, texts: list[list[str]]) -> list[Groups | None]:
+        """The groups of each list of consecutive learned words; None if one of them isn't its tokens' bytes."""
+        codes = [np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words)) for words in texts]
+        out: list[Groups | None] = []
+        for i in range(0, len(texts), 64):
+            out += self._closed(codes[i:i + 64])
+        return out
+
+    def _closed(self, codes: list[np.ndarray]) -> list[Groups | None]:
+        text = np.repeat(np.arange(len(codes)), list(map(len, codes)))
+        known = len(self.texts)
+        found, n = np.unique(text * known + np.concatenate(codes), return_counts=True) if len(text) else (Groups().keys, Groups().keys)
+        text, word = np.divmod(found, max(known, 1))
+        sizes = np.zeros((len(codes), 4), dtype=np.int64)
+        np.add.at(sizes, text, self.sizes[word] * n[:, None])
+        length = self.first[word + 1] - self.first[word]
+        at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(self.first[word], length)
+        owner, keys, times = np.repeat(text, length), self.keys[at], self.times[at] * np.repeat(n, length)
+        by = np.lexsort((keys, owner))
+        owner, keys, times = owner[by], keys[by], times[by]
+        new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1]))) if len(keys) else Groups().keys
+        owner, keys, times = owner[new], keys[new], np.add.reduceat(times, new) if len(new) else times
+        cut = np.searchsorted(owner, np.arange(len(codes) + 1))
+        out = []
+        for k, own in enumerate(codes):
+            parts = [self.texts[c] for c in own.tolist()]
+            out.append(None if None in parts else Groups(b";".join(parts), *sizes[k].tolist(), keys[cut[k]:cut[k + 1]], times[cut[k]:cut[k + 1]]))
+        return out
 
     def between(self, words: list[str], base: int, low: int, high: int) -> Fragment | None:
         """The fragment of (low, high], from words that begin at byte ``base`` at or before it and end at or after it."""
@@ -227,7 +338,7 @@ class Aligner:
                 run.append(w)
                 continue
             if run:
-                closed = self.closed(run)
+                closed = self.closed([run])[0]
                 if closed is None:
                     return None
                 out, run = out + Fragment(True, closed=closed), []
@@ -243,7 +354,7 @@ def _ends(tokens: list[bytes]) -> list[int]:
     return np.cumsum([len(t) for t in tokens]).tolist()
 
 
-def ranges(text: str, size: int, cuts: bool = True) -> list[tuple[int, int, int, str]]:
+def ranges(text: str, size: int, cutter: Cutter | None) -> list[tuple[int, int, int, str]]:
     """``(low, high, base, context)``: ranges of about ``size`` bytes, and the text from the place before to the place after.
 
     A stretch of more than ``size`` bytes without a place to cut has no range
@@ -252,16 +363,16 @@ def ranges(text: str, size: int, cuts: bool = True) -> list[tuple[int, int, int,
     data = text.encode()
     total = len(data)
     edges, left, right = [(0, 0, 0)], 0, 0                       # edge, place at or before it, place at or after it
-    for edge in range(size, total, size) if cuts else ():
+    for edge in range(size, total, size) if cutter else ():
         if edge > right:
-            left, right = _around(data, edge, right)
+            left, right = _around(data, edge, right, cutter)
         if right - left <= size:
             edges.append((edge, left, right))
     edges.append((total, total, total))
     return [(low, high, base, data[base:end].decode()) for (low, base, _), (high, _, end) in zip(edges, edges[1:])]
 
 
-def _around(data: bytes, edge: int, known: int) -> tuple[int, int]:
+def _around(data: bytes, edge: int, known: int, cutter: Cutter) -> tuple[int, int]:
     """The last place at or before ``edge`` (``known`` is one) and the first at or after it; a text's ends are places."""
     left, reach = known, 256
     while True:
@@ -270,7 +381,7 @@ def _around(data: bytes, edge: int, known: int) -> tuple[int, int]:
             begin -= 1
         while end < len(data) and data[end] & 0xC0 == 0x80:
             end += 1
-        places = [begin + len(p) for p in _prefixes(data[begin:end].decode())]
+        places = [begin + n for n in cutter.before(data[begin:end].decode())]
         before = [p for p in places if p <= edge]
         after = [p for p in places if p >= edge]
         if (before or begin <= known) and (after or end == len(data)):
@@ -278,12 +389,6 @@ def _around(data: bytes, edge: int, known: int) -> tuple[int, int]:
         reach *= 2
 
 
-def _prefixes(text: str) -> Iterator[bytes]:
-    """The bytes before each place in ``text``."""
-    for m in _PLACE.finditer(text):
-        yield text[:m.start()].encode()
-
-
 _ROW = "n_a long, n_b long, n_groups long, n_links long"
 _FRAGMENT = f"row long, part long, parts long, id {{kind}}, sound boolean, shared boolean, head_a array<int>, head_b array<int>, " \
     f"tail_a array<int>, tail_b array<int>, text binary, {_ROW}, keys array<long>, times array<long>"
@@ -351,11 +456,11 @@ def _fragments(long: DataFrame, tool, kind: str, size: int) -> DataFrame:
     spark = long.sparkSession
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cuts = tool().cuts
+        cutter = tool().cutter
         for batch in batches:
             for row, (doc_id, text) in zip(batch["row"], _batched(batch)):
                 # a text with the sign for a space doesn't equal its pieces' bytes: nothing to cut
-                parts = ranges(" " + text, size, cuts) if SPACE not in text else [(0, 0, 0, SPACE)]
+                parts = ranges(" " + text, size, cutter) if SPACE not in text else [(0, 0, 0, SPACE)]
                 yield pd.DataFrame([(row, k, len(parts), doc_id, *p) for k, p in enumerate(parts)],
                                    columns=["row", "part", "parts", "id", "low", "high", "base", "context"])
 
@@ -408,8 +513,8 @@ def _blocks(docs: DataFrame, tool, kind: str, size: int, keep: bool) -> DataFram
         for batch in batches:
             split = [(i, own.split(" " + t) if t and SPACE not in t else []) for i, t in _batched(batch)]
             own.learn(w for _, words in split for w in words)
-            for doc_id, words in split:
-                if (full := made.add(doc_id, own.closed(words) if words else None)) is not None:
+            for (doc_id, _), found in zip(split, own.closed([words for _, words in split])):
+                if (full := made.add(doc_id, found)) is not None:
                     yield full
         if (full := made.flush()) is not None:
             yield full

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from govlens.llm.common import bounded_batches, per_worker, table
 
 SPACE = "▁"
+#: Letters, to any splitter, that marks are parted from.
+LETTERS = frozenset(string.ascii_letters + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])))
 #: Entries of the cache of encoded stretches, and the longest one that is kept in it.
 CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 64
 #: Characters of text that are encoded at a time; a longer text is a batch of its own.
@@ -65,6 +68,12 @@ def wire_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield key >> 3, value
 
 
+def marks_after_no_letter(names: list[str]) -> list[str]:
+    """ASCII marks that follow a letter in none of the pieces."""
+    after = {y for n in names for x, y in zip(n, n[1:]) if x in LETTERS}
+    return [c for c in string.punctuation if c not in after]
+
+
 class CharacterMap:
     """A compiled map: a double array over the UTF-8 bytes of the prefixes, and the replacements, each ended by a zero byte."""
 
@@ -185,20 +194,36 @@ class PieceEncoder:
         inner = set("".join(n.lstrip(SPACE) for n, k in zip(self._names, self._kinds) if k == _NORMAL and len(n) > 1))
         return self._cut is not None and not inner.intersection(chars.replace(" ", SPACE))
 
+    def cuts_after_letters(self) -> str:
+        """The marks that no piece has after a letter of ``LETTERS``, so that a text may be cut between the two."""
+        return "".join(marks_after_no_letter([n for n, k in zip(self._names, self._kinds) if k == _NORMAL])) if self._cut else ""
+
     def plain_ids(self, normals: list[str]) -> list[list[int]]:
         """The library's ids of normalised texts."""
         return self._bare.encode(normals, num_threads=1)
 
     @staticmethod
     def _cutter(names: list[str], kinds: set[int]):
-        """A pattern of stretches whose borders no piece spans; None if only whole texts are safe."""
+        """A pattern of stretches whose borders no piece spans; None if only whole texts are safe.
+
+        A stretch ends before a space that follows anything else, around
+        characters that no longer piece holds, and between a letter and a mark
+        that no piece has after one.
+        """
         if kinds - {_NORMAL, _UNKNOWN, _CONTROL, _BYTE} or any(SPACE in n.lstrip(SPACE) for n in names):
             return None
-        inner = re.escape("".join(sorted(set("".join(n for n in names if len(n) > 1)) - {SPACE})))
-        return re.compile(f"{SPACE}*[{inner}]+|{SPACE}+|[^{SPACE}{inner}]+" if inner else f"{SPACE}+|[^{SPACE}]+")
+        inner = set("".join(n for n in names if len(n) > 1)) - {SPACE}
+        alone = f"[^{SPACE}{re.escape(''.join(sorted(inner)))}]+"
+        marks = inner.intersection(marks_after_no_letter(names))
+        letters = inner.intersection(LETTERS)
+        others = inner - letters - marks
+        both, mark_free, letter = (f"[{re.escape(''.join(sorted(x)))}]" if x else "(?!)" for x in (others | marks, others, letters))
+        return re.compile(f"{alone}|{SPACE}*{both}*{letter}*(?:{mark_free}{both}*{letter}*)*")
 
     def _split(self, normal: str) -> list[str]:
-        return self._cut.findall(normal) if self._cut else [normal] if normal else []
+        if not self._cut:
+            return [normal] if normal else []
+        return [s for s in self._cut.findall(normal) if s]
 
     def ids(self, normals: list[str]) -> list[bytes]:
         """Per normalised text its ids as little-endian unsigned 32-bit numbers."""

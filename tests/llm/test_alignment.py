@@ -65,14 +65,14 @@ def test_words_give_the_groups_of_the_whole_text(text):
     words = TOOL.split(" " + text)
     assert "".join(words) == " " + text
     TOOL.learn(words)
-    got = TOOL.closed(words)
+    got = TOOL.closed([words])[0]
     assert ("" if got is None else got.text.decode()) == (written_out(plain_groups(text)) if text else got.text.decode())
 
 
 @settings(max_examples=200, deadline=None)
 @given(TEXTS.filter(lambda t: t and "▁" not in t), st.integers(1, 40), st.randoms())
 def test_ranges_compose_in_any_order(text, size, rng):
-    parts = alignment.ranges(" " + text, size)
+    parts = alignment.ranges(" " + text, size, TOOL.cutter)
     assert parts[0][0] == 0 and parts[-1][1] == len((" " + text).encode())
     fragments = [TOOL.between(TOOL.split(c), base, low, high) for low, high, base, c in parts]
     if None in fragments:
@@ -101,12 +101,18 @@ def test_any_cut_of_tokens_composes(seed, size):
     assert out.whole()[:5] == want[:5] and out.whole().keys.tolist() == want.keys.tolist()
 
 
+def test_texts_are_cut():
+    """Nearly every word is a stretch of its own."""
+    words = TOOL.split(" Some words here,\nand there\tit's  fine\r\nso.")
+    assert words == [" Some", " words", " here", ",", "\nand", " there", "\tit", "'s", "  fine\r\nso", "."]
+
+
 def test_a_long_run_is_in_one_range():
     text = " a b" + "x" * 500 + " c d" * 20
-    parts = alignment.ranges(text, 16)
+    parts = alignment.ranges(text, 16, TOOL.cutter)
     assert all(len(c) < 600 for *_, c in parts) and sum(len(c) for *_, c in parts) < 4 * len(text)
     assert [p[1] for p in parts[:-1]] == [p[0] for p in parts[1:]]
-    assert len(alignment.ranges("x" * 100_000, 64)) == 1
+    assert len(alignment.ranges("x" * 100_000, 64, TOOL.cutter)) == 1
 
 
 ROWS = [(1, "Hello world, it's a test.\nNext line"), (1, "Hello world, it's a test.\nNext line"), (2, None), (3, ""), (4, " "), (5, "a▁b"),
@@ -144,4 +150,4 @@ def test_a_full_cache_starts_anew(monkeypatch):
     for text in ["a b c d e f", "a b", "g h i j"] * 2:
         words = TOOL.split(" " + text)
         TOOL.learn(words)
-        assert TOOL.closed(words).text.decode() == written_out(plain_groups(text))
+        assert TOOL.closed([words])[0].text.decode() == written_out(plain_groups(text))
