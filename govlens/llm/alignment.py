@@ -40,7 +40,7 @@ RANGE_BYTES = 1 << 16
 #: Fragments that one task composes in a round of the tree.
 _FAN_IN = 8
 #: Words and bytes of aligned words that a worker keeps, and the most documents and pairs of a block.
-_CACHE_WORDS, _CACHE_BYTES, _BLOCK_DOCS, _BLOCK_PAIRS = 500_000, 160 << 20, 4096, 2 << 20
+_CACHE_WORDS, _CACHE_BYTES, _BLOCK_DOCS, _BLOCK_PAIRS = 250_000, 64 << 20, 1024, 1 << 19
 #: Characters of a word that is aligned together with others.
 _WORD_CHARS = 512
 
@@ -423,13 +423,18 @@ class _Blocks:
         self.pairs += len(g.keys)
         return self.flush() if len(self.ids) >= _BLOCK_DOCS or self.pairs >= _BLOCK_PAIRS else None
 
+    @staticmethod
+    def _times(times: np.ndarray) -> bytes:
+        """Four bytes a number, or eight if one of them needs it; there are as many as codes."""
+        return times.astype("<u4" if times.max(initial=0) < 1 << 32 else "<u8").tobytes()
+
     def flush(self) -> pd.DataFrame | None:
         if not self.ids:
             return None
         *sizes, digests, texts, keys, times = map(list, zip(*self.found))
         pairs, codes = np.unique(np.concatenate(keys), return_inverse=True)
         row = [f"{self.name}-{self.made}", self.ids, *sizes, digests, texts, [len(k) for k in keys],
-               codes.astype("<u4").tobytes(), np.concatenate(times).astype("<u8").tobytes(), pairs,
+               codes.astype("<u4").tobytes(), self._times(np.concatenate(times)), pairs,
                np.bincount(codes, minlength=len(pairs))]         # a document has each of its pairs once
         self.made += 1
         self._clear()
@@ -581,7 +586,8 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: st
         for batch in batches:
             for r in batch.to_dict("records"):
                 lengths = np.asarray(r["lengths"], dtype=np.int64)
-                codes, times = np.frombuffer(r["codes"], dtype="<u4"), np.frombuffer(r["times"], dtype="<i8")
+                codes = np.frombuffer(r["codes"], dtype="<u4")
+                times = np.frombuffer(r["times"], dtype="<u4" if len(r["times"]) == 4 * len(codes) else "<u8").astype(np.int64)
                 at = np.asarray(r["_code"] if r["_code"] is not None else [], dtype=np.int64)
                 score = np.zeros((2, len(at)), dtype=np.int64)
                 if len(at):
