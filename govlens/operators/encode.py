@@ -6,15 +6,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from govlens.functions.lookup import hot_keys, key_hashes, spread_lookup
 from govlens.functions.nulls import as_string_or_nan
 from govlens.functions.ranking import dense_index
 from govlens.session import cut_lineage
 
-# How a fitted mapping meets the data, with the same result either way: up to
+# How a fitted mapping meets the data, with the same result each way: up to
 # INLINE_MAX_CLASSES classes a literal map inside the projection (a linear
-# search, so only for short lists), more a join that the planner sizes.
+# search, so only for short lists); class lists that the driver numbered and
+# that are small together, a broadcast each; all others, one dictionary pass.
 INLINE_MAX_CLASSES = 100
 SMALL_TOTAL_CLASSES = 50_000    # all columns together, numbered on the driver
+BROADCAST_MAX_CHARS = 4_000_000
 
 
 @dataclass
@@ -76,16 +79,51 @@ def label_encode_apply(df: DataFrame, enc: LabelEncoding) -> DataFrame:
         F.coalesce(F.try_element_at(F.create_map(*maps[c]), as_string_or_nan(F.col(f"`{c}`"))) if maps.get(c) else F.lit(None),
                    F.lit(-1)).cast("bigint").alias(c) if c in small else F.col(f"`{c}`")
         for c in df.columns])
-    for c in [c for c in cols if c not in small]:
+    long = [c for c in cols if c not in small]
+    listed = sum(len(v) for c in long for v in enc.classes.get(c, [])) if enc.classes is not None else None
+    if long and (listed is None or listed > BROADCAST_MAX_CHARS):
+        return dictionary_codes(out, enc, long)
+    for c in long:
         m = (enc.mapping.where(F.col("column_name") == c)
                 .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
         out = (out.withColumn("__v", as_string_or_nan(F.col(f"`{c}`")))
-                  .join(m, "__v", "left")
+                  .join(F.broadcast(m), "__v", "left")         # SMALL_TOTAL_CLASSES rows at most
                   .withColumn(c, F.coalesce(F.col("__code"), F.lit(-1)).cast("bigint"))
                   .drop("__v", "__code"))
     return out.select(*df.columns)
 
 
+def dictionary_codes(df: DataFrame, enc: LabelEncoding, cols: list[str]) -> DataFrame:
+    """Codes of all ``cols`` in one pass, however many values they have.
+
+    The distinct combinations of the columns' values are taken first (copies
+    collapse before the shuffle), and one lookup of (column, value) pairs
+    gives all their codes; the frame itself moves once, to meet the
+    combinations.  Values and combinations that many rows share are answered
+    from small broadcasts, so neither gathers in one task.
+    """
+    text = [as_string_or_nan(F.col(f"`{c}`")) for c in cols]
+    whole = key_hashes(*text)
+    values = [f"_v{i}" for i in range(len(cols))]
+    combos = df.select(*[k.alias(n) for k, n in zip(whole, ("_k1", "_k2"))], *[t.alias(v) for t, v in zip(text, values)]) \
+        .groupBy("_k1", "_k2", *values).agg(F.count(F.lit(1)).alias("_n"))
+    combos = cut_lineage(combos, "table", "encode-combinations")
+    pairs = combos.select("_k1", "_k2", F.posexplode(F.array(*values)).alias("_i", "_value")) \
+        .withColumns(dict(zip(("_p1", "_p2"), key_hashes(F.col("_i"), F.col("_value"))))).drop("_value")
+    at = (F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("column_name")) - 1).cast("int")
+    codes_of = enc.mapping.where(F.col("column_name").isin(cols)) \
+        .select(*[k.alias(n) for k, n in zip(key_hashes(at, F.col("value")), ("_p1", "_p2"))], F.col("code").alias("_code"))
+    often = hot_keys(pairs.groupBy("_p1", "_p2").agg(F.count(F.lit(1)).alias("_n")), ["_p1", "_p2"], "_n")
+    coded = spread_lookup(pairs, codes_of, ["_p1", "_p2"], ["_code"], often, ["_k1", "_k2", "_i"])
+    found = [f"_c{i}" for i in range(len(cols))]
+    table = coded.groupBy("_k1", "_k2").agg(*[F.max(F.when(F.col("_i") == i, F.col("_code"))).alias(c) for i, c in enumerate(found)])
+    table = cut_lineage(table, "table", "encode-codes")
+    rows = df.withColumns(dict(zip(("_k1", "_k2"), whole)))
+    out = spread_lookup(rows, table, ["_k1", "_k2"], found, hot_keys(combos, ["_k1", "_k2"], "_n"), df.columns)
+    code = {c: F.coalesce(F.col(f), F.lit(-1)).cast("bigint").alias(c) for c, f in zip(cols, found)}
+    return out.select(*[code.get(c, F.col(f"`{c}`")) for c in df.columns])
+
+
 def label_encode(df: DataFrame, columns: list[str], materialize: str = "checkpoint"):
     enc = label_encode_fit(df, columns, materialize)
     return label_encode_apply(df, enc), enc
