@@ -11,10 +11,11 @@ import logging
 from collections.abc import Callable
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 
+from govlens.models.multiclass import BoostedClasses
+
 log = logging.getLogger(__name__)
 
 # Estimator settings matching the reference's choices
@@ -42,7 +43,7 @@ def _rf(ctx: dict) -> Estimator:
 def _gbt(ctx: dict) -> Estimator:
     g = GBTClassifier(maxIter=ctx.get("n_trees", N_TREES), maxDepth=GBT_DEPTH, stepSize=GBT_STEP, seed=SEED,
                       featuresCol="features", labelCol="label")
-    return g if ctx.get("n_classes", 2) <= 2 else OneVsRest(classifier=g, featuresCol="features", labelCol="label")
+    return g if ctx.get("n_classes", 2) <= 2 else BoostedClasses(classifier=g)
 
 
 def _logreg(ctx: dict) -> Estimator:
@@ -82,10 +83,6 @@ REGRESSORS: dict[str, Factory | None] = {
 }
 
 
-def kmeans(k: int, seed: int = SEED) -> KMeans:
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", initMode="k-means||")
-
-
 # Preference when a single saved classifier is needed (by name, not by metric).
 SAVED_CLASSIFIER_PRIORITY = ["random_forest", "gradient_boosting", "logistic_regression"]
 

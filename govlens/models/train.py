@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from govlens.models import registry as REG
+from govlens.models import manystart as MS, registry as REG
 from govlens.models.split import cv_folds, random_split, stratified_split
 from govlens.operators import metrics as M
 
@@ -169,54 +169,46 @@ def train_regressors(features: DataFrame, cols: list[str], keys: list[str], algo
     return out
 
 
-def kmeans_fit(data: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = 10,
-               parallelism: int = 1) -> PipelineModel:
-    """Best of ``n_init`` seeded k-means runs by training cost (earliest seed on ties).
+def kmeans_fit(data: DataFrame, cols: list[str], k: int, seed: int = 42, n_init: int = 10) -> PipelineModel:
+    """Best of ``n_init`` seeded k-means runs by cost (earliest seed on ties); see ``manystart``."""
+    runs, _ = MS.many_kmeans(data, cols, [k], n_init, seed)
+    return MS.as_model(data.sparkSession, cols, MS.best(runs, k).centres)
+
+
+def elbow_ks(n_rows: int, max_k: int = 10) -> list[int]:
+    return list(range(2, min(max_k, n_rows // 2) + 1))
 
-    All runs fit on the same vectors: those of ``data``'s column "features",
-    if it has one, else assembled once here.
-    """
-    assemble = assembler(cols)
-    held = None
-    if "features" not in data.columns:
-        held = data = assemble.transform(data).select("features").persist()
 
-    def one(s: int):
-        m = REG.kmeans(k, s).fit(data)
-        return (m.summary.trainingCost, s, m)
-    runs = _parallel(one, list(range(seed, seed + n_init)), parallelism)
-    if held is not None:
-        held.unpersist()
-    return PipelineModel(stages=[assemble, min(runs, key=lambda r: (r[0], r[1]))[2]])
+def inertias_frame(spark: SparkSession, runs: list[MS.Run]) -> DataFrame:
+    """(k, inertia): the least cost for each k."""
+    rows = [(k, MS.best(runs, k).cost) for k in sorted({r.k for r in runs})]
+    return spark.createDataFrame(rows, "k long, inertia double")
 
 
 def elbow_inertias(data: DataFrame, cols: list[str], max_k: int = 10, seed: int = 42, n_init: int = 10,
                    n_rows: int | None = None) -> DataFrame:
-    """(k, inertia) for k = 2..min(max_k, n // 2)."""
+    """(k, inertia) for k = 2..min(max_k, n // 2), from one set of scans for all of them."""
     n = n_rows if n_rows is not None else data.count()
-    top = min(max_k, n // 2)
-
-    def one(k: int):
-        return (k, float(kmeans_fit(data, cols, k, seed, n_init).stages[-1].summary.trainingCost))
-
-    rows = _parallel(one, list(range(2, top + 1)), 4)
-    return data.sparkSession.createDataFrame(rows, "k long, inertia double")
+    return inertias_frame(data.sparkSession, MS.many_kmeans(data, cols, elbow_ks(n, max_k), n_init, seed, n_rows=n)[0])
 
 
 def train_clustering(features: DataFrame, cols: list[str], keys: list[str], seed: int = 42, n_init: int = 10,
                      max_k: int = 10) -> TrainResult:
-    data = features.select(*keys, *cols)
-    vectors = assembler(cols).transform(_compact(data, data.count())).select("features").persist()
-    inertias = elbow_inertias(vectors, cols, max_k, seed, n_init)
+    """k by the elbow of the inertias, and the best run of that k: the same runs serve both."""
+    data = features.select(*keys, *[c for c in cols if c not in keys])
+    n = data.count()
+    held = _compact(data, n).persist()
+    runs, scans = MS.many_kmeans(held, cols, elbow_ks(n, max_k), n_init, seed, n_rows=n)
+    held.unpersist()
+    inertias = inertias_frame(features.sparkSession, runs)
     k = M.elbow_k(inertias).first()["best_k"]
-    model = kmeans_fit(vectors, cols, k, seed, n_init)
-    vectors.unpersist()
-    assigned = model.transform(data).select(*keys, *cols, F.col("cluster").cast("int").alias("cluster"))
+    model = MS.as_model(features.sparkSession, cols, MS.best(runs, k).centres)
+    assigned = model.transform(data).select(*keys, *[c for c in cols if c not in keys], F.col("cluster").cast("int").alias("cluster"))
     metrics = {"n_clusters": k,
                "silhouette": M.silhouette_sq(assigned, cols).first()[0],
                "davies_bouldin": M.davies_bouldin(assigned, cols).first()[0]}
     return TrainResult("kmeans", "clustering", model, metrics, None,
-                       {"assignments": assigned.select(*keys, "cluster"), "inertias": inertias})
+                       {"assignments": assigned.select(*keys, "cluster"), "inertias": inertias, "scans": scans, "runs": len(runs)})
 
 
 def score_all(model: PipelineModel, features: DataFrame, keys: list[str]) -> DataFrame:
