@@ -1,211 +1,17 @@
-"""Exact quantiles (linear interpolation, as pandas) that scale with distinct values.
-
-Spark's ``percentile`` keeps a value->count map whose final merge holds every
-distinct value of the column in ONE task.  That is fine for codes, date
-parts or 4-dp scores, not for a continuous column at scale.  So columns are
-routed by a cheap sketch of their distinct count:
-
-* at most ``PERCENTILE_MAX_DISTINCT`` distinct values -> ``percentile``
-  (all such columns in one aggregate);
-* more -> a distributed selection: (value, weight) pairs from a partial
-  aggregate, range-partitioned by value; per-partition weights (a row per
-  column and partition) locate the partition holding each wanted rank, and
-  only those partitions are scanned with a running sum.
-"""
+"""Exact quantiles (linear interpolation, as pandas) from a rank index, whatever the number of distinct values."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window, functions as F, types as T
-
-PERCENTILE_MAX_DISTINCT = 100_000
-
-
-def _positions(n: int, q: float) -> tuple[int, int, float]:
-    x = (n - 1) * q
-    lo = math.floor(x)
-    return lo, min(lo + 1, n - 1), x - lo
-
-
-def distributed_quantiles(df: DataFrame, columns: list[str], qs: list[float],
-                          n_parts: int | None = None) -> dict[str, list[float | None]]:
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns
-    ])).alias("p")).select("p.c", "p.v")
-    return quantiles_long(long, qs, columns, n_parts)
+from pyspark.sql import DataFrame
 
+from govlens.functions.rank_index import RankIndex
 
-def quantiles_long(long: DataFrame, qs: list[float], columns: list | None = None,
-                   n_parts: int | None = None) -> dict:
-    """Exact quantiles of ``v`` for every value of ``c`` in a long (c, v)
-    frame - ``c`` is a column name, or a group value for grouped quantiles.
-    ``columns`` lists the expected ``c`` values (default: those present)."""
-    from govlens.session import cut_lineage
-    spark = long.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    long = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    weighted = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("w"))
-    # range bounds come from a sample: materialise so every later use sees one partitioning
-    ranged = cut_lineage(weighted.repartitionByRange(n_parts, "c", "v").withColumn("_p", F.spark_partition_id()),
-                         "checkpoint")
-    per = ranged.groupBy("c", "_p").agg(F.sum("w").alias("pw"), F.min("v").alias("pmin")).collect()
-    parts: dict[str, list[tuple[float, int, int]]] = {}
-    for r in per:                                        # one row per (column, partition)
-        parts.setdefault(r["c"], []).append((r["pmin"], r["_p"], r["pw"]))
-    if columns is None:
-        columns = sorted(parts)
-    wanted: dict[tuple, int] = {}                         # (column, 0-based rank) -> partition
-    offsets: dict[tuple, int] = {}
-    plan: dict = {}
-    for c in columns:
-        ps = sorted(parts.get(c, []))                     # partitions in value order
-        total = sum(p[2] for p in ps)
-        plan[c] = []
-        if total == 0:
-            continue
-        off, bounds = 0, []
-        for _, pid, pw in ps:
-            bounds.append((off, off + pw, pid))
-            offsets[(c, pid)] = off
-            off += pw
-        for q in qs:
-            lo, hi, frac = _positions(total, q)
-            for rank in (lo, hi):
-                pid = next(b[2] for b in bounds if b[0] <= rank < b[1])
-                wanted[(c, rank)] = pid
-            plan[c].append((lo, hi, frac))
-    if not wanted:
-        return {c: [None] * len(qs) for c in columns}
-    pairs = sorted({(c, pid) for (c, _), pid in wanted.items()})
-    cond = F.lit(False)
-    for c, pid in pairs:
-        cond = cond | ((F.col("c") == c) & (F.col("_p") == pid))
-    w = Window.partitionBy("c", "_p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    off_expr = F.coalesce(*[F.when((F.col("c") == c) & (F.col("_p") == pid), F.lit(offsets[(c, pid)]))
-                            for c, pid in pairs])
-    ranks = F.array(*[F.lit(r) for (_, r) in wanted])
-    cols_of = F.array(*[F.lit(c) for (c, _) in wanted])
-    run = (ranged.where(cond).withColumn("_cum", F.sum("w").over(w) + off_expr)
-                 .withColumn("_start", F.col("_cum") - F.col("w")))
-    # a value covers ranks [_start, _cum); keep only values covering a wanted rank
-    hits = run.select("c", "v", "_start", "_cum", F.arrays_zip(cols_of.alias("wc"), ranks.alias("wr")).alias("want"))
-    hits = hits.select("c", "v", "_start", "_cum", F.explode("want").alias("x")) \
-               .where((F.col("x.wc") == F.col("c")) & (F.col("x.wr") >= F.col("_start")) & (F.col("x.wr") < F.col("_cum")))
-    found = {(r["c"], r["x"]["wr"]): r["v"] for r in hits.collect()}   # <= 2 rows per (column, q)
-    out = {}
-    for c in columns:
-        vals = []
-        for lo, hi, frac in plan[c]:
-            a, b = found[(c, lo)], found[(c, hi)]
-            vals.append(a + (b - a) * frac)
-        out[c] = vals if vals else [None] * len(qs)
-    return out
 
-
-GRID = 10_000      # values on a 1e-4 grid (scores, money to the cent...) are bounded without a sketch
-GRID_TOLERANCE, GRID_LIMIT = 1e-6, float(1 << 52)
+def exact_quantiles(df: DataFrame, columns: list[str], qs: list[float]) -> dict[str, list[float | None]]:
+    """Quantiles of every column (None if it has no value), from one build for all of them."""
+    return RankIndex.of_columns(df, columns).quantiles(columns, qs) if columns else {}
 
 
 def grouped_quantiles(long: DataFrame, qs: list[float], n_parts: int | None = None) -> DataFrame:
-    """``c, q``: the exact quantiles ``qs`` of ``v`` for every group ``c`` of a long (c, v) frame.
-
-    The distributed selection of ``quantiles_long`` with its plan as frames: a
-    row per (group, partition) finds the partitions that hold the wanted
-    ranks, and nothing of a group reaches the driver.
-    """
-    from govlens.session import cut_lineage
-    n_parts = n_parts or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    long = long.where(F.col("c").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
-    weighted = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("w"))
-    # range bounds come from a sample: materialise so every later use sees one partitioning
-    ranged = cut_lineage(weighted.repartitionByRange(n_parts, "c", "v").withColumn("_p", F.spark_partition_id()), "checkpoint")
-    by_c = Window.partitionBy("c")
-    per = ranged.groupBy("c", "_p").agg(F.sum("w").alias("pw"))
-    per = per.select("c", "_p", "pw", (F.sum("pw").over(by_c.orderBy("_p")) - F.col("pw")).alias("off"), F.sum("pw").over(by_c).alias("n"))
-    at = lambda q: (F.col("n") - 1) * F.lit(float(q))
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"),
-                 F.least(F.floor(at(q)) + side, F.col("n") - 1).alias("rank"), (at(q) - F.floor(at(q))).alias("frac"))
-        for i, q in enumerate(qs) for side in (0, 1)]))
-    wanted = per.select("*", wanted.alias("x")).where((F.col("x.rank") >= F.col("off")) & (F.col("x.rank") < F.col("off") + F.col("pw")))
-    wanted = wanted.groupBy("c", "_p", "off").agg(F.collect_list("x").alias("xs"))      # 2 entries per quantile at most
-    run = ranged.withColumn("_cum", F.sum("w").over(Window.partitionBy("c", "_p").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)))
-    hits = run.join(wanted, ["c", "_p"]).select("c", "v", (F.col("_cum") + F.col("off")).alias("_cum"), "w", F.explode("xs").alias("x")) \
-        .where((F.col("x.rank") >= F.col("_cum") - F.col("w")) & (F.col("x.rank") < F.col("_cum")))
-    value = lambda i, s: F.max(F.when((F.col("x.i") == i) & (F.col("x.side") == s), F.col("v")))
-    frac = lambda i: F.max(F.when(F.col("x.i") == i, F.col("x.frac")))
-    return hits.groupBy("c").agg(F.array(*[value(i, 0) + (value(i, 1) - value(i, 0)) * frac(i) for i in range(len(qs))]).alias("q"))
-
-
-def profile_columns(df: DataFrame, columns: list[str], sketch: list[str] | None = None
-                    ) -> dict[str, tuple[int, int]]:
-    """(missing count, upper bound on distinct values) per column.
-
-    One code-generated pass gives min, max, missing count and how many values
-    fall off the integer grid and off a 1e-4 grid: a column on a grid has at
-    most (max - min) * grid + 1 distinct values.  Only columns on neither
-    grid need a HyperLogLog sketch (interpreted, slower), in a second pass,
-    and only those listed in ``sketch`` (default: all); the others get -1.
-    The bound only routes work between two exact methods, so it may be loose.
-    """
-    from govlens.functions.stats import _chunks
-    info: dict[str, tuple[int, int]] = {}
-    fractional: list[str] = []
-    integral = {f.name for f in df.schema.fields
-                if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
-    for chunk in _chunks(columns, 50):
-        exprs = []
-        for i, c in enumerate(chunk):
-            x = F.col(f"`{c}`").cast("double")
-            exprs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"), F.min(x).alias(f"lo{i}"),
-                      F.max(x).alias(f"hi{i}")]
-            if c in integral:         # the type already says: on the integer grid
-                exprs += [F.lit(0).alias(f"f{i}"), F.lit(0).alias(f"g{i}")]
-            else:
-                g = x * GRID
-                exprs += [F.count_if(x != F.floor(x)).alias(f"f{i}"),
-                          # the tolerance is a fixed part of a grid step; where doubles are coarser, nothing is on the grid
-                          F.count_if((F.abs(g - F.rint(g)) > GRID_TOLERANCE) | (F.abs(g) >= GRID_LIMIT)).alias(f"g{i}")]
-        row = df.agg(*exprs).first()
-        for i, c in enumerate(chunk):
-            n, lo, hi = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
-            if lo is None:
-                info[c] = (n, 0)
-            elif math.isinf(lo) or math.isinf(hi) or row[f"g{i}"]:
-                fractional.append(c)
-                info[c] = (n, -1)
-            else:
-                scale = 1 if not row[f"f{i}"] else GRID
-                info[c] = (n, int(min((hi - lo) * scale + 1, 2 ** 62)))
-    todo = [c for c in fractional if sketch is None or c in sketch]
-    if todo:
-        sk = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(todo)]).first()
-        for i, c in enumerate(todo):
-            # the sketch errs by a few percent: pad it so the bound stays safe
-            info[c] = (info[c][0], int(sk[f"d{i}"] * 1.2) + 1)
-    return info
-
-
-def exact_quantiles(df: DataFrame, columns: list[str], qs: list[float],
-                    max_distinct: int = PERCENTILE_MAX_DISTINCT,
-                    distinct: dict[str, int] | None = None) -> dict[str, list[float | None]]:
-    """Exact linear-interpolation quantiles of every column (None if empty).
-    ``distinct`` (approximate distinct counts) skips the sketch pass."""
-    if not columns:
-        return {}
-    if distinct is None:
-        distinct = {c: v[1] for c, v in profile_columns(df, columns).items()}
-    small = [c for c in columns if distinct[c] <= max_distinct]
-    large = [c for c in columns if c not in small]
-    out: dict[str, list[float | None]] = {}
-    if small:
-        row = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), F.array(*[F.lit(q) for q in qs])).alias(f"p{i}")
-                       for i, c in enumerate(small)]).first()
-        for i, c in enumerate(small):
-            v = row[f"p{i}"]
-            out[c] = list(v) if v is not None else [None] * len(qs)
-    if large:
-        out.update(distributed_quantiles(df, large, qs))
-    return out
+    """``c, q``: the exact quantiles ``qs`` of ``v`` for every group ``c`` of a long (c, v) frame."""
+    return RankIndex.build(long, n_parts).group_quantiles(qs)

@@ -42,19 +42,11 @@ def quantile_expr(c: str, qs: list[float] | float, exact: bool = True, accuracy:
     return F.percentile_approx(col, qs if isinstance(qs, float) else list(qs), accuracy)
 
 
-def null_and_distinct(df: DataFrame, columns: list[str], sketch: list[str] | None = None
-                      ) -> dict[str, tuple[int, int]]:
-    """(missing count, upper bound on distinct count) per column."""
-    from govlens.functions.quantiles import profile_columns
-    return profile_columns(df, columns, sketch)
-
-
-def median_map(df: DataFrame, columns: list[str], exact: bool = True,
-               distinct: dict[str, int] | None = None) -> dict[str, float | None]:
-    """Medians; exact ones route by distinct count (see ``quantiles``)."""
+def median_map(df: DataFrame, columns: list[str], exact: bool = True) -> dict[str, float | None]:
+    """Medians of all columns; exact ones from a rank index."""
     if exact and columns:
         from govlens.functions.quantiles import exact_quantiles
-        return {c: v[0] for c, v in exact_quantiles(df, columns, [0.5], distinct=distinct).items()}
+        return {c: v[0] for c, v in exact_quantiles(df, columns, [0.5]).items()}
     out: dict[str, float | None] = {}
     for chunk in _chunks(columns):
         if not chunk:

@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from govlens.functions.quantiles import exact_quantiles
 from govlens.functions.stats import quantile_expr, _chunks
+from govlens.operators.clean import Filled
 
 
 def iqr_bounds(features: DataFrame, columns: list[str], k: float = 1.5, exact: bool = True,
-               distinct: dict[str, int] | None = None) -> DataFrame:
+               filled: Filled | None = None) -> DataFrame:
     """(feature, q1, q3, lower, upper) per column; quartiles by linear
-    interpolation; all columns in one aggregate (chunked when very wide)."""
+    interpolation, all columns from one rank index: that of ``filled`` (the
+    build that filled ``features``) or one made here."""
     if exact:
-        # exact quartiles, routed by distinct count (no unbounded single-task buffer)
-        known = distinct if distinct and all(distinct.get(c, -1) >= 0 for c in columns) else None
-        qv = exact_quantiles(features, columns, [0.25, 0.75], distinct=known)
+        qv = filled.quantiles(columns, [0.25, 0.75]) if filled else exact_quantiles(features, columns, [0.25, 0.75])
         b = features.sparkSession.createDataFrame(
             [(c, qv[c][0], qv[c][1]) for c in columns], "feature string, q1 double, q3 double")
     else:

@@ -113,17 +113,10 @@ def correlation_matrix(features: DataFrame, cols: list[str]) -> DataFrame:
 def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5) -> DataFrame:
     """Per group: q1, median, q3, whiskers (farthest points within k*IQR of
     the box) and the number of points outside them."""
-    from govlens.functions.quantiles import PERCENTILE_MAX_DISTINCT, grouped_quantiles, profile_columns
+    from govlens.functions.rank_index import RankIndex
     v = F.col(value)
-    data = df.where(v.isNotNull() & F.col(by).isNotNull())
-    if profile_columns(data, [value])[value][1] <= PERCENTILE_MAX_DISTINCT:
-        q = data.groupBy(by).agg(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-        q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    else:
-        # many distinct values: per-group distributed selection (no group's
-        # values are ever held by one task, and no group reaches the driver)
-        q = grouped_quantiles(data.select(F.col(by).alias("c"), v.cast("double").alias("v")), [0.25, 0.5, 0.75]) \
-            .select(F.col("c").alias(by), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = RankIndex.of_groups(df, by, value).group_quantiles([0.25, 0.5, 0.75]) \
+        .select(F.col("c").alias(by), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     lo = F.col("q1") - k * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + k * (F.col("q3") - F.col("q1"))
     # one row per group, joined without a hint: AQE broadcasts it when measured small

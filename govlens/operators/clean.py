@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from govlens.functions import stats
 from govlens.functions.dates import parse_dates
 from govlens.functions.nulls import is_numeric, nan_to_null
+from govlens.functions.rank_index import RankIndex
 
 # Fixed value: fill for a non-numeric column with no value at all.
 UNKNOWN = "Unknown"
@@ -65,11 +67,10 @@ def apply_impute(df: DataFrame, fit: ImputeFit) -> DataFrame:
 
 def fit_impute_all(tables: dict[str, DataFrame], exact: bool = True) -> dict[str, ImputeFit]:
     """``fit_impute`` for many tables with ONE job for all null counts (the
-    per-table one-row aggregates are unioned), then median/mode jobs only
-    for tables that have gaps."""
+    per-table one-row aggregates are unioned), one rank index for the medians
+    of all tables' gap columns, and a mode job for tables with other gaps."""
     if not tables:
         return {}
-    from functools import reduce
     longs = []
     for name, df in tables.items():
         df = nan_to_null(df)
@@ -81,18 +82,24 @@ def fit_impute_all(tables: dict[str, DataFrame], exact: bool = True) -> dict[str
     gaps: dict[str, list[str]] = {}
     for r in counts:
         gaps.setdefault(r["t"], []).append(r["c"])
-    fits = {}
-    for name, df in tables.items():
-        if name not in gaps:
-            fits[name] = ImputeFit()
-            continue
-        df = nan_to_null(df)
-        types = {f.name: f.dataType for f in df.schema.fields}
-        num = [c for c in gaps[name] if is_numeric(types[c])]
-        other = [c for c in gaps[name] if c not in num]
-        fits[name] = ImputeFit(stats.median_map(df, num, exact) if num else {},
-                               stats.mode_map(df, other) if other else {})
-    return fits
+    types = {name: {f.name: f.dataType for f in df.schema.fields} for name, df in tables.items()}
+    num = {name: [c for c in cols if is_numeric(types[name][c])] for name, cols in gaps.items()}
+    medians = _medians(tables, {name: cols for name, cols in num.items() if cols}, exact)
+    return {name: ImputeFit(medians.get(name, {}), stats.mode_map(nan_to_null(tables[name]), other) if (
+        other := [c for c in gaps.get(name, []) if c not in num[name]]) else {}) for name in tables}
+
+
+def _medians(tables: dict[str, DataFrame], columns: dict[str, list[str]], exact: bool) -> dict[str, dict[str, float | None]]:
+    """Medians of the listed columns of all tables, from one rank index."""
+    if not exact or not columns:
+        return {name: stats.median_map(nan_to_null(tables[name]), cols, exact) for name, cols in columns.items()}
+    names = {f"{i}.{j}": (name, c) for i, (name, cols) in enumerate(columns.items()) for j, c in enumerate(cols)}
+    own = {v: k for k, v in names.items()}
+    long = [tables[name].select(F.explode(F.array(*[
+        F.struct(F.lit(own[(name, c)]).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])).alias("p")).select("p.c", "p.v")
+        for name, cols in columns.items()]
+    found = RankIndex.build(reduce(lambda a, b: a.unionByName(b), long)).quantiles(list(names), [0.5])
+    return {name: {c: found[own[(name, c)]][0] for c in cols} for name, cols in columns.items()}
 
 
 def impute(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -149,20 +156,42 @@ def numeric_only(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-def clean_numeric(df: DataFrame, columns: list[str], exact: bool = True, profile_out: dict | None = None) -> DataFrame:
+@dataclass
+class Filled:
+    """The rank index of columns before their gaps were filled, and what filled them: {column: (median, rows)}."""
+    ranks: RankIndex
+    fills: dict[str, tuple[float | None, int]]
+
+    def quantiles(self, columns: list[str], qs: list[float]) -> dict[str, list[float | None]]:
+        """Of the filled columns."""
+        return self.ranks.quantiles(columns, qs, self.fills)
+
+
+def fill_numeric(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Filled | None]:
+    """``clean_numeric`` by a rank index of all ``columns``, which goes on to answer any quantile of the result."""
+    df = nan_to_null(df, also_inf=True)
+    if not columns:
+        return df, None
+    ranks = RankIndex.of_columns(df, columns)
+    n = df.count()
+    gaps = {c: n - ranks.count(c) for c in columns if ranks.count(c) < n}
+    medians = ranks.quantiles(list(gaps), [0.5])
+    fills = {c: (medians[c][0], k) for c, k in gaps.items()}
+    return _filled(df, columns, {c: m for c, (m, _) in fills.items()}), Filled(ranks, fills)
+
+
+def clean_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """+-Inf and NaN -> missing, then each column's median; an all-missing
     column stays missing.  The listed columns are cast to double (the model
     stages need doubles)."""
+    if exact:
+        return fill_numeric(df, columns)[0]
     df = nan_to_null(df, also_inf=True)
-    prof = stats.null_and_distinct(df, columns, sketch=[])
-    if profile_out is not None:
-        # distinct bounds after the fill: at most one new value (the median)
-        profile_out.update({c: (b + 1 if b >= 0 else -1) for c, (_, b) in prof.items()})
-    gaps = [c for c, (n, _) in prof.items() if n]
-    # distinct bounds of gap columns off any grid (-1) are sketched by median_map
-    known = {c: prof[c][1] for c in gaps if prof[c][1] >= 0}
-    meds = stats.median_map(df, gaps, exact, known if len(known) == len(gaps) else None)
+    return _filled(df, columns, stats.median_map(df, columns, False))
+
+
+def _filled(df: DataFrame, columns: list[str], medians: dict[str, float | None]) -> DataFrame:
     cols = set(columns)
     return df.select(*[
-        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(meds.get(c)).cast("double")).alias(c) if c in cols
+        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(medians.get(c)).cast("double")).alias(c) if c in cols
         else F.col(f"`{c}`") for c in df.columns])

@@ -33,7 +33,7 @@ class FeatureFrame:
     encoding: LabelEncoding
     scaler: ScalerFit | None = None
     cleaned: dict[str, DataFrame] = field(default_factory=dict)
-    distinct_bounds: dict[str, int] = field(default_factory=dict)   # per feature; -1 = unknown
+    filled: C.Filled | None = None      # answers quantiles of ``features`` from the build that filled them; None if scaled
 
 
 def feature_columns(encoded: DataFrame, spec: FeatureSpec) -> list[str]:
@@ -43,9 +43,9 @@ def feature_columns(encoded: DataFrame, spec: FeatureSpec) -> list[str]:
     return [f.name for f in encoded.schema.fields if f.name not in drop and is_numeric(f.dataType)]
 
 
-def prepare_features(encoded: DataFrame, spec: FeatureSpec, exact: bool = True,
-                     profile_out: dict | None = None) -> tuple[DataFrame, list[str], bool]:
-    """(keys..., label?, features...) with +-Inf -> missing and median fill."""
+def prepare_features(encoded: DataFrame, spec: FeatureSpec, exact: bool = True
+                     ) -> tuple[DataFrame, list[str], bool, C.Filled | None]:
+    """(keys..., label?, features...) with +-Inf -> missing and median fill; what filled it, if exactly."""
     cols = feature_columns(encoded, spec)
     keys = [k for k in spec.key_columns if k in encoded.columns]
     has_label = bool(spec.target_column) and spec.target_column in encoded.columns
@@ -53,11 +53,11 @@ def prepare_features(encoded: DataFrame, spec: FeatureSpec, exact: bool = True,
     # keys may also be feature columns; they are carried once under a prefix
     framed = encoded.select(*[F.col(f"`{k}`").alias(f"__key_{k}") for k in keys], *lab,
                             *[F.col(f"`{c}`") for c in cols])
-    filled = C.clean_numeric(framed, cols, exact, profile_out)
+    filled, how = C.fill_numeric(framed, cols) if exact else (C.clean_numeric(framed, cols, False), None)
     out = filled.select(*[F.col(f"__key_{k}").alias(k) for k in keys if k not in cols],
                         *[F.col(f"__key_{k}").alias(f"__key_{k}") for k in keys if k in cols],
                         *(["label"] if has_label else []), *cols)
-    return out, cols, has_label
+    return out, cols, has_label, how
 
 
 def clean_all(tables: dict[str, DataFrame], spec: FeatureSpec, exact: bool = True) -> dict[str, DataFrame]:
@@ -83,18 +83,15 @@ def process_pipeline(tables: dict[str, DataFrame], merge: MergeSpec | None, spec
     enc = label_encode_fit(merged, spec.categorical_columns,
                            "persist" if materialize in ("persist", "none") else "checkpoint")
     encoded = label_encode_apply(merged, enc)
-    bounds: dict[str, int] = {}
-    feats, cols, has_label = prepare_features(encoded, spec, exact, bounds)
+    feats, cols, has_label, filled = prepare_features(encoded, spec, exact)
     scaler = None
     if scale:
         scaler = standard_scale_fit(feats, cols)
         feats = standard_scale_apply(feats, scaler)
     if materialize != "none":
         feats = cut_lineage(feats, materialize, "features")
-    if scale:
-        bounds = {}   # scaled values leave the grids the bounds were based on
     return FeatureFrame(merged, encoded, feats, cols, [k for k in spec.key_columns if k in merged.columns],
-                        has_label, enc, scaler, cleaned, bounds)
+                        has_label, enc, scaler, cleaned, None if scale else filled)
 
 
 def with_label(merged: DataFrame, enc: LabelEncoding, target: str | None) -> DataFrame:

@@ -116,7 +116,7 @@ def insights_stage(ff: FeatureFrame, spec: PipelineSpec, as_of: str, models: dic
         out["high_risk_users"] = R.high_risk_users(merged, ins.risk_threshold)
     if ins.detect_anomalies:
         flagged = A.outlier_flag(ff.features, A.iqr_bounds(ff.features, ff.feature_columns,
-                                                           distinct=ff.distinct_bounds))
+                                                           filled=ff.filled))
         out["anomalies"] = A.iqr_outliers(flagged)
         if ff.key_columns and "user_id" in merged.columns:
             out["sample_anomalies"] = A.outlier_users(flagged, merged, ff.key_columns[0])

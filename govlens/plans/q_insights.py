@@ -93,14 +93,14 @@ BOUNDS = ("\nbq AS (select " + ", ".join(
            f"select '{c}' as feature, quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.75) as q3 from features"
            for c in F_) + ")"))
 def q_iqr_bounds(ctx):
-    return A.iqr_bounds(ctx.features, ctx.ff.feature_columns, distinct=ctx.ff.distinct_bounds)
+    return A.iqr_bounds(ctx.features, ctx.ff.feature_columns, filled=ctx.ff.filled)
 
 
 def _flagged(ctx):
     key = ("iqr_flagged",)
     if key not in ctx.extra:
         ctx.extra[key] = A.outlier_flag(ctx.features, A.iqr_bounds(ctx.features, ctx.ff.feature_columns,
-                                                                  distinct=ctx.ff.distinct_bounds))
+                                                                  filled=ctx.ff.filled))
     return ctx.extra[key]
 
 
