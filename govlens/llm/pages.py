@@ -38,7 +38,8 @@ VOID = ("br", "img", "hr", "meta", "link", "input", "base", "wbr", "col", "area"
 SELF_ENDING = ("p", "li", "dt", "dd", "tr", "td", "th", "option")
 #: Elements that part running text without setting it off.
 FLOWING = (*INLINE, "p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "hr")
-#: Elements that mark the content, on pages that have them.
+#: Elements that mark the content, on pages that have them: what the weights are learned from.
+#: In scoring, their beginning is one more token with a learned weight.
 MARKS = ("article", "main")
 #: Words in class, id or role that tell boilerplate.
 BOILERPLATE = frozenset("""ad ads adv advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments
@@ -48,8 +49,9 @@ BOILERPLATE = frozenset("""ad ads adv advert adverts advertisement advertising b
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)"
+    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)"
     r"|(?P<text>[^<]+|<)", re.S)
+TAG_STOP = re.compile(r"[\"'>]")
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 NAME_PART = re.compile(r"[a-z]+")
@@ -57,8 +59,8 @@ KNOWN = frozenset(RAW + ASIDE + INLINE + BLOCK)
 
 #: What a word weighs where nothing was learned, and how many words outweigh a tag that was never seen.
 WORD_WEIGHT, TAG_WEIGHT = 1.0, -1.0
-#: Weights stay within these: words above zero, tags below.
-LEAST, MOST = 0.05, 8.0
+#: Weights stay within these: words above zero, tags below; a word outweighs the tags of a paragraph around it.
+LEAST, LEAST_WORD, MOST = 0.05, 0.2, 8.0
 
 
 def _boilerplate(rest: str) -> bool:
@@ -69,6 +71,26 @@ def _boilerplate(rest: str) -> bool:
     return any(p in BOILERPLATE for _, *v in ATTRIBUTE.findall(rest) for p in NAME_PART.findall("".join(v).lower()))
 
 
+def _tag_end(page: str, pos: int, unpaired: set[str]) -> tuple[int, int]:
+    """Where a tag's attributes end, and where it does: at the first ``>`` outside quotes.
+
+    A quote that nothing closes is a character like any other; ``unpaired``
+    remembers the kinds that no longer occur, so that each is looked for in
+    vain once in a page.
+    """
+    while m := TAG_STOP.search(page, pos):
+        pos = m.end()
+        if m[0] == ">":
+            return m.start(), pos
+        if m[0] not in unpaired:
+            close = page.find(m[0], pos)
+            if close < 0:
+                unpaired.add(m[0])
+            else:
+                pos = close + 1
+    return len(page), len(page)
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
     """(kind, value, marked, aside, block) in order: kind is "word" or a tag's name, value a text run.
 
@@ -78,6 +100,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
     open_: list[tuple[str, bool, bool]] = []             # name, marks, aside
     where: dict[str, list[int]] = defaultdict(list)        # places of each name in open_
     solid: list[int] = [-1]                                # places of elements that aren't inline
+    unpaired: set[str] = set()
     marked = aside = block = pos = 0
 
     def close_last() -> None:
@@ -98,6 +121,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
         name = m["name"]
         if name is None:                                   # a comment or a declaration
             continue
+        stop, end = _tag_end(page, pos, unpaired)
+        rest, pos = page[pos:stop], end
         name = name.lower()
         inline = name in INLINE
         block += not inline
@@ -115,7 +140,6 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
             close = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
             pos = close.end() if close else len(page)
             continue
-        rest = m["rest"]
         if name in SELF_ENDING:
             while open_ and (open_[-1][0] == name or open_[-1][0] in INLINE):
                 close_last()
@@ -137,12 +161,12 @@ def page_counts(page: str) -> tuple[Counter, Counter]:
         if kind == "word":
             (inside if marked and not aside else outside)[kind] += len(text.split())
         elif not aside:
-            (inside if marked else outside)[kind] += 1
+            (inside if marked or kind in MARKS else outside)[kind] += 1
     return (inside, outside) if inside["word"] else (Counter(), Counter())
 
 
 def learn_weights(pages: DataFrame, payload_col: str = "html") -> dict[str, float]:
-    """Weights from all pages that mark their content: the log odds of a token inside it, words above zero, tags below.
+    """Weights from all pages that mark their content: the log odds of a token inside it, words and marks above zero, other tags below.
 
     What is gathered has one row per kind of token, of which there are fewer than 300.
     """
@@ -163,7 +187,10 @@ def learn_weights(pages: DataFrame, payload_col: str = "html") -> dict[str, floa
     out = {}
     for r in found:
         odds = math.log((r["i"] + 1) / (total_in + 1)) - math.log((r["o"] + 1) / (total_out + 1))
-        out[r["kind"]] = min(max(odds, LEAST), MOST) if r["kind"] == "word" else max(min(odds, -LEAST), -MOST)
+        if r["kind"] in ("word", *MARKS):
+            out[r["kind"]] = min(max(odds, LEAST_WORD if r["kind"] == "word" else LEAST), MOST)
+        else:
+            out[r["kind"]] = max(min(odds, -LEAST), -MOST)
     return out
 
 
@@ -185,18 +212,14 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
         return ""
     held = list(tokens(page))
     word, scores = weights.get("word", WORD_WEIGHT), []
-    labelled = any(kind in MARKS for kind, *_ in held)     # the page itself says where its content is
-    for kind, text, marked, aside, _ in held:
+    for kind, text, _, aside, _ in held:
         if kind == "word":
             # menus, adverts and the like are never content: an article goes on behind them
-            n = 0 if aside else len(text.split())
-            scores.append(word * n if marked or not labelled else -word * n)
-        elif marked:
-            scores.append(-1e-9)                           # tags of the marked content part nothing
-        elif aside:
-            scores.append(-LEAST)
+            scores.append(0.0 if aside else word * len(text.split()))
+        elif aside or kind in RAW:
+            scores.append(-LEAST)                          # a script, say, may stand anywhere in a text
         else:
-            scores.append(weights.get(kind, -LEAST if kind.lstrip("/") in FLOWING else TAG_WEIGHT * word))
+            scores.append(weights.get(kind, LEAST if kind in MARKS else -LEAST if kind.lstrip("/") in FLOWING else TAG_WEIGHT * word))
     low, high = best_region(scores)
     if low == high:
         return ""
@@ -214,7 +237,9 @@ def extract_text(pages: DataFrame, weights: dict[str, float], payload_col: str =
     """``pages`` plus ``_text``: the whole main text of each page.
 
     A null or empty page, and one without a word outside menus, adverts and
-    the like, gives an empty text; so does one whose ``article`` is empty.  Of regions that tie, the first is taken.
+    the like, gives an empty text.  An ``article`` or ``main`` element is a
+    token with a learned weight above zero and decides nothing by itself.  Of
+    regions that tie, the first is taken.  Time is linear in the page's length.
     Character references are decoded after the markup is gone; white space in
     a block is one space.  Repeated rows get the same text; an empty table
     gives an empty table.

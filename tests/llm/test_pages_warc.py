@@ -2,11 +2,13 @@
 
 import base64
 import hashlib
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from govlens.llm import pages, warc
+from govlens.llm import pages, queries, warc
 
 ARTICLE = "<article><h1>Head line</h1><p><b>One &amp; two\n three<br>four</b></p><p>Five</p></article>"
 PAGE = f"""<!DOCTYPE html><html><head><title>Head line</title><style>p{{x}}</style><script>var t="</p>";</script></head>
@@ -34,16 +36,21 @@ def test_unmarked_page_by_weights(spark):
     rows = [(i, PAGE.replace("Five", " ".join(f"word{j}" for j in range(40 + i)))) for i in range(20)] + [(99, None), (98, "")]
     df = spark.createDataFrame(rows, "page_id long, html string")
     w = pages.learn_weights(df)
-    assert w["word"] > 0 and all(v < 0 for k, v in w.items() if k != "word")
+    assert w["word"] > 0 and w["article"] > 0 and all(v < 0 for k, v in w.items() if k not in ("word", "article"))
+    # the mark is one weight among others: without it, or around something short, the text is the same
+    whole = rows[-3][1]
+    assert pages.extract(whole, w) == pages.extract(whole.replace("article>", "div>"), w) == pages.extract(
+        whole.replace("article>", "div>").replace("<div class=\"ad\">Buy it now.</div>", "<article><p>A teaser card.</p></article>"), w)
     body = " ".join(f"text{i}" for i in range(60))
     page = f"<body><header><b>Site name</b></header><table><tr><td>x</td></tr></table><h1>Title words</h1><p>{body}</p><p>{body} end</p><footer>f</footer></body>"
     assert pages.extract(page, w) == f"Title words\n{body}\n{body} end"
 
 
 @pytest.mark.parametrize("page,text", [
-    (None, ""), ("", ""), ("<article></article><p>other</p>", ""), ("just words", "just words"), ("<p>a<b>c</p><p>d e f g</b>h</p>", "ac\nd e f gh"),
+    (None, ""), ("", ""), ("<article></article><p>other</p>", "other"), ("just words", "just words"), ("<p>a<b>c</p><p>d e f g</b>h</p>", "ac\nd e f gh"),
     ("<article><p>a&nbsp;&lt;b&gt; &#233;&eacute;</p></article>", "a <b> éé"), ("<article>x < y</article>", "x < y"),
-    ("<article><p>" + "w " * 100_000 + "</p></article>", ("w " * 100_000).strip()), ("<nav>only a menu</nav>", ""), ("<article><p>a" + "<div>" * 3000 + "b", "a\nb"),
+    ("<article><p>" + "w " * 100_000 + "</p></article>", ("w " * 100_000).strip()), ("<nav>only a menu</nav>", ""), ("<article><p>a" + "<div>" * 3000 + "b", "a"), ("<p class='x>one</p><p>two</p>", "one\ntwo"),
+    ('<p title="a>b">one</p>', "one"), ("<p title='a\">one</p>", "one"), ("<a href=x", ""),
 ])
 def test_page_edges(page, text):
     assert pages.extract(page, {}) == text
@@ -55,6 +62,60 @@ def test_best_region():
     assert pages.best_region([1, -1, 1]) == (0, 1)
 
 
+def test_best_region_is_the_best():
+    rng = random.Random(6)
+    for _ in range(400):
+        s = [rng.choice([-2.0, -1.0, -0.5, 0.5, 1.0, 3.0]) for _ in range(rng.randrange(14))]
+        sums = {(a, b): sum(s[a:b]) for a in range(len(s)) for b in range(a + 1, len(s) + 1)}
+        most = max(sums.values(), default=0)
+        if most <= 0:
+            assert pages.best_region(s) == (0, 0)
+            continue
+        low, high = pages.best_region(s)
+        first = min(b for (a, b), x in sums.items() if x == most)          # where a best range first ends
+        assert sums[low, high] == most and high >= first and all(sums[low, high] > sums[a, b] for a, b in sums if b < first)
+
+
+def test_region_of_random_tokens():
+    """What is extracted is made of whole blocks, each touched by a best range of the tokens' scores."""
+    rng, w = random.Random(7), {"word": 1.0, "p": -0.05, "/p": -0.05, "div": -2.0, "/div": -2.0, "li": -1.0, "/li": -1.0}
+    for _ in range(300):
+        parts = [rng.choice(["<p>", "</p>", "<div>", "</div>", "<li>", "</li>", "one two three", "four", "<nav>menu here</nav>", "<script>x y</script>"])
+                 for _ in range(rng.randrange(12))]
+        held = list(pages.tokens("".join(parts)))
+        score = [0.0 if k == "word" and off else float(len(t.split())) if k == "word" else -0.05 if off or k in pages.RAW else w.get(k, -1.0)
+                 for k, t, _, off, _ in held]
+        best = max((sum(score[a:b]) for a in range(len(score)) for b in range(a + 1, len(score) + 1)), default=0)
+        got = pages.extract("".join(parts), w)
+        if best <= 0:
+            assert got == ""
+            continue
+        blocks = {}
+        for k, t, _, off, b in held:
+            if k == "word" and not off and t.strip():
+                blocks[b] = blocks.get(b, "") + t
+        kept = got.split("\n")
+        order = list(blocks.values())
+        assert any(order[i:i + len(kept)] == kept for i in range(len(order)))          # consecutive blocks of text
+        assert sum(len(x.split()) for x in kept) >= best - 1e-9
+
+
+@pytest.mark.parametrize("page", ['<a "x ' * 170_000 + "'", "<a 'x" * 200_000, '<a href="x>' * 90_000, "<!--" * 250_000, "<" * 500_000, "</p" * 300_000])
+def test_hostile_pages_take_linear_time(page):
+    begun = time.process_time()
+    pages.extract(page, {})
+    assert time.process_time() - begun < 2
+
+
+def test_query(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", PAGE) for i in range(5)] + [(7, None, None), (None, "u", ""), (8, "u", "<p>é 𝔘")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    out = queries.REGISTRY["op5_html_extraction"][0](spark, str(tmp_path))
+    assert out.dtypes == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    want = [(i, f"http://h/{i}", TEXT, len(TEXT)) for i in range(5)] + [(7, None, "", 0), (None, "u", "", 0), (8, "u", "é 𝔘", 3)]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (None, None, None)], "page_id long, url string, html string") \
         .withColumn("_row", F.lit(1)).withColumn("_page", F.lit(2))
