@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from govlens.llm import queries
 from tests.llm.test_near_dups import plain_fingerprint
-from tests.llm.test_packing_langid import language_docs
+from tests.llm.test_langid import language_docs
 
 
 def corpus(spark, path, rows, items):
@@ -53,5 +53,5 @@ def test_empty_corpus(spark, tmp_path):
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in queries.REGISTRY] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.REGISTRY] == [f"op{i}" for i in range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing"]
