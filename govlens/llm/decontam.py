@@ -18,7 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlens.llm.common import bounded_batches, held, released, table
+from pyspark.sql.window import Window
+
+from govlens.llm.common import bounded_batches, released, row_key, table, written
+from govlens.session import shared_path
 
 _OTHER = re.compile(r"[\W_]+")
 
@@ -172,45 +175,86 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     that repeat an id or a text are found each for itself; an empty table of
     items leaves every array empty.
 
-    Documents are not moved.  Items are taken to the workers in blocks of
-    ``block_chars`` characters at most (one item, if that is longer), each
-    block in a column of its own, so a broadcast has a fixed bound whatever the
-    number of items is.
+    Items are numbered into blocks of about ``block_chars`` characters in
+    Spark.  Each block makes one pass over the documents, which are not moved:
+    what it finds is written, and joined to the documents at the end.  The
+    driver and a worker hold one block, whatever the number of items is.
     """
     kind = items.schema[item_col].dataType
-    hits = T.ArrayType(T.StructType().add("item", kind).add("distance", T.IntegerType())
+    found = find_hits(docs, items, text_col, item_col, item_text_col, error_rate, block_chars)
+    none = F.from_json(F.lit("[]"), hits_type(kind))
+    keyed = docs.select(*_keys(docs), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    if found is None:
+        return keyed.select(*released(docs.columns, _hits=none))
+    all_of = found.dropDuplicates(["_k1", "_k2", "_block"]).groupBy("_k1", "_k2") \
+        .agg(F.sort_array(F.flatten(F.collect_list("hits"))).alias("_found"))       # a document's own hits
+    return keyed.join(all_of, ["_k1", "_k2"], "left").select(*released(docs.columns, _hits=F.coalesce("_found", none)))
+
+
+def hits_type(kind: T.DataType) -> T.ArrayType:
+    return T.ArrayType(T.StructType().add("item", kind).add("distance", T.IntegerType())
                        .add("start", T.IntegerType()).add("end", T.IntegerType()))
 
-    def blocks() -> Iterator[list]:
-        held, size = [], 0
-        for ident, text in items.select(item_col, item_text_col).orderBy(item_col).toLocalIterator():
-            t = normalize(text)
-            if not t.strip():
-                continue
-            if held and size + len(t) > block_chars:
-                yield held
-                held, size = [], 0
-            held.append((ident, t))
-            size += len(t)
-        if held:
-            yield held
-
-    def finder(block):
-        @F.pandas_udf(hits)
-        def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def _keys(docs: DataFrame) -> list:
+    """A key of a row's content; only rows that repeat whole share one."""
+    return row_key(*[f"`{f.name}`" for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
+def item_blocks(items: DataFrame, item_col: str, item_text_col: str, block_chars: int, part_blocks: int = 64) -> DataFrame:
+    """``_block, ident, text`` of all items with a letter or digit, written by block.
+
+    Prefix sums of the items' lengths, in parts of ``part_blocks`` blocks or so
+    by a hash, give the blocks: one of them holds the items that begin within
+    its ``block_chars`` characters.
+    """
+    @F.pandas_udf(T.StringType())
+    def normal(s: pd.Series) -> pd.Series:
+        return pd.Series([normalize(t) for t in s.where(s.notna(), None)], index=s.index, dtype=object)
+
+    src = items.select(F.col(item_col).alias("ident"), normal(item_text_col).alias("text")).where("trim(text) <> ''")
+    src = written(src.withColumn("_at", F.monotonically_increasing_id()), "benchmark-items")
+    chars = src.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(1, -(-chars // (part_blocks * block_chars)))
+    sizes = src.select("_at", F.length("text").alias("n"), F.pmod(F.xxhash64("_at"), F.lit(parts)).alias("_part"))
+    before = F.sum("n").over(Window.partitionBy("_part").orderBy("_at")) - F.col("n")
+    of = sizes.select("_at", F.concat_ws("-", "_part", F.floor(before / block_chars)).alias("_block"))
+    path = shared_path(items.sparkSession, "benchmark-blocks")
+    out = src.join(of, "_at").drop("_at")
+    out.repartition("_block").write.partitionBy("_block").parquet(path)
+    return items.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+              error_rate: float = 0.1, block_chars: int = 4_000_000) -> DataFrame | None:
+    """``_k1, _k2, _block, hits`` for the documents that hold items of a block, written; None without items.
+
+    One job for each block, of one and the same plan.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    blocks = item_blocks(items, item_col, item_text_col, block_chars)
+    hits = hits_type(items.schema[item_col].dataType)
+    src = docs.select(*_keys(docs), F.col(f"`{text_col}`").alias("_text"))
+    schema = f"_k1 long, _k2 long, _block string, hits {hits.simpleString()}"
+    path, first = shared_path(spark, "benchmark-hits"), True
+
+    def finder(name: str, block: list):
+        def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             matcher = Matcher(block, error_rate)
-            for s in batches:
-                yield pd.Series([[dict(zip(("item", "distance", "start", "end"), h, strict=True)) for h in matcher.find(t)]
-                                 for t in s.where(s.notna(), None)], index=s.index, dtype=object)
+            for b in batches:
+                rows = []
+                for k1, k2, t in zip(b["_k1"], b["_k2"], b["_text"]):
+                    if (got := matcher.find(t)):
+                        rows.append((k1, k2, name, [dict(zip(("item", "distance", "start", "end"), h, strict=True)) for h in got]))
+                yield pd.DataFrame(rows, columns=["_k1", "_k2", "_block", "hits"])
         return find
 
-    bounded_batches(docs.sparkSession)
-    out, names = held(docs, _text=text_col), []
-    for i, block in enumerate(blocks()):
-        names.append(f"_hits{i}")
-        out = out.withColumn(names[-1], finder(block)(F.col("_text")))
-    none = F.from_json(F.lit("[]"), hits)
-    return out.select(*released(docs.columns, _hits=F.concat(*names) if names else none))
+    for name in sorted(r[0] for r in blocks.select("_block").distinct().collect()):      # a name per block
+        block = [(r[0], r[1]) for r in blocks.where(F.col("_block") == name).select("ident", "text").collect()]
+        src.mapInPandas(finder(name, block), schema).write.mode("overwrite" if first else "append").parquet(path)
+        first = False
+    return None if first else spark.read.schema(schema).parquet(path)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
