@@ -20,10 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from govlens.functions.lookup import hot_keys, spread_lookup
 from govlens.llm.common import bounded_batches, held, released, row_key, table, written
 from govlens.llm.components import connected_components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Variants that one task emits, and parts of a group of linked fingerprints.
+VARIANTS_A_TASK, GROUP_PARTS = 2_000_000, 32
 #: Shingles whose bits are counted at a time.
 _CHUNK = 1 << 15
 
@@ -92,24 +95,26 @@ def near_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits must be 0 to 3")
-    itself, one = F.array("f"), _flips(F.col("f"), 0, 64)
-    odd = F.bit_count("f") % 2 == 1
-    none = F.slice(itself, 1, 0)
-    inner, outer = itself, none                              # a narrow ball of radius 0
-    if max_bits == 1:
-        outer = F.when(odd, one).otherwise(none)
-    elif max_bits >= 2:
-        inner = F.concat(itself, one)
+    # a variant is known by its number, so that two numbers travel and not two fingerprints: one is random, one small
+    masks = [0]
+    if max_bits:
+        masks += [_bit(i) for i in range(64)]
+    narrow = 1 if max_bits <= 1 else 65                      # variants of the narrow ball come first
     if max_bits == 3:
         # two of three differing bits are in the same half: pairs of bits across the halves aren't needed
-        masks = F.lit([_bit(i) ^ _bit(j) for h in (0, 32) for i in range(h, h + 32) for j in range(i + 1, h + 32)])
-        outer = F.when(odd, F.transform(masks, lambda m: F.col("f").bitwiseXOR(m))).otherwise(none)
-    balls = prints.select("f", F.explode(inner).alias("k")).withColumn("near", F.lit(True)) \
-        .unionByName(prints.select("f", F.explode(outer).alias("k")).withColumn("near", F.lit(False)))
+        masks += [_bit(i) ^ _bit(j) for h in (0, 32) for i in range(h, h + 32) for j in range(i + 1, h + 32)]
+    every = F.lit(masks)
+    odd = F.bit_count("f") % 2 == 1
+    ball = F.transform(F.when(odd, every).otherwise(F.slice(every, 1, F.lit(narrow))), lambda m: F.col("f").bitwiseXOR(m))
+    # a small table becomes hundreds of rows for each of its rows: as many tasks as those need
+    rows = prints.count() * (len(masks) + narrow) // 2
+    parts = max(1, -(-rows // VARIANTS_A_TASK))
+    balls = prints.repartition(parts, "f").select(F.posexplode(ball).alias("v", "k"))
+    met = balls.withColumn("f", F.col("k").bitwiseXOR(F.element_at(every, F.col("v") + 1)))
     # A variant has at most 2,081 fingerprints within two bits, so a window over its bucket is bounded.  Members of
     # the narrow ball differ from each other in two bits at most, so the least of them stands for all.
-    hub = F.min(F.when(F.col("near"), F.col("f"))).over(Window.partitionBy("k"))
-    met = balls.withColumn("a", hub).where("a <> f").select("a", F.col("f").alias("b")).distinct()
+    hub = F.min(F.when(F.col("v") < narrow, F.col("f"))).over(Window.partitionBy("k"))
+    met = met.withColumn("a", hub).where("a <> f").select("a", F.col("f").alias("b")).distinct()
     return met.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
 
 
@@ -133,11 +138,20 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bounded_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     at = written(src.select(*row_key("id", "text"), "id", fingerprints(F.col("text"), words).alias("fingerprint")), "simhash-prints")
-    of = fingerprint_components(at.select(F.col("fingerprint").alias("f")).distinct(), max_bits)
-    at = at.join(of, at["fingerprint"] == of["f"], "left") \
-        .withColumn("group", F.coalesce("component", "fingerprint")).drop("f", "component")
-    least = at.groupBy("group").agg(F.min("id").alias("component"))
-    return at.join(least, "group")
+    # copies collapse first: what is grouped and joined has a row per fingerprint
+    prints = written(at.groupBy("fingerprint").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
+    of = fingerprint_components(prints.select(F.col("fingerprint").alias("f")), max_bits)
+    linked = prints.join(of, prints["fingerprint"] == of["f"]).select("fingerprint", "least", F.col("component").alias("group")) \
+        .withColumn("salt", F.pmod(F.xxhash64("fingerprint"), F.lit(GROUP_PARTS)).cast("int"))
+    # a group of many different fingerprints is reduced, and told its least id, in parts
+    least = linked.groupBy("group", "salt").agg(F.min("least").alias("least")).groupBy("group").agg(F.min("least").alias("component")) \
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1))))
+    told = linked.join(least, ["group", "salt"]).select(F.col("fingerprint").alias("f"), "group", "component")
+    groups = prints.join(told, prints["fingerprint"] == told["f"], "left") \
+        .select("fingerprint", F.coalesce("group", "fingerprint").alias("group"), F.when(F.col("f").isNull(), F.col("least"))
+                .otherwise(F.col("component")).alias("component"))
+    groups = written(groups, "simhash-groups")
+    return spread_lookup(at, groups, ["fingerprint"], ["group", "component"], hot_keys(prints, ["fingerprint"], "n"), ["_k1", "_k2", "id"])
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
