@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlens.llm.common import bounded_batches, table
+from govlens.llm.common import bounded_batches, table, written
 from govlens.session import shared_path
 
 CRLF = "\r\n"
@@ -149,7 +149,8 @@ def resolve(spark: SparkSession, path: str) -> DataFrame:
     Bodies are verified against address and digest; a record that doesn't fit,
     or a revisit whose response is missing or has another digest, fails the job.
     """
-    rec = read_records(spark, path).withColumn("p", _parsed("record", "sha256")).select("page_id", "p.*")
+    # payloads are read, unpacked and verified once; what revisits and responses are joined by is narrow
+    rec = written(read_records(spark, path).withColumn("p", _parsed("record", "sha256")).select("page_id", "p.*"), "warc-parsed")
     rec = rec.withColumn("checked", F.when(~F.col("sound"), F.raise_error(
         F.concat(F.lit("damaged record "), "id"))).otherwise(F.lit(True).cast("boolean")))
     ids = records_id_type(spark, path)
