@@ -25,8 +25,8 @@ from govlens.llm.common import bounded_batches, per_worker, row_key, table, writ
 
 #: Entries of the token cache, and the longest piece that is kept in it.
 CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 64
-#: Parts into which the pieces of one length are split to rank them.
-RANK_PARTS = 64
+#: Pieces of one length that are ranked together; a length that has more is split into parts.
+RANK_ROWS = 50_000
 
 _LETTERS, _MARKS = "a-zß-öø-ÿ", r"""!"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"""
 
@@ -230,8 +230,9 @@ def place(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     """``pieces`` (with length, and _k1, _k2, piece to order them) plus sequence_id and offset.
 
     ``pieces`` is read three times and should be a written table.  The driver
-    gets one number per length; the pieces of one length are ranked in
-    ``RANK_PARTS`` parts, so a length that a third of all pieces have is spread.
+    gets one number per length; the pieces of one length are ranked in parts of
+    about ``RANK_ROWS``, so a length that a third of all pieces have is spread
+    over as many tasks as it needs.
     """
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}      # capacity rows at most
     length, first, base, offset = _places(plan(counts, capacity))
@@ -247,7 +248,8 @@ def place(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
             out[:, at] = base[k] + rank[at] - first[k], offset[k]
         return pd.DataFrame({"sequence_id": out[0], "offset": out[1]})
 
-    part = F.pmod(F.xxhash64("_k1", "_k2", "piece"), F.lit(RANK_PARTS))
+    parts = F.lit([max(1, -(-counts.get(x, 0) // RANK_ROWS)) for x in range(1, capacity + 1)])
+    part = F.pmod(F.xxhash64("_k1", "_k2", "piece"), F.element_at(parts, F.col("length").cast("int")))
     src = pieces.withColumn("_part", part)
     before = src.groupBy("length", "_part").count().select(
         "length", "_part", (F.sum("count").over(Window.partitionBy("length").orderBy("_part")) - F.col("count")).alias("_before"))
