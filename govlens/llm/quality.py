@@ -44,14 +44,15 @@ def _kind(c: str) -> int:
 class Reader:
     """Figures of texts from figures of their words, which are worked out once and kept while there is room."""
 
-    def __init__(self):
+    def __init__(self, hashes: bool = False):
         self._kinds = np.full(0x110000, 255, dtype=np.uint8)
+        self._hashes = hashes                               # whether words' own hashes are wanted
         self._forget()
 
     def _forget(self) -> None:
         self._known: dict[str, int] = {}
         self._shapes: dict[bytes, int] = {}
-        self._table = np.empty((0, len(KINDS) + 1), dtype=np.int64)      # characters of each kind, shape
+        self._table = np.empty((0, len(KINDS) + 2), dtype=np.int64)      # characters of each kind, hash, shape
 
     def shapes(self) -> list[bytes]:
         return list(self._shapes)
@@ -71,16 +72,17 @@ class Reader:
         run[starts] = True
         raw = np.frombuffer(KINDS.encode(), dtype=np.uint8)[kinds[run]].tobytes()
         ends = np.add.reduceat(run, starts, dtype=np.int64).cumsum().tolist()
-        shapes = [self._shapes.setdefault(raw[a:min(b, a + 12)], len(self._shapes)) for a, b in zip([0, *ends], ends)]
+        shapes = [self._shapes.setdefault(raw[a:b], len(self._shapes)) for a, b in zip([0, *ends], ends)]
+        hashes = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 1) >> 1 for w in words] if self._hashes else [0] * len(words)
         at = len(self._known)
         self._known.update(zip(words, range(at, at + len(words))))
         if at + len(words) > len(self._table):              # grows by doubling
-            more = np.empty((max(at + len(words), 2 * at) - at, len(KINDS) + 1), dtype=np.int64)
+            more = np.empty((max(at + len(words), 2 * at) - at, len(KINDS) + 2), dtype=np.int64)
             self._table = np.concatenate([self._table[:at], more])
-        self._table[at:at + len(words)] = np.column_stack([sums, shapes])
+        self._table[at:at + len(words)] = np.column_stack([sums, hashes, shapes])
 
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """Per text its votes, and the shapes of its words with their counts."""
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+        """Per text its figures, and the shapes and hashes of its words with their counts."""
         split = [(t or "").split() for t in texts]
         sets = [set(w) for w in split]
         new = set().union(*sets).difference(self._known)
@@ -92,12 +94,13 @@ class Reader:
         figures, shapes = np.zeros((len(texts), 11)), []
         for i, (text, words, distinct) in enumerate(zip(texts, split, sets, strict=True)):
             of = self._table[np.fromiter(map(self._known.__getitem__, words), dtype=np.int64, count=len(words))]
-            kinds = of[:, :-1].sum(axis=0)
+            kinds = of[:, :-2].sum(axis=0)
+            kinds[6] += (text or "").count("\t")            # words are split at tabs, which part columns as bars do
             lines = (text or "").split("\n")
             n, w = max(1, len(text or "")), max(1, len(words))
             figures[i] = (kinds[4] / n, kinds[1] / n, kinds[5] / w, kinds[6] / w, kinds[7] / w, len(distinct) / w,
                           n / w, 1 - len(set(lines)) / len(lines), len(words), len(lines), 0)
-            shapes.append(np.unique(of[:, -1], return_counts=True))
+            shapes.append((*np.unique(of[:, -1], return_counts=True), *(np.unique(of[:, -2], return_counts=True) if self._hashes else ())))
         return figures, shapes
 
 
@@ -184,10 +187,15 @@ class VoteModel:
         """How likely each pattern is a good document."""
         return self.responsibilities(patterns)[:, 0]
 
-    def accuracy(self) -> dict[str, float]:
-        """How often a vote of each heuristic is right: for a good document, or against its own fault, in equal parts."""
+    def accuracy(self) -> dict[str, float | None]:
+        """How often a vote of each heuristic is right: for a good document, or against its own fault, in equal parts.
+
+        None where the documents don't tell: the estimate is one of the bounds that were set beforehand.
+        """
         own = np.arange(len(self.names))
-        return dict(zip(self.names, ((1 - self.against[0] + self.against[own + 1, own]) / 2).tolist(), strict=True))
+        false, found = self.against[0], self.against[own + 1, own]
+        told = (false < MOST_FALSE) & (found > LEAST_FOUND)
+        return {n: float((1 - f + g) / 2) if t else None for n, f, g, t in zip(self.names, false, found, told, strict=True)}
 
 
 def vote_model(docs: DataFrame, text_col: str = "text") -> VoteModel | None:
@@ -211,10 +219,10 @@ def vote_model(docs: DataFrame, text_col: str = "text") -> VoteModel | None:
 
 
 class Hasher:
-    """Hashed features of texts: the share of each word shape, and bands of a few whole-text figures."""
+    """Hashed features of texts: the shares of each word and of each word shape, and bands of a few whole-text figures."""
 
     def __init__(self, dimensions: int):
-        self.dimensions, self.reader = dimensions, Reader()
+        self.dimensions, self.reader = dimensions, Reader(hashes=True)
 
     def _at(self, feature: str) -> int:
         return xxhash.xxh64_intdigest(feature, 0) % self.dimensions
@@ -224,14 +232,17 @@ class Hasher:
         figures, shapes = self.reader.read(texts)
         of = np.array([self._at(f"shape {x.decode()}") for x in self.reader.shapes()], dtype=np.int64)
         rows = []
-        for (kind, n), f in zip(shapes, figures, strict=True):
+        for (kind, n, word, times), f in zip(shapes, figures, strict=True):
             extra = []
             if f[9] >= 4:
                 extra.append(f"lines {int(8 * (1 - f[7]))}")
             if f[8] >= 30:
                 extra.append(f"variety {int(10 * f[5])}")
-            index = np.concatenate([of[kind], np.array([self._at(x) for x in extra], dtype=np.int64)])
-            value = np.concatenate([np.sqrt(n / max(1, f[8])), np.full(len(extra), 0.5)])
+            if f[8] >= 5:
+                extra += [f"{k} {min(int(50 * x), 20)}" for k, x in zip(("symbols", "upper", "bars"), (f[0], f[1], f[3]))]
+                extra += [f"calls {min(int(10 * f[2]), 10)}", f"stops {min(int(20 * f[4]), 20)}", f"length {min(int(f[6]), 20)}"]
+            index = np.concatenate([of[kind], word % self.dimensions, np.array([self._at(x) for x in extra], dtype=np.int64)])
+            value = np.concatenate([np.sqrt(n / max(1, f[8])), np.sqrt(times / max(1, f[8])), np.full(len(extra), 0.5)])
             index, where = np.unique(index, return_inverse=True)
             rows.append((index, np.bincount(where, value, len(index))))
         return votes_of(figures), rows
@@ -244,10 +255,10 @@ class Scorer:
 
     @classmethod
     def fit(cls, rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, dimensions: int,
-            steps: int = 300, rate: float = 2.0, decay: float = 1e-4) -> Scorer:
+            steps: int = 200, rate: float = 2.0, decay: float = 1e-4) -> Scorer:
         """Logistic regression on soft labels, by gradient steps whose sizes adapt to each weight."""
-        index = np.concatenate([r[0] for r in rows])
-        value = np.concatenate([r[1] for r in rows])
+        index = np.concatenate([r[0] for r in rows]).astype(np.int32)
+        value = np.concatenate([r[1] for r in rows]).astype(np.float32)
         of = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
         w, b, seen = np.zeros(dimensions), 0.0, np.full(dimensions + 1, 1e-8)
         for _ in range(steps):
@@ -264,7 +275,7 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(self.weights[row[0]] @ row[1] + self.bias, -30, 30))))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensions: int = 1 << 14,
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensions: int = 1 << 18,
           max_rows: int = 20_000) -> tuple[VoteModel, Scorer] | None:
     """The vote model of all documents, and a scorer fitted to ``max_rows`` of them at most, taken by a hash.
 
@@ -283,9 +294,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimen
             texts = b["text"].where(b["text"].notna(), None).to_list()
             for part in parts_of(texts):
                 votes, rows = features(texts[part])
-                yield pd.DataFrame({"index": [r[0] for r in rows], "value": [r[1] for r in rows], "votes": list(votes)})
+                yield pd.DataFrame({"index": [r[0].astype(np.int32) for r in rows], "value": [r[1].astype(np.float32) for r in rows], "votes": list(votes)})
 
-    got = some.select("text").mapInPandas(run, "index array<long>, value array<double>, votes array<long>").toPandas()
+    got = some.select("text").mapInPandas(run, "index array<int>, value array<float>, votes array<long>").toPandas()
     good = model.posterior(np.stack(got["votes"].to_list()).astype(np.int64))
     rows = list(zip(got["index"], got["value"], strict=True))
     return model, Scorer.fit(rows, good, dimensions)
