@@ -27,7 +27,7 @@ def spread_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], values: lis
                   spread: list[str]) -> DataFrame:
     """``df`` and, for each row, the ``values`` that ``lookup`` (one row per key) has for it; NULL without one.
 
-    ``keys`` are two columns of 64-bit hashes, never NULL.  Rows of ``hot``
+    ``keys`` are columns of 64-bit numbers, never NULL.  Rows of ``hot``
     keys (see ``hot_keys``) are answered where they are, from a broadcast of
     as many rows; in the one exchange that all rows take part in, they go by
     the hash of their ``spread`` columns, so no task gets a hot key's rows.
@@ -39,7 +39,7 @@ def spread_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], values: lis
     first = F.when(cold, F.col(keys[0])).otherwise(F.xxhash64(*[F.col(f"`{c}`") for c in spread]))
     far = lookup.select(*[F.col(k).alias(f"_far_{k}") for k in keys], F.lit(True).alias("_far_cold"), F.struct(*values).alias("_far"))
     out = near.withColumn("_to", first).withColumn("_cold", cold) \
-        .join(far, [F.col("_to") == F.col(f"_far_{keys[0]}"), F.col(keys[1]) == F.col(f"_far_{keys[1]}"),
+        .join(far, [F.col("_to") == F.col(f"_far_{keys[0]}"), *[F.col(k) == F.col(f"_far_{k}") for k in keys[1:]],
                     F.col("_cold") == F.col("_far_cold")], "left")
     found = F.coalesce("_near", "_far")
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[found[v].alias(v) for v in values])
