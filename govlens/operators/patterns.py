@@ -134,6 +134,11 @@ def pattern_counts(df: DataFrame, time_col: str = "timestamp", p: RuleParams = R
     return df.groupBy(dept.alias("department"), role.alias("requester_role")).agg(*aggs)
 
 
+def written_grid(df: DataFrame, time_col: str = "timestamp", p: RuleParams = RuleParams()) -> DataFrame:
+    """``pattern_counts``, written: a row per department and role that any number of rules can read."""
+    return cut_lineage(pattern_counts(df, time_col, p), "table", "pattern-grid")
+
+
 def _grid(df: DataFrame, grid: DataFrame | None, time_col: str, p: RuleParams) -> DataFrame:
     return grid if grid is not None else pattern_counts(df, time_col, p)
 
@@ -205,10 +210,10 @@ def pat_business_hours_dept(df: DataFrame, department: str = "IT", time_col: str
 
 
 def approval_patterns(df: DataFrame, time_col: str = "timestamp", department: str = "IT",
-                      p: RuleParams = RuleParams()) -> DataFrame:
+                      p: RuleParams = RuleParams(), grid: DataFrame | None = None) -> DataFrame:
     """The four rules in order, with the rule number and the number found;
-    all four read one shared grid of counts (one scan of ``df``)."""
-    g = cut_lineage(pattern_counts(df, time_col, p), "checkpoint")     # one row per department x role
+    all four read one shared grid of counts: ``grid``, or one scan of ``df``."""
+    g = grid if grid is not None else written_grid(df, time_col, p)
     parts = [pat_top_dept_reject(df, p, g), pat_after_hours_low_freq(df, time_col, p, grid=g),
              pat_manager_low_risk(df, p=p, grid=g), pat_business_hours_dept(df, department, time_col, p, grid=g)]
     u = reduce(lambda a, b: a.unionByName(b),
@@ -260,12 +265,12 @@ def pat_low_frequency(df: DataFrame, p: RuleParams = RuleParams(), min_n: int =
 
 
 def decision_patterns(df: DataFrame, time_col: str = "timestamp", top: int = 10,
-                      low_freq_min_rate: float = 60, p: RuleParams = RuleParams()) -> DataFrame:
+                      low_freq_min_rate: float = 60, p: RuleParams = RuleParams(), grid: DataFrame | None = None) -> DataFrame:
     """All four rules, strongest first (distance of the share from 50 %),
     first ``top``; ``total_patterns`` is the number found before the cut.
-    One scan of ``df`` builds the shared grid; the union has one row per
-    department/role at most, so the final sort and count are bounded."""
-    g = cut_lineage(pattern_counts(df, time_col, p), "checkpoint")
+    They read ``grid``, or one scan of ``df`` builds it; the union has one row
+    per department/role at most, so the final sort and count are bounded."""
+    g = grid if grid is not None else written_grid(df, time_col, p)
     parts = [pat_dept_reject(df, p, grid=g), pat_after_hours(df, time_col, p, grid=g),
              pat_role_low_risk(df, p, grid=g), pat_low_frequency(df, p, min_rate=low_freq_min_rate, grid=g)]
     u = reduce(lambda a, b: a.unionByName(b),

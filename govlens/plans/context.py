@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from govlens.operators.features import FeatureFrame, clean_all, process_pipeline, with_label
+from govlens.operators.patterns import written_grid
 from govlens.session import cut_lineage
 from govlens.sources.bindings import load_bound_tables
 from govlens.spec import PipelineSpec, binding_spec
@@ -68,6 +69,13 @@ class Context:
                 with_label(self.ff.merged, self.ff.encoding, self.spec.features.target_column), "table", "labeled")
         return self._labeled
 
+    @property
+    def grid(self) -> DataFrame:
+        """The counts that all pattern rules read, taken once a session."""
+        if "grid" not in self.extra:
+            self.extra["grid"] = written_grid(self.labeled, "request_ts")
+        return self.extra["grid"]
+
     def cleaned(self) -> dict[str, DataFrame]:
         return self.ff.cleaned or clean_all(self.tables, self.spec.features)
 

@@ -214,7 +214,7 @@ def q_confidence_errors(ctx):
 
 @query("pattern_top4", O.r6(["probability"], W(*O.LAB) + f"select * from ({DECISION_SQL}) d order by abs(probability - 50) desc, rule, pattern limit 4"))
 def q_pattern_top4(ctx):
-    d = P.decision_patterns(ctx.labeled, "request_ts", low_freq_min_rate=LOW_FREQ_MIN_RATE)
+    d = P.decision_patterns(ctx.labeled, "request_ts", low_freq_min_rate=LOW_FREQ_MIN_RATE, grid=ctx.grid)
     return d.orderBy(F.desc(F.abs(F.col("probability") - 50)), "rule", "pattern").limit(4)
 
 

@@ -171,22 +171,22 @@ def _pat(sql: str) -> str:
 
 @query("pat_top_dept_reject", _pat(TOP_DEPT))
 def q_pat_top_dept_reject(ctx):
-    return P.pat_top_dept_reject(ctx.labeled)
+    return P.pat_top_dept_reject(ctx.labeled, grid=ctx.grid)
 
 
 @query("pat_after_hours_low_freq", _pat(AFTER_LOW))
 def q_pat_after_hours_low_freq(ctx):
-    return P.pat_after_hours_low_freq(ctx.labeled, "request_ts")
+    return P.pat_after_hours_low_freq(ctx.labeled, "request_ts", grid=ctx.grid)
 
 
 @query("pat_manager_low_risk", _pat(MANAGER))
 def q_pat_manager_low_risk(ctx):
-    return P.pat_manager_low_risk(ctx.labeled)
+    return P.pat_manager_low_risk(ctx.labeled, grid=ctx.grid)
 
 
 @query("pat_business_hours_it", _pat(BUSINESS))
 def q_pat_business_hours_it(ctx):
-    return P.pat_business_hours_dept(ctx.labeled, IT_DEPARTMENT, "request_ts")
+    return P.pat_business_hours_dept(ctx.labeled, IT_DEPARTMENT, "request_ts", grid=ctx.grid)
 
 
 def _union(parts: list[str]) -> str:
@@ -196,27 +196,27 @@ def _union(parts: list[str]) -> str:
 @query("approval_patterns", _pat(f"""
 select *, count(*) over () as n_patterns from ({_union([TOP_DEPT, AFTER_LOW, MANAGER, BUSINESS])}) u"""))
 def q_approval_patterns(ctx):
-    return P.approval_patterns(ctx.labeled, "request_ts", IT_DEPARTMENT)
+    return P.approval_patterns(ctx.labeled, "request_ts", IT_DEPARTMENT, grid=ctx.grid)
 
 
 @query("pat_dept_reject", _pat(DEPT_REJ))
 def q_pat_dept_reject(ctx):
-    return P.pat_dept_reject(ctx.labeled)
+    return P.pat_dept_reject(ctx.labeled, grid=ctx.grid)
 
 
 @query("pat_after_hours", _pat(AFTER))
 def q_pat_after_hours(ctx):
-    return P.pat_after_hours(ctx.labeled, "request_ts")
+    return P.pat_after_hours(ctx.labeled, "request_ts", grid=ctx.grid)
 
 
 @query("pat_role_low_risk", _pat(ROLE))
 def q_pat_role_low_risk(ctx):
-    return P.pat_role_low_risk(ctx.labeled)
+    return P.pat_role_low_risk(ctx.labeled, grid=ctx.grid)
 
 
 @query("pat_low_frequency", _pat(LOWF))
 def q_pat_low_frequency(ctx):
-    return P.pat_low_frequency(ctx.labeled, min_rate=LOW_FREQ_MIN_RATE)
+    return P.pat_low_frequency(ctx.labeled, min_rate=LOW_FREQ_MIN_RATE, grid=ctx.grid)
 
 
 DECISION_SQL = f"""
@@ -226,4 +226,4 @@ order by abs(probability - 50) desc, rule, pattern limit 10"""
 
 @query("decision_patterns", _pat(DECISION_SQL))
 def q_decision_patterns(ctx):
-    return P.decision_patterns(ctx.labeled, "request_ts", low_freq_min_rate=LOW_FREQ_MIN_RATE)
+    return P.decision_patterns(ctx.labeled, "request_ts", low_freq_min_rate=LOW_FREQ_MIN_RATE, grid=ctx.grid)
