@@ -77,7 +77,10 @@ def ranked_segments(df: DataFrame, class_col: str | None, order_col: str, tie_co
     offsets = (offsets.withColumn("_s0", segment(F.col("_boff") + 1, F.col("_class_n")))
                       .withColumn("_s1", segment(F.col("_boff") + F.col("_bn"), F.col("_class_n")))
                       .drop("_bn"))
-    # offsets: at most classes x 16**prefix_len rows; null-safe, so that a missing class keeps its rows
+    # offsets: at most classes x 16**prefix_len rows, written so that the planner knows their size and, where they are
+    # small, leaves the rows where they are; null-safe, so that a missing class keeps its rows
+    from govlens.session import cut_lineage
+    offsets = cut_lineage(offsets, "table", "split-offsets")
     right = offsets.select(*[F.col(k).alias(f"_o_{i}") for i, k in enumerate(keys)], "_boff", "_class_n", "_s0", "_s1")
     match = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_o_{i}")) for i, k in enumerate(keys)])
     j = b.join(right, match).drop(*[f"_o_{i}" for i in range(len(keys))])
