@@ -90,8 +90,8 @@ def saved_models(spark: SparkSession, models_dir: str) -> dict[str, TR.TrainResu
 
 
 def best_trained(spark: SparkSession, models: dict[str, TR.TrainResult]) -> DataFrame | None:
-    """The best classifier (or regressor) by its test metric; None when nothing was trained in this run."""
-    for kind, metric, bigger in (("classifier", "accuracy", True), ("regressor", "r2_score", True)):
+    """The best classifier (else regressor, else clustering) by its metric; None when nothing was trained in this run."""
+    for kind, metric in (("classifier", "accuracy"), ("regressor", "r2_score"), ("clustering", "silhouette")):
         rows = [(r.name, i, float(r.metrics[metric])) for i, r in enumerate(models.values())
                 if r.kind == kind and r.metrics.get(metric) is not None]
         if rows:
@@ -126,8 +126,8 @@ def insights_stage(ff: FeatureFrame, spec: PipelineSpec, as_of: str, models: dic
         scored = TR.score_all(models[best].model, ff.features, ff.key_columns)
         out["prediction_distribution"] = S.prediction_distribution(scored)
         out["prediction_confidence"] = S.prediction_confidence(scored)
-    if "kmeans_clustering" in models:
-        assign = models["kmeans_clustering"].extra["assignments"]
+    assign = models["kmeans_clustering"].extra.get("assignments") if "kmeans_clustering" in models else None
+    if assign is not None:                                  # a model saved without its assignments has no clusters to tell of
         out["cluster_distribution"] = S.cluster_distribution(assign)
         out["cluster_profiles"] = S.cluster_profiles(ff.features, assign, ff.feature_columns, ff.key_columns)
     imps = [r.importances for r in models.values() if r.importances is not None]
@@ -145,8 +145,9 @@ def insights_stage(ff: FeatureFrame, spec: PipelineSpec, as_of: str, models: dic
         labeled = with_label(merged, ff.encoding, fs.target_column)
         codes = P.outcome_codes(ff.encoding, fs.target_column) if fs.target_column in ff.encoding.sizes else {}
         rules = P.RuleParams(**codes)
-        out["decision_patterns"] = P.decision_patterns(labeled, fs.time_column, p=rules)
-        out["approval_patterns"] = P.approval_patterns(labeled, fs.time_column, department, p=rules)
+        grid = P.written_grid(labeled, fs.time_column, rules)
+        out["decision_patterns"] = P.decision_patterns(labeled, fs.time_column, p=rules, grid=grid)
+        out["approval_patterns"] = P.approval_patterns(labeled, fs.time_column, department, p=rules, grid=grid)
     if "low_usage_items" in out and "high_risk_users" in out:
         out["insight_summary"] = SU.insight_summary(out["low_usage_items"], out["high_risk_users"])
     return out

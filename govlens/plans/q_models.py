@@ -385,24 +385,55 @@ def regressors(ctx):
     return ctx.extra["regressors"]
 
 
-LINEAR_SQL = O.r6(["coefficient"], W(*O.FEAT) + """,
-s AS (select avg(risk_score) as my, avg(frequency) as m1, avg(seniority_level) as m2, covar_pop(risk_score, frequency) as y1,
-  covar_pop(risk_score, seniority_level) as y2, var_pop(frequency) as s1, var_pop(seniority_level) as s2,
-  covar_pop(frequency, seniority_level) as s12 from features),
-b AS (select *, (y1 * s2 - y2 * s12) / (s1 * s2 - s12 * s12) as b1, (y2 * s1 - y1 * s12) / (s1 * s2 - s12 * s12) as b2 from s)
-select 'frequency' as term, b1 as coefficient from b union all select 'seniority_level', b2 from b
-union all select 'intercept', my - b1 * m1 - b2 * m2 from b""")
+def _linear_sql() -> str:
+    """Least squares over all feature columns by elimination on the training part's normal equations, and its errors on the test part.
+
+    Columns are scaled; one that the columns before it determine gets no coefficient.
+    """
+    cols = [c for c in FL if c != "risk_score"]
+    n = len(cols)
+    cov = ", ".join("[" + ", ".join(f"covar_pop({a}, {b})" for b in [*cols, "risk_score"]) + "]" for a in cols)
+    return W(*O.FEAT).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+sp AS (select *, rn <= {NTEST} as is_test from (
+  select *, row_number() over (order by {HASH}, request_id) as rn, count(*) over () as n from features) t),
+st AS (select avg(risk_score) as my, [{", ".join(f"avg({c})" for c in cols)}] as mx, [{", ".join(f"stddev_pop({c})" for c in cols)}, 1.0] as sx,
+  [{cov}] as cov from sp where not is_test),
+el AS (
+  select 1 as k, list_transform(cov, lambda row, i: list_transform(row, lambda x, j: case when sx[i] * sx[j] = 0 then 0 else x / (sx[i] * sx[j]) end)) as m from st
+  union all
+  select k + 1, case when m[k][k] < 1e-9
+    then list_transform(m, lambda row, i: case when i = k then list_transform(row, lambda x: 0.0) else row end)
+    else list_transform(m, lambda row, i: case when i = k then list_transform(row, lambda x: x / row[k])
+      else list_transform(row, lambda x, j: x - row[k] * m[k][j] / m[k][k]) end) end
+  from el where k <= {n}),
+fit AS (select my, mx, sx, list_transform(range(1, {n + 1}), lambda i: case when m[i][i] = 0 then 0 else m[i][{n + 1}] end) as b
+  from el, st where k = {n + 1}),
+rp AS (select risk_score as label, my + list_sum(list_transform([{", ".join(cols)}],
+    lambda x, i: case when sx[i] = 0 then 0 else b[i] * (x - mx[i]) / sx[i] end)) as prediction from sp, fit where is_test)
+select 'linear_regression' as model, n_test, mse, sqrt(mse) as rmse, mae, 1 - ss_res / ss_tot as r2_score, true as meets_normal_equations from (
+  select count(*) as n_test, avg((label - prediction) ^ 2) as mse, avg(abs(label - prediction)) as mae, sum((label - prediction) ^ 2) as ss_res,
+    var_pop(label) * count(label) as ss_tot from rp) e"""
+
+
+@query("linear_regression", O.r6(["mse", "rmse", "mae", "r2_score"], _linear_sql()))
+def q_linear_regression(ctx):
+    """Least squares of the risk score on all other features: the errors on the test part, and that no
+    feature is correlated with what the fit leaves over on the training part."""
+    f, cols = _regression_features(ctx)
+    if "linear" not in ctx.extra:
+        ctx.extra["linear"] = TR.train_regressors(f, cols, KEYS, ["linear_regression"], settings=ctx.spec.models.settings)[0]
+    r = ctx.extra["linear"]
+    parts = random_split(f, KEYS)
+    left = r.model.transform(parts.where("not is_test").withColumn("label", F.col("label").cast("double")))
+    over = F.col("label") - F.col("prediction")
+    ok = reduce(lambda a, b: a & b, [F.abs(F.coalesce(F.corr(over, F.col(f"`{c}`")), F.lit(0.0))) < 1e-4
+                                     for c, v in _spreads(f, cols).items() if v]) & (F.abs(F.avg(over)) < 1e-6)
+    return left.agg(F.lit(r.name).alias("model"), F.lit(parts.where("is_test").count()).cast("bigint").alias("n_test"),
+                    *[F.lit(float(r.metrics[m])).alias(m) for m in ("mse", "rmse", "mae", "r2_score")], ok.alias("meets_normal_equations"))
 
 
-@query("linear_regression", LINEAR_SQL)
-def q_linear_regression(ctx):
-    """Least squares of the risk score on two features over all rows, against the normal equations."""
-    from govlens.models import registry as REG
-    cols = ["frequency", "seniority_level"]
-    m = REG.REGRESSORS["linear_regression"]({}).fit(
-        TR.assembler(cols).transform(ctx.features.select(F.col("risk_score").alias("label"), *cols)))
-    rows = [*zip(cols, (float(x) for x in m.coefficients)), ("intercept", float(m.intercept))]
-    return ctx.spark.createDataFrame(rows, "term string, coefficient double")
+def _spreads(f, cols):
+    return dict(zip(cols, f.agg(*[F.stddev_pop(F.col(f"`{c}`")) for c in cols]).first()))
 
 
 @query("rf_regressor", W(*O.FEAT) + f"""
@@ -458,6 +489,38 @@ def q_sink_model(ctx):
                                        F.count_if(F.col("p1") == F.col("p2")).alias("n_same"))
 
 
+STATUS = [("random_forest", "available"), ("gradient_boosting", "available"), ("lightgbm", "unavailable"), ("xgboost", "unavailable"),
+          ("logistic_regression", "available")]
+
+
+@query("model_registry", W(*O.FEAT) + """
+select n_rows, t.* from (select count(*) as n_rows, count(distinct label) / count(*) < 0.05 as classes from features) f, (values """ + ", ".join(
+    f"({i}, '{n}', '{s}')" for i, (n, s) in enumerate(STATUS)) + ") t(model_order, model, status) where classes")
+def q_model_registry(ctx):
+    """The configured models for the task that the table poses, in order, and whether each can be trained here."""
+    from govlens.models import registry as REG
+    task = TR.detect_task(ctx.features)
+    m = ctx.spec.models
+    names = {"classification": (m.classification_algorithms, REG.CLASSIFIERS), "regression": (m.regression_algorithms, REG.REGRESSORS)}
+    rows = [(t, i, n, status) for t, (algorithms, table) in names.items() for i, (n, _, status) in enumerate(REG.resolve(algorithms, table))]
+    known = ctx.spark.createDataFrame(rows, "task string, model_order int, model string, status string")
+    return task.join(known, "task").select("n_rows", "model_order", "model", "status")
+
+
+@query("pick_saved_classifier", W(*O.FEAT) + "select 3::bigint as n_saved, 'random_forest_classifier' as picked, count(*) as n_scored from features")
+def q_pick_saved_classifier(ctx):
+    """The trained classifiers saved, found again by their folder, and all rows scored by the one that is preferred."""
+    from govlens.models import registry as REG
+    from govlens.plans.pipeline import saved_models
+    base = shared_path(ctx.spark, "models")
+    for name in MODELS:
+        TR.save_model(classifier(ctx, name).model, f"{base}/{name}_classifier")
+    found = saved_models(ctx.spark, base)
+    picked = REG.pick_saved_classifier(list(found))
+    return TR.score_all(found[picked].model, ctx.features, KEYS).agg(
+        F.lit(len(found)).cast("bigint").alias("n_saved"), F.lit(picked).alias("picked"), F.count("prediction").alias("n_scored"))
+
+
 @query("best_trained_model", "select true as is_the_most_accurate")
 def q_best_trained_model(ctx):
     """``best_model`` over the trained classifiers picks the one of highest test accuracy."""

@@ -45,6 +45,7 @@ def test_jdbc_options():
 def test_load_spec_yaml_layout(tmp_path):
     from govlens.spec import load_spec
     p = tmp_path / "schema.yaml"
+    # fixed values: the keys that a configuration file has
     p.write_text("""
 tables:
   decision_history:
