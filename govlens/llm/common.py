@@ -7,6 +7,7 @@ import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from govlens.session import shared_path
 
@@ -46,6 +47,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """``df`` with the place of each row in its group (_index, from 0) and the group's size (_size).
+
+    ``group`` and ``order`` together tell all rows apart, and ``group`` has no
+    null.  Rows are range-partitioned by both and written, so a large group is
+    spread; a row's place is its group's count in the partitions before and its
+    place in its own.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(df.repartitionByRange(parts, *group, *order).sortWithinPartitions(*group, *order)
+                     .withColumn("_at", F.monotonically_increasing_id()), name).withColumn("_part", F.shiftright("_at", 33))
+    spans = ranged.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    by = Window.partitionBy(*group)                              # a row per partition that holds the group
+    spans = spans.select("_part", *group, "_first", F.sum("_n").over(by).alias("_size"),
+                         (F.sum("_n").over(by.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return ranged.join(spans, ["_part", *group]) \
+        .withColumn("_index", F.col("_before") + F.col("_at") - F.col("_first")).drop("_part", "_at", "_first", "_before")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound what a Python worker holds of a batch, unless the session says otherwise: texts can be very long."""
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"),

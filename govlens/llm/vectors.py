@@ -3,12 +3,15 @@
 Each pass draws its own random hyperplanes, orders the vectors of a label by
 their concatenated sign bits, and compares each vector with its neighbours in
 that order.  The verified pairs of all passes give the components; the links
-are then counted exactly, all vectors of a component against all, block by
-block.
+are then counted exactly within each component.  Its vectors lie in blocks
+with a centre and an angular radius, in the order of a projection: by the
+triangle inequality two blocks are too far apart to link, or so close that all
+their vectors do, or are multiplied.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govlens.llm.common import bounded_batches, table, written
+from govlens.llm.common import bounded_batches, numbered, table, written
 from govlens.llm.components import connected_components
 
 HASH_BITS = 62
@@ -247,34 +250,107 @@ def _links_udf(threshold: float):
 def exact_links(classes: DataFrame, components: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """All links of ``classes`` (_k1, _k2, id, n, grp, vec) within equal ``grp`` and component: ``_k1, _k2, links`` and pairs ``a, b``.
 
-    Classes are dealt to blocks of bounded size by their hash, and each task
-    multiplies two blocks, so a component of any size is spread over many
-    tasks of bounded memory, and counts come out instead of pairs.  A class
-    moves once for each block of its component.  Only links with an id that
-    has several classes are pairs, as two of its links may be one.
+    Classes lie in blocks of bounded size in the order of a projection, and
+    each task multiplies two blocks that may, but needn't, link: a component of
+    any size is spread over many tasks of bounded memory, and counts come out
+    instead of pairs.  A class moves once for each block that its own is
+    multiplied with.  Only links with an id that has several classes are
+    pairs, as two of its links may be one.
     """
     spark = classes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group = ["component", "grp"]
     several = classes.groupBy("id").agg(F.count(F.lit(1)).alias("of")).where("of > 1").select("id", F.lit(True).alias("shared"))
-    placed = classes.join(components, F.col("id") == F.col("node")).drop("node").join(several, "id", "left")
+    placed = classes.join(components, F.col("id") == F.col("node")).drop("node").join(several, "id", "left") \
+        .withColumn("shared", F.coalesce("shared", F.lit(False)))
     least, most = BLOCK_ROWS
-    big = placed.groupBy("component", "grp").agg(F.count(F.lit(1)).alias("c"), F.max(F.size("vec")).alias("dim")).where(F.col("c") > least)
-    room = F.greatest(F.lit(1), F.least(F.greatest(F.col("c") / BLOCK_PARTS, F.lit(least)), F.lit(most), F.lit(BLOCK_BYTES / 8) / F.col("dim")))
-    big = big.select("component", "grp", F.ceil(F.col("c") / room).cast("int").alias("blocks"))
-    dealt = placed.join(big, ["component", "grp"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "_k1", "_k2"), F.col("blocks")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("_k1", "_k2", "id", "n", "vec", F.coalesce("shared", F.lit(False)).alias("shared"), "component", "grp", "block",
-                F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    key = ["component", "grp", "i", "j"]
-    found = written(dealt.repartition(parts, *key).sortWithinPartitions(*key).mapInPandas(
+    # neighbours in a projection's order lie close together, and so in one block
+    ordered = numbered(placed.withColumn("key", _keys(0)("vec")), group, ["key", "_k1", "_k2"], "placed")
+    room = F.greatest(F.lit(1), F.least(F.greatest(F.col("_size") / BLOCK_PARTS, F.lit(least)), F.lit(most), F.lit(BLOCK_BYTES / 8) / F.size("vec")))
+    dealt = written(ordered.withColumn("block", F.floor(F.col("_index") / F.ceil(room)).cast("int"))
+                    .select("_k1", "_k2", "id", "n", "vec", "shared", *group, "block"), "dealt")
+    balls = written(dealt.repartition(parts, *group, "block").sortWithinPartitions(*group, "block").mapInPandas(
+        _balls_udf, "component long, grp string, block int, rows long, n long, shared boolean, centre array<double>, radius double"), "balls")
+    a, b = (balls.select(*group, F.col("block").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("rows", "n", "shared", "centre", "radius")])
+            for k in ("i", "j"))
+    met = written(a.join(b, group).where("i <= j").withColumn("how", _meeting(threshold)(
+        "centre_i", "centre_j", "radius_i", "radius_j", F.col("shared_i") | F.col("shared_j")))
+        .select(*group, "i", "j", "rows_i", "rows_j", "n_i", "n_j", "how"), "block-pairs")
+    tasks = met.where("how = 'multiply'")
+    of = tasks.select(*group, F.col("i").alias("block"), "i", "j").unionByName(tasks.where("i < j").select(*group, F.col("j").alias("block"), "i", "j"))
+    key = [*group, "i", "j"]
+    found = written(dealt.join(of, [*group, "block"]).repartition(parts, *key).sortWithinPartitions(*key).mapInPandas(
         _links_udf(threshold), "_k1 long, _k2 long, links long, a long, b long"), "links")
-    return found.where("a is null").groupBy("_k1", "_k2").agg(F.sum("links").alias("links")), \
+    # all of two close blocks: each class has the rows of the other block, or of its own but for itself
+    close = met.where("how = 'all'")
+    whole = close.where("i < j").select(*group, F.col("i").alias("block"), F.col("n_j").alias("more"), F.lit(0).alias("own")) \
+        .unionByName(close.where("i < j").select(*group, F.col("j").alias("block"), F.col("n_i").alias("more"), F.lit(0).alias("own"))) \
+        .unionByName(close.where("i = j").select(*group, F.col("i").alias("block"), F.col("n_i").alias("more"), F.lit(1).alias("own"))) \
+        .groupBy(*group, "block").agg(F.sum("more").alias("more"), F.max("own").alias("own"))
+    counted = dealt.select("_k1", "_k2", "n", *group, "block").join(whole, [*group, "block"]) \
+        .select("_k1", "_k2", (F.col("more") - F.col("own") * F.col("n")).alias("links"))
+    return found.where("a is null").select("_k1", "_k2", "links").unionByName(counted).groupBy("_k1", "_k2").agg(F.sum("links").alias("links")), \
         found.where("a is not null").select("a", "b").distinct()
 
 
+def _balls_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per block, contiguous rows: how many classes and rows it has, and the centre and angular radius of its vectors."""
+    columns = ["component", "grp", "block"]
+
+    def ball(rows: pd.DataFrame) -> pd.DataFrame:
+        x = _unit(rows["vec"])
+        centre = x.mean(axis=0)
+        size = np.linalg.norm(centre)
+        radius = float(np.arccos(np.clip(x @ (centre / size), -1, 1)).max()) if size > 1e-9 else np.pi
+        return pd.DataFrame([[*rows[columns].iloc[0], len(rows), rows["n"].sum(), bool(rows["shared"].any()), centre / max(size, 1e-9), radius]],
+                            columns=[*columns, "rows", "n", "shared", "centre", "radius"])
+
+    held = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        key = batch[columns]
+        cut = np.flatnonzero((key.iloc[1:].to_numpy() != key.iloc[:-1].to_numpy()).any(axis=1)) + 1
+        for at in np.split(np.arange(len(batch)), cut):
+            piece = batch.iloc[at]
+            if held and (held[-1][columns].iloc[-1] != piece[columns].iloc[0]).any():
+                yield ball(pd.concat(held, ignore_index=True))
+                held = []
+            held.append(piece)
+    if held:
+        yield ball(pd.concat(held, ignore_index=True))
+
+
+#: Angles are known to a few 1e-8; what is closer to a decision than this is multiplied.
+_ANGLE_ERROR = 1e-6
+
+
+def _meeting(threshold: float):
+    """``none``, ``all`` or ``multiply`` for two blocks: by the triangle inequality, what the angles of their vectors can be."""
+    reach = float(np.arccos(threshold))
+
+    @F.pandas_udf("string")
+    def how(x: pd.Series, y: pd.Series, r: pd.Series, t: pd.Series, shared: pd.Series) -> pd.Series:
+        cosine = np.array([float(np.dot(a, b)) for a, b in zip(x, y)])
+        angle, both = np.arccos(np.clip(cosine, -1, 1)), r.to_numpy() + t.to_numpy()
+        all_ = (angle + both < reach - _ANGLE_ERROR) & ~shared.to_numpy()
+        return pd.Series(np.where(angle - both > reach + _ANGLE_ERROR, "none", np.where(all_, "all", "multiply")))
+    return how
+
+
+def passes_for(rows: int, threshold: float = 0.98, window: int = 64, missed: float = 0.001, least: int = 8) -> int:
+    """Passes after which a pair at the threshold is missed with a probability of ``missed`` at most, in a label of so many vectors.
+
+    A pass can't see a pair if one of the leading bits that part a label into
+    windows differs between the two, which a bit does with the pair's angle over pi.
+    """
+    bits = max(0.0, math.log2(max(rows, 1) / window))
+    seen = (1 - math.acos(threshold) / math.pi) ** bits
+    return max(least, math.ceil(math.log(missed) / math.log(1 - seen))) if seen < 1 else least
+
+
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-                 threshold: float = 0.98, passes: int = 8, window: int = 64) -> DataFrame:
+                 threshold: float = 0.98, passes: int | None = None, window: int = 64) -> DataFrame:
     """One row per row: ``id, n_links, component``.
 
     Vectors are compared only if their labels are equal and not null and their
@@ -288,12 +364,13 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     Components hold what the passes join; ``n_links`` counts all links within
     them, each pair verified, whatever the partitions.
 
-    ``passes`` and ``window`` set the recall of components: two vectors at the threshold
-    differ in 6.4 % of their hash bits, so with g rows in a label a pass misses
-    such a pair if one of about log2(g / window) leading bits differs.  At
-    5,000 rows a label 8 passes miss fewer than 1 in 1,000; at 7.5 million, 1
-    in 30 at the threshold itself and fewer above it.  Where links go on, a
-    partition is searched beyond the window too (see ``_window_pairs``).
+    ``passes`` and ``window`` set the recall of components: two vectors at the
+    threshold differ in 6.4 % of their hash bits, so with g rows in a label a
+    pass misses such a pair if one of about log2(g / window) leading bits
+    differs.  Without a number of passes, the largest label gives it (see
+    ``passes_for``): pairs at the threshold itself are missed once in 1,000,
+    and closer ones less.  Where links go on, a partition is searched beyond
+    the window too (see ``_window_pairs``).
     """
     v = F.col("_vec")
     fit = F.col("_id").isNotNull() & F.col("_label").isNotNull() & v.isNotNull() \
@@ -304,6 +381,9 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
         (F.xxhash64(F.lit(1), "grp", "_vec"), "_k1"), (F.xxhash64(F.lit(2), "grp", "_vec"), "_k2"))], "grp", "_vec")
     classes = written(keyed.where("grp is not null").groupBy("_k1", "_k2").agg(
         F.min("_id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("grp").alias("grp"), F.first("_vec").alias("vec")), "classes")
+    if passes is None:
+        largest = classes.groupBy("grp").count().agg(F.max("count")).first()[0] or 0
+        passes = passes_for(largest, threshold, window)
     pairs = written(joining_pairs(classes.select("id", "grp", "vec"), threshold, passes, window), "pairs")
     components = written(connected_components(pairs), "components")
     links, shared = exact_links(classes, components, threshold)

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from govlens.llm import simhash, vectors
 from govlens.llm.components import connected_components
@@ -164,3 +165,31 @@ def test_links_of_blocks_and_shared_ids(spark, monkeypatch):
     want = sorted((i % 90, sum(1 + (k < 10) for k in near[i % 90])) for i, _, _ in rows)
     out = vectors.near_vectors(spark.createDataFrame(shared, df.schema), passes=2).collect()
     assert sorted((r.id, r.n_links) for r in out) == want
+
+
+def test_blocks_far_apart_or_close_are_not_multiplied(spark, monkeypatch):
+    """A chain of tight clusters: most block pairs are settled by their centres, and the counts stay exact."""
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", (8, 8))
+    rng = np.random.default_rng(14)
+    rows, i = [], 0
+    for step in range(14):                                       # neighbours in the chain link, others don't
+        a = step * 0.16
+        for _ in range(16):
+            v = np.array([np.cos(a), np.sin(a), 0, 0]) + 0.0005 * rng.standard_normal(4)
+            rows.append((i, v.tolist(), 1))
+            i += 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    made = []
+    real = vectors.written
+    monkeypatch.setattr(vectors, "written", lambda df, name: (made.append((name, out := real(df, name))), out)[1])
+    got = sorted(tuple(r) for r in vectors.near_vectors(df).collect())
+    assert got == brute(rows)
+    pairs = next(d for n, d in made if n == "block-pairs")
+    how = {r.how: r.n for r in pairs.groupBy("how").agg(F.sum(F.col("rows_i") * F.col("rows_j")).alias("n")).collect()}
+    assert how["none"] > how.get("multiply", 0) and how["all"] > 0
+
+
+def test_passes_grow_with_the_label():
+    assert vectors.passes_for(0) == vectors.passes_for(64) == 8
+    few, some, many = (vectors.passes_for(n) for n in (5_000, 1_000_000, 100_000_000))
+    assert 8 <= few < some < many < 60
