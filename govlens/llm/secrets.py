@@ -3,9 +3,9 @@
 Each rule is a regular expression.  A Boolean trigram query is derived from
 it (an OR of ANDs of trigrams that any match must contain).  The index holds a
 posting (trigram, document) for every trigram that some query names; postings
-are intersected per branch of a query, and only the documents that are left
-are read by that rule's expression.  A rule without mandatory trigrams reads
-every document.
+are intersected per branch of a query, and in one scan of the documents each is
+read by the expressions of the rules that are left for it.  A rule without
+mandatory trigrams reads every document.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -131,20 +131,32 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
         .where("_n = _need").groupBy("_k1", "_k2").agg(F.collect_set("_kind").alias("_kinds"))
 
 
-def _matches(docs: DataFrame, text_col: str, order: int, rule: Rule) -> DataFrame:
-    """A row per match: its number, the length of the gap before it, its own length, and if it counts."""
-    # the gaps between matches are what split() leaves
-    found = F.regexp_extract_all(F.col(text_col), F.lit(rule.pattern), F.lit(0))
-    one = docs.withColumn("_all", found).where(F.size("_all") > 0).dropDuplicates(["_k1", "_k2"])
-    group = F.col("_all") if rule.group == 0 else \
-        F.regexp_extract_all(F.col(text_col), F.lit(rule.pattern), F.lit(rule.group))
+def _matches(docs: DataFrame, text_col: str, rules: tuple[Rule, ...], reads: list[Column]) -> DataFrame:
+    """A row per match of any rule: its rule and number, the length of the gap before it, its own length, and if it counts.
+
+    One scan: rule i looks at the rows for which ``reads[i]`` holds.
+    """
+    text = F.col(text_col)
+    none = F.array().cast("array<string>")
+    found = [F.when(on, F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0))).otherwise(none).alias(f"_all{i}")
+             for i, (r, on) in enumerate(zip(rules, reads, strict=True))]
+    hit = docs.select("_k1", "_k2", text, *found).where(reduce(lambda a, b: a | b, [F.size(f"_all{i}") > 0 for i in range(len(rules))]))
     size = lambda a: F.transform(a, F.char_length)
-    zipped = F.arrays_zip(size(F.slice(F.split(text_col, rule.pattern, -1), F.lit(1), F.size("_all"))).alias("gap"),
-                          size(F.col("_all")).alias("len"), size(group).alias("own"))
-    return one.select("_k1", "_k2", F.posexplode(zipped).alias("_i", "_m")).select(
-        "_k1", "_k2", F.lit(order).alias("_order"), F.lit(rule.kind).alias("_kind"), "_i",
-        F.col("_m.gap").cast("long").alias("_gap"), F.col("_m.len").cast("long").alias("_len"),
-        (F.col("_m.own") >= rule.min_chars).alias("_ok"))
+
+    def own(i: int, rule: Rule) -> Column:
+        matched = F.col(f"_all{i}")
+        group = matched if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+        # the gaps between matches are what split() leaves
+        gaps = F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(matched))
+        parts = F.arrays_zip(size(gaps).alias("gap"), size(matched).alias("len"),
+                             F.transform(size(group), lambda n: n >= rule.min_chars).alias("ok"))
+        return F.struct(F.lit(i).alias("order"), F.when(F.size(matched) > 0, parts).alias("m"))
+
+    return hit.select("_k1", "_k2", F.array(*[own(i, r) for i, r in enumerate(rules)]).alias("_of")) \
+        .dropDuplicates(["_k1", "_k2"]).select("_k1", "_k2", F.explode("_of").alias("_r")) \
+        .select("_k1", "_k2", F.col("_r.order").alias("_order"), F.posexplode("_r.m").alias("_i", "_m")) \
+        .select("_k1", "_k2", "_order", F.element_at(F.lit([r.kind for r in rules]), F.col("_order") + 1).alias("_kind"), "_i",
+                F.col("_m.gap").cast("long").alias("_gap"), F.col("_m.len").cast("long").alias("_len"), F.col("_m.ok").alias("_ok"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -160,19 +172,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     src = held(docs, _id=id_col, _text=text_col).select("*", *row_key("_id", "_text"))
     texts = src.select("_k1", "_k2", "_text").where(F.col("_text") != "")
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
-    parts = []
+    read = texts.withColumn("_kinds", F.lit(None).cast("array<string>"))
     if queries:
         grams = sorted({g for q in queries.values() for b in q for g in b})
         # written, so that the planner sees its size: small enough it is broadcast, else both sides are shuffled
         found = written(candidates(trigram_index(texts, "_text", grams), queries), "secret-candidates")
-        read = texts.join(found, ["_k1", "_k2"])
-    for order, rule in enumerate(rules):
-        own = read.where(F.array_contains("_kinds", rule.kind)) if rule.kind in queries else texts
-        parts.append(_matches(own.select("_k1", "_k2", "_text"), "_text", order, rule))
+        read = texts.join(found, ["_k1", "_k2"], "left")
+    reads = [F.coalesce(F.array_contains("_kinds", r.kind), F.lit(False)) if r.kind in queries else F.lit(True) for r in rules]
+    matches = _matches(read, "_text", rules, reads)
     w = Window.partitionBy("_k1", "_k2", "_order").orderBy("_i")
     start = F.sum("_gap").over(w) + F.sum("_len").over(w) - F.col("_len")
     bases = [r.kind for r in rules if r.base]
-    spans = reduce(DataFrame.unionByName, parts).withColumn("_start", start).where("_ok") \
+    spans = matches.withColumn("_start", start).where("_ok") \
         .groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list(F.struct(
             F.col("_start").alias("start"), F.col("_order").alias("order"), F.col("_kind").alias("kind"),
             (F.col("_start") + F.col("_len")).alias("end"), F.col("_kind").isin(bases).alias("base")))).alias("_spans"))
