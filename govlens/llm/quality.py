@@ -30,6 +30,8 @@ LABELLERS = ("symbols", "upper_case", "calls", "bars", "sentences", "variety", "
 #: Kinds of characters: what a word's shape is written in, and what the heuristics count.
 KINDS = "aA0xs!|.-"
 _SYMBOLS, _CALLS, _BARS, _STOPS = "%$#*&@^~<>{}[]\\", "!?", "|=_", ".,;:"
+#: The value of a band's feature; shares of words and shapes are square roots, and add up to more with a text's variety.
+BAND = 2.0
 #: Words whose figures a worker keeps.
 CACHE_WORDS = 300_000
 
@@ -242,7 +244,7 @@ class Hasher:
                 extra += [f"{k} {min(int(50 * x), 20)}" for k, x in zip(("symbols", "upper", "bars"), (f[0], f[1], f[3]))]
                 extra += [f"calls {min(int(10 * f[2]), 10)}", f"stops {min(int(20 * f[4]), 20)}", f"length {min(int(f[6]), 20)}"]
             index = np.concatenate([of[kind], word % self.dimensions, np.array([self._at(x) for x in extra], dtype=np.int64)])
-            value = np.concatenate([np.sqrt(n / max(1, f[8])), np.sqrt(times / max(1, f[8])), np.full(len(extra), 0.5)])
+            value = np.concatenate([np.sqrt(n / max(1, f[8])), np.sqrt(times / max(1, f[8])), np.full(len(extra), BAND)])
             index, where = np.unique(index, return_inverse=True)
             rows.append((index, np.bincount(where, value, len(index))))
         return votes_of(figures), rows
