@@ -87,3 +87,22 @@ def test_groups_of_any_type_and_none(spark):
     got = {r.c: list(r.q) for r in RankIndex.of_groups(df, "g", "v").group_quantiles([0.5, 1.0]).collect()}
     assert got == {1: [1.5, 2.0], 3: [5.0, 5.0]}
     assert RankIndex.of_groups(df.limit(0), "g", "v").group_quantiles([0.5]).count() == 0
+
+
+def test_workers_need_no_copy_of_the_library(tmp_path):
+    """A driver that finds the library by its own path, started elsewhere."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from govlens.session import build_session
+from govlens.functions.rank_index import RankIndex
+spark = build_session("local[1]", shuffle_partitions=2)
+print("median", RankIndex.of_columns(spark.createDataFrame([(1.0,), (2.0,), (9.0,)], "x double"), ["x"]).quantiles(["x"], [0.5])["x"][0])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert "median 2.0" in out.stdout, out.stderr[-2000:]
