@@ -11,6 +11,7 @@ as many links as it has members, never all their pairs, and no link is lost.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,31 +61,24 @@ def fingerprints(text: Column, words: int = 3) -> Column:
     return of(text)
 
 
-def _flips(c: Column, low: int, high: int) -> Column:
-    """``c`` with each one of the bits low..high-1 flipped."""
-    return F.transform(F.array(*[F.lit(_bit(i)) for i in range(low, high)]), lambda m: c.bitwiseXOR(m))
-
-
 def _bit(i: int) -> int:
     return -(1 << 63) if i == 63 else 1 << i
 
 
 def _active(prints: DataFrame) -> DataFrame:
-    """Fingerprints that may have another within 3 bits: a necessary condition, found from 66 short keys each.
+    """Fingerprints that may have another within 3 bits: a necessary condition, found from 20 keys each.
 
-    Of 3 differing bits, one half of the 64 holds at most one; so that half of
-    one fingerprint is within a single flip of the other's.
+    Of six parts of the 64 bits, 3 differing bits leave three parts alike; a
+    key is what a fingerprint has in three of them.
     """
-    # the half's number rides in a bit that neither half uses
-    halves = (F.col("f").bitwiseAND(F.lit(0xFFFFFFFF)),
-              F.shiftrightunsigned("f", 32).bitwiseOR(F.lit(1 << 40)))
-    keys = F.concat(*[F.concat(F.array(F.struct(h.alias("k"), F.lit(True).alias("own"))),
-                               F.transform(_flips(h, 0, 32), lambda k: F.struct(k.alias("k"), F.lit(False).alias("own"))))
-                      for h in halves])
-    at = prints.select("f", F.explode(keys).alias("e")).select("f", "e.k", "e.own")
-    shared = at.groupBy("k").agg(F.min("f").alias("lo"), F.max("f").alias("hi"), F.max("own").alias("own")) \
-        .where("lo <> hi and own").select("k")
-    return at.select("f", "k").join(shared, "k", "left_semi").select("f").distinct()
+    edges = (0, 11, 22, 33, 44, 54, 64)
+    parts = [sum(_bit(i) for i in range(a, b)) for a, b in zip(edges, edges[1:])]
+    masks = F.lit([x | y | z for x, y, z in itertools.combinations(parts, 3)])
+    keys = F.transform(masks, lambda m, i: F.xxhash64(i, F.col("f").bitwiseAND(m)))
+    tasks = max(1, -(-20 * prints.count() // VARIANTS_A_TASK))
+    at = prints.repartition(tasks, "f").select("f", F.explode(keys).alias("k"))
+    shared = at.groupBy("k").agg(F.min("f").alias("lo"), F.max("f").alias("hi")).where("lo <> hi").select("k")
+    return at.join(shared, "k", "left_semi").select("f").distinct()
 
 
 def near_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
