@@ -278,7 +278,7 @@ class Scorer:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensions: int = 1 << 18,
-          max_rows: int = 20_000) -> tuple[VoteModel, Scorer] | None:
+          max_rows: int = 6_000) -> tuple[VoteModel, Scorer] | None:
     """The vote model of all documents, and a scorer fitted to ``max_rows`` of them at most, taken by a hash.
 
     What the driver gets of a row for the fit is its hashed features and its
