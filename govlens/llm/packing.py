@@ -26,7 +26,7 @@ from govlens.llm.common import bounded_batches, per_worker, row_key, table, writ
 #: Entries of the token cache, and the longest piece that is kept in it.
 CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 64
 #: Pieces of one length that are ranked together; a length that has more is split into parts.
-RANK_ROWS = 50_000
+RANK_ROWS = 1_000
 
 _LETTERS, _MARKS = "a-zß-öø-ÿ", r"""!"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"""
 
