@@ -145,3 +145,11 @@ def test_shares_without_any_probability(spark):
 
     row = BoostedClassesModel([Part(), Part(), Part()]).transform(spark.range(1)).first()
     assert row.prediction == 0 and np.allclose(row.probability.toArray(), 1 / 3)
+
+
+def test_fit_partitions_follow_the_cores(spark):
+    """Every partition shuffles the statistics of all tree nodes of a pass: there are as many as cores, not as rows ask for."""
+    assert [TR.fit_partitions(n, 12) for n in (0, 10, 50_000, 600_000, 6_000_000, 36_000_000)] == [1, 1, 3, 12, 12, 72]
+    cores = spark.sparkContext.defaultParallelism
+    assert TR._compact(spark.range(0, 10_000_000, 1, 300), 5_000_000).rdd.getNumPartitions() == max(cores, 10)
+    assert TR._compact(spark.range(0, 100, 1, 2), 10_000_000).rdd.getNumPartitions() == 2
