@@ -22,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     is not 1 modulo 3.  If there are none to learn from, every document with
     a letter stays, as nothing is known against it.
     """
-    model = langid.train(docs.where(~langid.held_out()))
-    out = langid.identify(docs, model)
+    model = langid.learn(docs.where(~langid.held_out()))
+    out = langid.identify(docs, model, taught=~langid.held_out())
     gone = F.col("_rejected") if model.langs else ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return out.where(~gone).select(*docs.columns)
 

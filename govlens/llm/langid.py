@@ -20,10 +20,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from govlens.functions.rank_index import RankIndex
 from govlens.llm.common import bounded_batches, released, row_key, table, written
 
 BEGIN, END = "\x02", "\x03"
@@ -273,21 +274,6 @@ class Calibration:
     limits: np.ndarray
     usual: np.ndarray
 
-    def fit(self, bits: np.ndarray, chars: np.ndarray, truth: np.ndarray, quantile: float, slack: float) -> None:
-        """Fit the temperature of the posterior and each language's limit of cross-entropy to labelled documents."""
-        def loss(t):
-            z = -t * bits
-            z -= z.max(axis=1, keepdims=True)
-            return -(z[np.arange(len(z)), truth] - np.log2(np.exp2(z).sum(axis=1))).mean()
-        self.temperature = min((loss(t), t) for t in np.geomspace(1e-3, 1, 31))[1]
-        own = bits[np.arange(len(bits)), truth] / chars
-        for k in range(len(self.langs)):
-            if (truth == k).any():
-                self.usual[k] = np.median(own[truth == k])
-        for k in range(len(self.langs)):
-            if (truth == k).any():
-                self.limits[k] = slack * np.quantile(self._steady(bits, chars)[truth == k, k], quantile)
-
     def _steady(self, bits: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """Cross-entropies with 50 usual characters added, so that a few odd letters don't decide."""
         return (bits + 50 * self.usual) / (chars[:, None] + 50)
@@ -452,34 +438,76 @@ def hashed_rows(docs: DataFrame, lang: str, columns: list[str], rows: int) -> Da
         .dropDuplicates([lang, "_hash"]).drop("_hash", "_of", "_cut")
 
 
+#: Temperatures that are tried.
+TEMPERATURES = np.geomspace(1e-3, 1, 31)
+
+
+def calibrate(model: Identifier, seen: DataFrame, quantile: float = 0.999, slack: float = 1.5) -> None:
+    """Fit the temperature of the posterior and each language's limit of cross-entropy to all rows of ``seen`` (lang, bits, chars).
+
+    Losses are sums over rows, medians and quantiles come from rank indexes:
+    the driver gets a number for each temperature and two for each language.
+    """
+    langs = model.langs
+
+    def losses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(len(TEMPERATURES)), 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            bits, own = np.stack(batch["bits"].to_list()), np.arange(len(batch))
+            bits = bits - bits.min(axis=1, keepdims=True)
+            for i, t in enumerate(TEMPERATURES):
+                total[i] += (t * bits[own, batch["k"]] + np.log2(np.exp2(-t * bits).sum(axis=1))).sum()
+            n += len(batch)
+        yield pd.DataFrame({"i": np.arange(len(total)), "loss": total, "n": n})
+
+    k = (F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1).cast("int")
+    rows = written(seen.where("chars > 0").select(k.alias("k"), "bits", "chars"), "langid-calibration")
+    found = rows.select("k", "bits").mapInPandas(losses, "i int, loss double, n long").groupBy("i").agg(F.sum("loss").alias("loss"), F.sum("n").alias("n")).collect()
+    if not found or not found[0].n:
+        return
+    model.temperature = min((r.loss, float(TEMPERATURES[r.i])) for r in found)[1]
+    own, every = F.get("bits", F.col("k")), list(range(len(langs)))
+    c = model.calibration()
+    usual = RankIndex.of_groups(rows.select("k", (own / F.col("chars")).alias("v")), "k", "v").quantiles(every, [0.5])
+    c.usual = np.array([c.usual[i] if usual[i][0] is None else usual[i][0] for i in every])
+    some = F.get(F.array(*[F.lit(float(x)) for x in c.usual]), F.col("k"))
+    limits = RankIndex.of_groups(rows.select("k", ((own + 50 * some) / (F.col("chars") + 50)).alias("v")), "k", "v").quantiles(every, [quantile])
+    model.usual, model.limits = c.usual, np.array([c.limits[i] if limits[i][0] is None else slack * limits[i][0] for i in every])
+
+
+def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", order: int = 4) -> Identifier:
+    """The models of all words of every row of ``docs`` with a language and a letter, not calibrated yet."""
+    words = written(word_counts(docs, lang_col, text_col), "words")
+    return fitted(written(gram_counts(words, order), "kn-counts"), order)
+
+
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", order: int = 4,
-          calibration_rows: int = 1000, quantile: float = 0.999, slack: float = 1.5) -> Identifier:
+          calibration_rows: int | None = None, quantile: float = 0.999, slack: float = 1.5) -> Identifier:
     """Learn from every row of ``docs`` with a language and a letter.
 
     All words of all rows are counted, and the models are a written table with
-    all of their n-grams.  Scores and rejection are calibrated on
-    about ``calibration_rows`` rows of each language, taken by a hash of their
-    text, so a rare language has a limit of its own.  Rows without a language or
-    without text teach nothing; without any teaching row the result knows no
-    language and answers "und".
+    all of their n-grams.  Scores and rejection are calibrated on all those
+    rows, equal ones once (a caller who bounds ``calibration_rows`` gets about
+    so many of each language, taken by a hash of their text), so a rare
+    language has a limit of its own.  Rows without a language or without text
+    teach nothing; without any teaching row the result knows no language and
+    answers "und".
     """
-    words = written(word_counts(docs, lang_col, text_col), "words")
-    model = fitted(written(gram_counts(words, order), "kn-counts"), order)
+    model = learn(docs, lang_col, text_col, order)
     if not model.langs:
         return model
-    sample = hashed_rows(docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
-                          .where("lang is not null and _text is not null"), "lang", ["lang", "_text"], calibration_rows)
-    sample = written(sample.select("lang", "_text", *row_key("lang", "_text")), "langid-sample")
-    seen = scored(sample.drop("lang"), model).join(sample.select("_k1", "_k2", "lang"), ["_k1", "_k2"]).where("chars > 0") \
-        .select("lang", "bits", "chars").toPandas()                       # about calibration_rows of each language
-    if len(seen):
-        c = model.calibration()
-        c.fit(np.stack(seen["bits"].to_list()), seen["chars"].to_numpy(), seen["lang"].map(model.langs.index).to_numpy(), quantile, slack)
-        model.temperature, model.limits, model.usual = c.temperature, c.limits, c.usual
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text")).where("lang is not null and _text is not null")
+    if calibration_rows is not None:
+        rows = hashed_rows(rows, "lang", ["lang", "_text"], calibration_rows)
+    rows = written(rows.select("lang", "_text", *row_key("lang", "_text")).dropDuplicates(["_k1", "_k2"]), "langid-rows")
+    calibrate(model, scored(rows.drop("lang"), model).join(rows.drop("_text"), ["_k1", "_k2"]), quantile, slack)
     return model
 
 
-def identify(docs: DataFrame, model: Identifier, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Identifier, text_col: str = "text", columns: list[str] | None = None,
+             taught: Column | None = None, lang_col: str = "lang") -> DataFrame:
     """``columns`` of ``docs`` (all) plus _lang_pred, _score (0 to 1), _cross_entropy (bits a character) and _rejected.
 
     A text that is null or has no letter is "und" with score 0, and rejected;
@@ -487,19 +515,31 @@ def identify(docs: DataFrame, model: Identifier, text_col: str = "text", columns
     keeps its prediction and is rejected too.  Of languages that tie, the
     first by name is taken.  Rows that repeat whole get one answer each; an
     empty table gives an empty table.
+
+    ``taught`` tells the rows of ``docs`` that the model has learned from (see
+    ``learn``): it is calibrated first, on all of them as ``train`` does, and
+    all documents are scored once.
     """
+    names = [f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    key = row_key(*[f"`{x}`" for x in names])
+    keyed = docs.select(*key, F.struct(*[F.col(f"`{x}`") for x in columns or docs.columns]).alias("_row"),
+                        F.col(f"`{text_col}`").alias("_text"))
+    if model.langs:
+        bits = scored(keyed.select("_k1", "_k2", "_text"), model).dropDuplicates(["_k1", "_k2"])
+        if taught is not None:
+            bits = written(bits, "langid-bits")
+            rows = docs.where(taught).select(*key, F.col(f"`{lang_col}`").alias("_lang"), F.col(f"`{text_col}`").alias("_text")) \
+                .where("_lang is not null and _text is not null") \
+                .select("_k1", "_k2", F.col("_lang").alias("lang"), *[k.alias(f"_t{i}") for i, k in enumerate(row_key("_lang", "_text"))])
+            calibrate(model, rows.dropDuplicates(["_t0", "_t1"]).join(bits, ["_k1", "_k2"]))
     c = model.calibration()
 
     @F.pandas_udf(PREDICTION)
     def predict(bits: pd.Series, chars: pd.Series) -> pd.DataFrame:
         return c.predict(np.stack(bits.to_list()) if len(bits) else np.zeros((0, len(c.langs))), chars.to_numpy())
 
-    names = [f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    keyed = docs.select(*row_key(*[f"`{x}`" for x in names]), F.struct(*[F.col(f"`{x}`") for x in columns or docs.columns]).alias("_row"),
-                        F.col(f"`{text_col}`").alias("_text"))
     if model.langs:
-        out = scored(keyed.select("_k1", "_k2", "_text"), model).dropDuplicates(["_k1", "_k2"]) \
-            .select("_k1", "_k2", predict("bits", "chars").alias("_p"))
+        out = bits.select("_k1", "_k2", predict("bits", "chars").alias("_p"))
         out = keyed.drop("_text").join(out, ["_k1", "_k2"])
     else:
         out = keyed.withColumn("_p", predict(F.array().cast("array<double>"), F.lit(0.0)))
@@ -512,7 +552,7 @@ def held_out(id_col: str = "doc_id"):
 
 def op7(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = train(docs.where(~held_out()))
-    out = identify(docs.select("doc_id", "text"), model, columns=["doc_id"])
+    model = learn(docs.where(~held_out()))
+    out = identify(docs.select("doc_id", "text", "lang"), model, columns=["doc_id"], taught=~held_out())
     return out.select("doc_id", held_out().alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"),
                       F.col("_cross_entropy").alias("cross_entropy"), F.col("_rejected").alias("rejected"))

@@ -166,6 +166,33 @@ def test_every_language_has_its_own_limit(spark):
     assert langid.identify(junk, model).first()._rejected
 
 
+def test_calibration_reads_all_rows(spark):
+    """One odd row of 3,000 raises its language's limit, wherever its hash falls; a bound of rows is what a caller asks for."""
+    docs = [(i, f"{t} {i}", "aa" if k == "aa" else "bb") for i, t, k in language_docs(3000, 12)]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    model = langid.learn(frame)
+    rows = frame.select("lang", F.col("text").alias("_text"), *row_key("lang", "text"))
+    seen = langid.scored(rows.drop("lang"), model).join(rows.drop("_text"), ["_k1", "_k2"])
+    want = seen.toPandas()
+    langid.calibrate(model, seen)
+    bits, chars, truth = np.stack(want["bits"]), want["chars"].to_numpy(), want["lang"].map(model.langs.index).to_numpy()
+    every = np.arange(len(want))
+    usual = np.array([np.median((bits[every, truth] / chars)[truth == k]) for k in range(2)])
+    steady = (bits + 50 * usual) / (chars[:, None] + 50)
+    assert np.allclose(model.usual, usual)
+    assert np.allclose(model.limits, [1.5 * np.quantile(steady[truth == k, k], 0.999) for k in range(2)])
+
+    def loss(t):
+        z = -t * (bits - bits.min(axis=1, keepdims=True))
+        return -(z[every, truth] - np.log2(np.exp2(z).sum(axis=1))).mean()
+    assert loss(model.temperature) <= min(map(loss, langid.TEMPERATURES)) + 1e-12
+    whole = langid.train(frame)
+    assert np.allclose(whole.limits, model.limits) and whole.temperature == model.temperature
+    again = langid.learn(frame)
+    langid.identify(frame, again, taught=F.lit(True)).count()
+    assert np.allclose(again.limits, model.limits) and again.temperature == model.temperature
+
+
 def test_nothing_to_learn_from(spark):
     model = langid.train(spark.createDataFrame([], SCHEMA))
     out = langid.identify(spark.createDataFrame([(1, "words")], "doc_id long, text string"), model).first()
