@@ -15,6 +15,10 @@ CSV_NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+#: Forms that every whole number and every number has, whatever white space or control characters are about it.
+_WHOLE = r"^[^0-9A-Za-z+-]*[+-]?[0-9]+[^0-9A-Za-z]*$"
+_NUMBER = r"(?i)^[^0-9a-z]*(nan|inf|infinity|[a-fxp.+-]*[0-9][0-9a-fxp.+-]*)[^0-9a-z]*$"
+
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
@@ -51,9 +55,10 @@ def infer_types(df: DataFrame) -> DataFrame:
     checks = []
     for c in cols:
         v = F.col(c)
-        for kind, parsed in (("long", F.expr(f"try_cast(`{c}` as bigint)")),
-                             ("double", F.expr(f"try_cast(`{c}` as double)"))):
-            checks.append(F.bool_and(v.isNull() | parsed.isNotNull()).alias(f"{c}\u0001{kind}"))
+        # a failed try_cast costs an exception a value: what can't be a number is known by its form
+        for kind, may_be, parsed in (("long", v.rlike(_WHOLE), F.expr(f"try_cast(`{c}` as bigint)")),
+                                     ("double", v.rlike(_NUMBER) & ~v.rlike("[0-9][+-]"), F.expr(f"try_cast(`{c}` as double)"))):
+            checks.append(F.bool_and(v.isNull() | (may_be & parsed.isNotNull())).alias(f"{c}\u0001{kind}"))
         checks.append(F.bool_and(v.isNull() | v.isin("True", "False", "true", "false")).alias(f"{c}\u0001bool"))
         checks.append(F.count(v).alias(f"{c}\u0001n"))
     row = df.agg(*checks).first().asDict()

@@ -69,3 +69,17 @@ insights_config:
     assert spec.tables["decision_history"].columns == ["request_id", "user_id", "decision"]
     assert spec.merge.joins[0].on == ["user_id", "access_item"] and spec.merge.joins[1] is None
     assert spec.models.classification_enabled is False and spec.insights.risk_threshold == 0.8
+
+
+def test_forms_keep_every_number(spark):
+    """Whatever casts to a number passes the form that is asked for first; dates and words don't, and cost no failed cast."""
+    tried = ["1", " 7", "+5", "-3 ", "\t12\n", "1.5", ".5", "5.", "-.5e-3", "1E+9", "1e5d", "2f", "3D", "NaN", "nan", "Infinity", "-inf", "+INF", "0x1.8p1",
+             "0x1p-3", "00012", "9223372036854775808", "\u00011\u0001", "item_12", "2001-01-01", "2001-01-01 10:00:00", "A", "F", "1-2", "", "--", "e5"]
+    df = spark.createDataFrame([(x,) for x in tried], "v string")
+    rows = df.select("v", F.expr("try_cast(v as bigint)").isNotNull().alias("long"), F.expr("try_cast(v as double)").isNotNull().alias("double"),
+                     F.col("v").rlike(files._WHOLE).alias("may_long"), (F.col("v").rlike(files._NUMBER) & ~F.col("v").rlike("[0-9][+-]")).alias("may_double")).collect()
+    assert all(r.may_long or not r.long for r in rows) and all(r.may_double or not r.double for r in rows)
+    never = {r.v for r in rows if not r.may_double}
+    assert {"item_12", "2001-01-01", "2001-01-01 10:00:00", "A", "F", "1-2"} <= never and all(not r.may_long for r in rows if r.v in never)
+    kinds = files.infer_types(spark.createDataFrame([(" 1", "1e3", "2001-01-01", "True", "A")], "a string, b string, c string, d string, e string"))
+    assert [t for _, t in kinds.dtypes] == ["bigint", "double", "string", "boolean", "string"]
