@@ -67,7 +67,7 @@ def partial_sums(data: DataFrame, cols: list[str], runs: list[Run]) -> tuple[np.
     shift = centres.mean(axis=0)                       # distances are taken near the origin, where little cancels out
     near = centres - shift
     norms = (near ** 2).sum(axis=1)
-    width = len(cols)
+    width, pull = len(cols), -2 * near
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, cost, sums = np.zeros(len(near)), np.zeros(len(near)), np.zeros((len(near), width))
@@ -75,15 +75,21 @@ def partial_sums(data: DataFrame, cols: list[str], runs: list[Run]) -> tuple[np.
             whole = batch.to_numpy(dtype=np.float64)
             for x in (whole[i:i + _BLOCK] for i in range(0, len(whole), _BLOCK)):
                 y = x - shift
-                far = np.maximum((y ** 2).sum(axis=1)[:, None] - 2 * (y @ near.T) + norms, 0)
+                far = pull @ y.T                       # less the row's own square, which is the same for all centres
+                far += norms[:, None]
+                own = np.empty((len(spans), len(x)), dtype=np.intp)
+                least = np.empty(own.shape)
+                for i, (a, b) in enumerate(spans):
+                    at, best = np.full(len(x), a), far[a].copy()
+                    for c in range(a + 1, b):          # of equal distances the first
+                        at[far[c] < best] = c
+                        np.minimum(best, far[c], out=best)
+                    own[i], least[i] = at, best
                 one = np.zeros(far.shape)
-                every = np.arange(len(x))
-                for a, b in spans:
-                    own = a + far[:, a:b].argmin(axis=1)
-                    one[every, own] = 1
-                rows += one.sum(axis=0)
-                cost += (one * far).sum(axis=0)
-                sums += one.T @ x
+                one[own, np.arange(len(x))] = 1
+                rows += np.bincount(own.ravel(), minlength=len(near))
+                cost += np.bincount(own.ravel(), np.maximum(least + (y ** 2).sum(axis=1), 0).ravel(), len(near))
+                sums += one @ x
         used = np.flatnonzero(rows)
         yield pd.DataFrame(np.column_stack([used, rows[used], cost[used], sums[used]]), columns=names)
 
