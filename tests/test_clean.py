@@ -86,3 +86,15 @@ def test_distributed_quantiles_match_pandas(spark):
     got = exact_quantiles(df, ["a", "b"], qs)
     for c in "ab":
         assert np.allclose(got[c], pdf[c].quantile(qs).tolist(), rtol=0, atol=1e-12)
+
+
+def test_rows_are_compared_without_date_parts(spark):
+    """Two spellings of one time are one row, and what is exchanged holds no part of a date."""
+    df = spark.createDataFrame([(1, "2024-01-01"), (1, "2024-01-01 00:00:00"), (2, None), (2, "no date"), (3, "2024-02-29 23:00:00")], "id long, d string")
+    out = C.clean_table(df.withColumn("d_year", F.lit(7)), ["d"])
+    plain = C.drop_duplicates(parse_dates(C.impute(df), ["d"]))
+    assert out.columns == plain.columns == ["id", "d", "d_year", "d_month", "d_day_of_week", "d_hour", "d_days_since"]
+    assert sorted(out.collect(), key=str) == sorted(plain.collect(), key=str)
+    plan = C.clean_table(df, ["d"])._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and all("d_year" not in line for line in moved)
