@@ -40,7 +40,9 @@ RANGE_BYTES = 1 << 16
 #: Fragments that one task composes in a round of the tree.
 _FAN_IN = 8
 #: Words and bytes of aligned words that a worker keeps, and the most documents and pairs of a block.
-_CACHE_WORDS, _CACHE_BYTES, _BLOCK_DOCS, _BLOCK_PAIRS = 250_000, 64 << 20, 1024, 1 << 19
+_CACHE_WORDS, _CACHE_BYTES, _BLOCK_DOCS, _BLOCK_PAIRS = 100_000, 24 << 20, 1024, 1 << 18
+#: Lines of words that are tokenised at a time: the tokenizer returns its tokens' strings and places with them.
+_LINES = 200
 #: Characters of a word that is aligned together with others.
 _WORD_CHARS = 512
 
@@ -230,8 +232,8 @@ class Aligner:
         plain = [w for w in missing if w[0] == " " and len(w) <= _WORD_CHARS and LETTERS.issuperset(w[1:]) and len(w) > 1]
         chosen = set(plain)
         lines = [plain[i:i + 64] for i in range(0, len(plain), 64)] + [[w] for w in missing if w not in chosen and len(w) <= _WORD_CHARS]
-        for i in range(0, len(lines), 1000):
-            self._align(lines[i:i + 1000])
+        for i in range(0, len(lines), _LINES):
+            self._align(lines[i:i + _LINES])
 
     def _add(self, words: list[str], found: list[Groups | None]) -> None:
         for w, g in zip(words, found):
