@@ -27,7 +27,7 @@ from govlens.llm.components import connected_components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Variants that one task emits, and parts of a group of linked fingerprints.
-VARIANTS_A_TASK, GROUP_PARTS = 2_000_000, 32
+VARIANTS_A_TASK, GROUP_PARTS = 500_000, 32
 #: Shingles whose bits are counted at a time.
 _CHUNK = 1 << 15
 
