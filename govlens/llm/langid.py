@@ -36,6 +36,8 @@ CACHE_WORDS = 400_000
 _BLOCK_DOCS, _BLOCK_WORDS = 8192, 250_000
 #: Characters that are prepared at a time, and those of a word that lie in one piece of it.
 _SLICE_CHARS, _PIECE_CHARS = 1 << 18, 1 << 14
+#: Words of texts whose bits are summed at a time.
+_SUM_CODES = 1 << 16
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -377,6 +379,38 @@ def word_blocks(texts: DataFrame, order: int) -> DataFrame:
                                   "codes binary, times binary, hashes array<long>")
 
 
+def text_sums(words: list[str], bits: np.ndarray, steps: np.ndarray, times: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bits by language and the characters of each text, zeros if it has no letter.
+
+    ``steps`` are the differences of each text's ascending codes into
+    ``words``, of which it has ``lengths``.  So many codes are summed at a time:
+    a block has millions of them, with numbers for every language.
+    """
+    letters = np.fromiter((x.isalpha() for x in words), dtype=bool, count=len(words))
+    size = np.fromiter((len(x) + 1 for x in words), dtype=np.int64, count=len(words))
+    bits, ends = np.ascontiguousarray(bits.T), np.cumsum(lengths)
+    own, chars = np.zeros((len(lengths), bits.shape[1])), np.zeros(len(lengths))
+    first = 0
+    while first < len(lengths):
+        begin = ends[first] - lengths[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + _SUM_CODES, side="right")))      # one text at least
+        cut = np.append(begin, ends[first:last]) - begin
+        sums = np.cumsum(steps[begin:ends[last - 1]])                # each document begins anew
+        codes = sums - np.repeat(np.append(0, sums)[cut[:-1]], np.diff(cut))
+        n = times[begin:ends[last - 1]]
+
+        def per_text(x):
+            return np.diff(np.append(0, np.cumsum(x))[cut])
+        some = per_text(letters[codes].astype(np.int64)) > 0
+        held = np.flatnonzero(np.diff(cut))
+        if len(held):                                # sums of each text alone: no other text's bits round them
+            own[first + held] = np.add.reduceat(-bits[codes] * n[:, None], cut[held], axis=0)
+        own[first:last][~some] = 0.0
+        chars[first:last] = np.where(some, per_text(size[codes] * n), 0)
+        first = last
+    return own, chars
+
+
 def scored(texts: DataFrame, model: Identifier) -> DataFrame:
     """``_k1, _k2, bits, chars`` for documents (_k1, _k2, _text): the bits that each language's model needs, and for how many characters."""
     blocks = written(word_blocks(texts, model.order), "langid-blocks")
@@ -404,22 +438,9 @@ def scored(texts: DataFrame, model: Identifier) -> DataFrame:
                 for w in slices(words, order):
                     for m, row in zip(models, bits):
                         m.add_log2(row, w)
-                letters = np.fromiter((x.isalpha() for x in words), dtype=bool, count=len(words))
-                size = np.fromiter((len(x) + 1 for x in words), dtype=np.int64, count=len(words))
-                times, ends = unpacked(r["times"]), np.cumsum(np.asarray(r["lengths"], dtype=np.int64))
-                cut = np.append(0, ends)
-                steps = np.cumsum(unpacked(r["codes"]))          # each document begins anew
-                codes = steps - np.repeat(np.append(0, steps)[cut[:-1]], np.diff(cut))
-
-                def per_text(x):
-                    return np.diff(np.append(np.zeros((1,) + x.shape[1:], x.dtype), np.cumsum(x, axis=0), axis=0)[cut], axis=0)
-                some = per_text(letters[codes].astype(np.int64)) > 0
-                own = np.zeros((len(ends), langs))
-                held = np.flatnonzero(np.diff(cut))
-                if len(held):                                # sums of each text alone: no other text's bits round them
-                    own[held] = np.add.reduceat(-bits.T[codes] * times[:, None], cut[held], axis=0)
+                own, chars = text_sums(words, bits, unpacked(r["codes"]), unpacked(r["times"]), np.asarray(r["lengths"], dtype=np.int64))
                 yield pd.DataFrame({"_k1": np.asarray(r["k1"], dtype=np.int64), "_k2": np.asarray(r["k2"], dtype=np.int64),
-                                    "bits": list(np.where(some[:, None], own, 0.0)), "chars": np.where(some, per_text(size[codes] * times), 0).astype(float)})
+                                    "bits": list(own), "chars": chars})
 
     return blocks.drop("hashes").join(answers, "_block", "left").mapInPandas(run, "_k1 long, _k2 long, bits array<double>, chars double")
 

@@ -1,6 +1,7 @@
 """Language ID: the model's probabilities, its table against models in memory, texts of any length, calibration, the query."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -228,3 +229,34 @@ def test_query(spark, tmp_path):
         if r.doc_id in (500, 501, 502):
             assert (r.lang_pred, r.score) == ("und", 0.0)
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in got if r.held_out and r.doc_id < 500]) > 0.98
+
+
+def test_bits_of_texts_are_summed_so_many_at_a_time(monkeypatch):
+    """A block's words by language are far more than its texts: they are not all held at once, and sums stay the same."""
+    rng = np.random.default_rng(3)
+    words = ["x" * (1 + i % 9) if i % 5 else "\u0345" for i in range(1000)]           # a mark alone is no letter
+    lengths = np.array([0, 1, 900, 0, 3, 700, 1, 0])
+    codes = [np.sort(rng.choice(1000, n, replace=False)) for n in lengths]
+    codes[1], codes[6] = np.array([5]), np.array([7])
+    times = rng.integers(1, 9, lengths.sum())
+    steps = np.concatenate([np.diff(c, prepend=0) for c in codes])
+    bits = -rng.random((4, 1000)) * 30
+    want_bits, want_chars, at = np.zeros((8, 4)), np.zeros(8), 0
+    for i, c in enumerate(codes):
+        n = times[at:at + len(c)]
+        at += len(c)
+        if any(words[x].isalpha() for x in c):
+            want_bits[i], want_chars[i] = (-bits[:, c] * n).sum(axis=1), sum((len(words[x]) + 1) * k for x, k in zip(c, n))
+    for most in (1, 2, 800, 1 << 16):
+        monkeypatch.setattr(langid, "_SUM_CODES", most)
+        own, chars = langid.text_sums(words, bits, steps, times, lengths)
+        assert np.allclose(own, want_bits, rtol=1e-12) and (chars == want_chars).all()
+    assert [len(x) for x in langid.text_sums([], np.zeros((4, 0)), steps[:0], times[:0], lengths[:0])] == [0, 0]
+
+    monkeypatch.setattr(langid, "_SUM_CODES", 1 << 16)
+    steps, times = np.tile(np.diff(np.arange(500), prepend=0), 4000), np.ones(2_000_000, dtype=np.int64)
+    tracemalloc.start()
+    langid.text_sums(words, bits, steps, times, np.full(4000, 500))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6                                          # 128 MB for all words at once
