@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from govlens.models import manystart as MS
+from govlens.models import registry as REG
 from govlens.models import train as TR
 from govlens.operators import scoring as S
 
@@ -153,3 +154,21 @@ def test_fit_partitions_follow_the_cores(spark):
     cores = spark.sparkContext.defaultParallelism
     assert TR._compact(spark.range(0, 10_000_000, 1, 300), 5_000_000).rdd.getNumPartitions() == max(cores, 10)
     assert TR._compact(spark.range(0, 100, 1, 2), 10_000_000).rdd.getNumPartitions() == 2
+
+
+def test_fits_at_once_share_the_cores():
+    """Folds are fitted side by side: each has its share of the cores, and no partition more rows than one should hold."""
+    assert [TR.fit_partitions(n, 12, 5) for n in (0, 10, 50_000, 600_000, 6_000_000)] == [1, 1, 3, 3, 12]
+
+
+def test_forests_keep_rows_nodes_and_have_the_same_trees(spark):
+    """Tasks don't send each row down all trees so far again in every pass."""
+    df = TR.assembler(["a", "b"]).transform(spark.range(0, 600, 1, 2).selectExpr(
+        "id % 97 as a", "id % 31 as b", "cast(id % 97 + id % 31 > 60 as double) as label")).persist()
+    for table in (REG.CLASSIFIERS, REG.REGRESSORS):
+        forest = table["random_forest"]({"n_trees": 3, "max_depth": 6})
+        assert forest.getCacheNodeIds()
+        plain = forest.copy({forest.cacheNodeIds: False})
+        kept, sent = ([t.toDebugString.split("\n", 1)[1] for t in f.fit(df).trees] for f in (forest, plain))
+        assert kept == sent and len(kept) == 3
+    df.unpersist()
