@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import Estimator
 from pyspark.sql import functions as F
 
 from govlens.models import manystart as MS
@@ -172,3 +173,48 @@ def test_forests_keep_rows_nodes_and_have_the_same_trees(spark):
         kept, sent = ([t.toDebugString.split("\n", 1)[1] for t in f.fit(df).trees] for f in (forest, plain))
         assert kept == sent and len(kept) == 3
     df.unpersist()
+
+
+class _Seen(Estimator):
+    """Notes how many rows each partition of its fit has, then fits a plain model."""
+
+    def __init__(self, sizes):
+        super().__init__()
+        self.sizes = sizes
+
+    def _fit(self, dataset):
+        self.sizes.append(dataset.select("label").rdd.glom().map(len).collect())
+        return REG.CLASSIFIERS["logistic_regression"]({"n_train": 100}).setMaxIter(1).fit(dataset)
+
+
+@pytest.fixture
+def lumpy(spark):
+    """400 rows in two partitions, one of them with nine tenths of the rows; keys that repeat, some of them null."""
+    big, small = (spark.range(a, b, 1, 1) for a, b in ((0, 360), (360, 400)))
+    return big.union(small).selectExpr("nullif(id % 40, 7) as id", "id % 5 as a", "cast(id % 2 as double) as label")
+
+
+def test_fits_get_even_partitions(spark, lumpy, monkeypatch):
+    """A pass lasts as long as its largest partition; a split's own are uneven and may be fewer than the cores."""
+    monkeypatch.setattr(TR, "ROWS_PER_TASK", 100)
+    sizes = []
+    monkeypatch.setitem(REG.CLASSIFIERS, "seen", lambda ctx: _Seen(sizes))
+    (r,), split = TR.train_classifiers(lumpy, ["a"], ["id"], ["seen"])
+    TR.cross_validate(lambda ctx: _Seen(sizes), lumpy, ["a"], ["id"], 2, parallelism=1)
+    assert len(sizes) == 3 and all(len(s) == TR.fit_partitions(400, spark.sparkContext.defaultParallelism) for s in sizes)
+    assert all(max(s) <= 1.5 * min(s) for s in sizes) and split.count() == 400
+    dealt = TR._dealt(lumpy, 400, ["id"])
+    assert sorted(dealt.rdd.glom().map(len).collect()) == [100] * 4
+    assert sorted(map(tuple, dealt.fillna(-1).collect())) == sorted(map(tuple, lumpy.fillna(-1).collect()))
+    assert all(p == sorted(p) for p in dealt.fillna(-1).rdd.map(lambda x: x.id).glom().collect())
+
+
+def test_metrics_read_written_answers(lumpy, monkeypatch):
+    """The stages of the metrics aren't sent the model: they read what it answered, every test row once."""
+    read = []
+    for name in ("classification_metrics", "regression_metrics"):
+        real = getattr(TR.M, name)
+        monkeypatch.setattr(TR.M, name, lambda df, *a, _real=real, **k: read.append((df.count(), len(df.inputFiles()))) or _real(df, *a, **k))
+    TR.train_classifiers(lumpy, ["a"], ["id"], ["logistic_regression"])
+    TR.train_regressors(lumpy, ["a"], ["id"], ["linear_regression"])
+    assert [n for n, _ in read] == [80, 80] and all(files for _, files in read)
