@@ -218,3 +218,13 @@ def test_metrics_read_written_answers(lumpy, monkeypatch):
     TR.train_classifiers(lumpy, ["a"], ["id"], ["logistic_regression"])
     TR.train_regressors(lumpy, ["a"], ["id"], ["linear_regression"])
     assert [n for n, _ in read] == [80, 80] and all(files for _, files in read)
+
+
+def test_classifiers_of_a_query_share_one_split(monkeypatch):
+    from govlens.plans import q_models as Q
+    from types import SimpleNamespace as NS
+    asked = []
+    monkeypatch.setattr(TR, "train_classifiers", lambda f, c, k, names, **kw: (asked.append(names) or [NS(name=n) for n in names if n != "b"], None))
+    ctx = NS(extra={}, features=None, ff=NS(feature_columns=[]), spec=NS(models=NS(settings={})))
+    assert Q.trained(ctx, ["a", "b"])["b"] is None and Q.classifier(ctx, "a").name == "a"
+    assert list(Q.trained(ctx, ["c", "a", "b"])) == ["c", "a", "b"] and asked == [["a", "b"], ["c"]]
