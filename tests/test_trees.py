@@ -128,12 +128,15 @@ def test_models_come_back_from_their_files(rows, tmp_path):
         assert again.uid == m.uid and again.totalNumNodes == m.totalNumNodes and again.featureImportances == m.featureImportances
 
 
-def test_the_reloaded_model_is_compared_row_by_row(spark, monkeypatch):
-    """Ids that repeat or are missing: both models score a row once, in one scan."""
+def test_both_models_score_a_row_in_one_scan(spark, monkeypatch):
+    """The trained and the reloaded model each scanned all rows; what they say still meets by the id, which may repeat or be missing."""
     from govlens.plans import q_models as Q
-    df = spark.createDataFrame([(None if i % 10 == 0 else i % 7, float(i % 5), float(i % 3), float(i % 2)) for i in range(60)], "request_id long, a double, b double, label double")
+    df = spark.createDataFrame([(None if i % 10 == 0 else i % 37, float(i % 5), float(i % 3), float(i % 2)) for i in range(60)], "request_id long, a double, b double, label double").cache()
     monkeypatch.setattr(Q, "N_TREES", 3)
     ctx = NS(spark=spark, extra={}, features=df, ff=NS(feature_columns=["a", "b"]), spec=NS(models=NS(settings={"max_depth": 4})))
     got = Q.q_sink_model(ctx)
-    assert tuple(got.first()) == ("random_forest", 60, 60)
-    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    p = TR.score_all(Q.classifier(ctx, "random_forest").model, df, Q.KEYS).toPandas().dropna(subset="request_id")
+    both = p.merge(p, on="request_id")
+    assert tuple(got.first()) == ("random_forest", len(both), (both.prediction_x == both.prediction_y).sum()) and len(both) > 54
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan and plan.count("Relation [") == 2 and len(got.inputFiles()) >= 1
